@@ -146,6 +146,41 @@ SELECT o_orderkey AS file_id, CASE o_orderkey % 5 WHEN 0 THEN '20240131_bing' WH
        WHEN 3 THEN '20240131_bing_old' ELSE '2024013_bing' END AS file_stem FROM orders""",
 }
 
+# Landed-feed stand-ins over fx_ads, one per feed, with snake-case names (the
+# feed readers rename them to each report's own header).
+FEED_VIEWS: dict[str, str] = {
+    "fx_in_analytics": """
+SELECT CAST(day AS STRING) AS date, campaign, medium AS sourceMedium, content AS keyword, ad_group AS adGroup,
+       content AS adContent, device AS deviceCategory, CAST(spend AS DOUBLE) AS itemRevenue,
+       CAST(spend AS DOUBLE) * 100 AS avgSessionDuration, impressions AS pageviews, hour AS bounces,
+       clicks AS transactions, impressions AS sessions, clicks AS newUsers, clicks AS itemQuantity, hour AS metric1
+FROM fx_ads""",
+    "fx_in_search_ads": """
+SELECT ad_group, campaign, cost_micros AS cost, CAST(day AS STRING) AS day, device, video_25 AS video_100,
+       video_25, video_25 AS video_50, video_25 AS video_75, clicks AS views, 'enabled' AS campaign_state,
+       clicks, impressions, final_url
+FROM fx_ads""",
+    "fx_in_paid_search": """
+SELECT day AS date, campaign AS nome_campanha, 'Texto' AS tipo_anuncio, ad_group AS grupo_anuncio,
+       CAST(spend AS DOUBLE) AS gastos, device AS dispositivo, impressions AS visualizacoes, clicks AS cliques,
+       replace(replace(replace(final_url, '[', ''), ']', ''), '"', '') AS url_final
+FROM fx_ads""",
+    "fx_in_social": """
+SELECT CAST(day AS STRING) AS date, campaign || '_' || ad_group AS adname, impressions,
+       CAST(spend AS DOUBLE) AS spend, device AS device_platform
+FROM fx_ads""",
+    "fx_in_retargeting": """
+SELECT CAST(day AS STRING) AS date, campaign || '_' || ad_group AS size, device, impressions AS imps, clicks,
+       CAST(spend AS DOUBLE) AS cost_brl
+FROM fx_ads""",
+    "fx_in_native": """
+SELECT CAST(day AS STRING) AS day, hour, device AS device_type, CAST(spend AS DOUBLE) AS spend,
+       campaign || '_' || ad_group AS ad_group_name, clicks AS video_views, impressions AS video_25,
+       impressions AS video_50, impressions AS video_75, impressions AS video_100
+FROM fx_ads""",
+}
+VIEWS.update(FEED_VIEWS)
+
 
 def register(spark: SparkSession, sf_dir: str) -> None:
     """Register the driver tables and every fixture view for ``sf_dir``.

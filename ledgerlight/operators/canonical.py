@@ -56,7 +56,7 @@ def _to_date(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     s = c.cast("string")
-    return F.coalesce(F.try_to_date(s, F.lit("yyyy-MM-dd")), F.try_to_date(s, F.lit("yyyyMMdd")))
+    return F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "yyyyMMdd"))
 
 
 def _to_time(c: Column, dtype: T.DataType) -> Column:

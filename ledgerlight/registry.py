@@ -182,3 +182,183 @@ def q_week_number(spark, sf_dir):
     d = _t(spark, "fx_date_dim").select("FULL_DATE")
     return d.select("FULL_DATE", week_number("FULL_DATE").alias("Week"), F.year("FULL_DATE").alias("Year"),
                     F.month("FULL_DATE").alias("Month"), day_of_week("FULL_DATE").alias("Week_Day"))
+
+
+# ---------------------------------------------------------------- advertising feeds
+from .functions import decode as _dec  # noqa: E402
+from .functions import rules as _rules  # noqa: E402
+from .operators import canonical as _canon  # noqa: E402
+from .operators import slices as _slices  # noqa: E402
+from .plans import feeds as _feeds  # noqa: E402
+
+
+def _search_ads_report(spark) -> DataFrame:
+    return _feeds.rename(_t(spark, "fx_in_search_ads"), _feeds.SEARCH_ADS_HEADER)
+
+
+def _initiatives(spark) -> DataFrame:
+    return _t(spark, "fx_initiatives").select(F.col("url").alias("URL"), F.col("initiative").alias("INICIATIVA"))
+
+
+def _retargeting_report(spark) -> DataFrame:
+    return _feeds.rename(_t(spark, "fx_in_retargeting"), _feeds.RETARGETING_HEADER)
+
+
+@query("analytics_load")
+def q_analytics_load(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _feeds.analytics_load(_t(spark, "fx_in_analytics"))
+
+
+@query("search_ads_load")
+def q_search_ads_load(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _feeds.search_ads_load(_search_ads_report(spark), _initiatives(spark))
+
+
+@query("paid_search_load")
+def q_paid_search_load(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    sheet = _t(spark, "fx_in_paid_search").toDF(*_feeds.PAID_SEARCH_HEADER)
+    rows, _bad = _feeds.paid_search_load(sheet, _initiatives(spark), fail_on_bad_name=False)
+    return rows
+
+
+@query("social_load")
+def q_social_load(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    rows, _bad = _feeds.social_load(_t(spark, "fx_in_social"), fail_on_bad_name=False)
+    return rows
+
+
+@query("retargeting_load")
+def q_retargeting_load(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _feeds.retargeting_load(_retargeting_report(spark))
+
+
+@query("native_ads_load")
+def q_native_ads_load(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    report = _feeds.rename(_t(spark, "fx_in_native"), _feeds.NATIVE_HEADER)
+    rows, _bad = _feeds.native_ads_load(report, fail_on_bad_name=False)
+    return rows
+
+
+@query("channel_class")
+def q_channel_class(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    a = _t(spark, "fx_ads")
+    return a.select("row_id", _rules.channel_class("campaign", "medium", "content").alias("NOM_DISCIPLINA"),
+                    _rules.search_group("campaign", "medium").alias("search_group"))
+
+
+@query("device_class")
+def q_device_class(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    a = _t(spark, "fx_ads")
+    return a.select("row_id", _rules.device_class(F.upper("device"), "a").alias("device_a"),
+                    _rules.device_class(F.upper("device"), "b").alias("device_b"))
+
+
+@query("advertiser_class")
+def q_advertiser_class(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    a = _t(spark, "fx_ads")
+    return a.select("row_id", _rules.advertiser_class(F.upper("campaign"), "a").alias("advertiser_a"),
+                    _rules.advertiser_class(F.upper("campaign"), "b").alias("advertiser_b"))
+
+
+@query("pillar")
+def q_pillar(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    a = _t(spark, "fx_ads").select(
+        "row_id", F.upper(F.concat("campaign", F.lit("_"), "ad_group")).alias("ad"),
+        _rules.advertiser_class(F.upper("campaign"), "a").alias("adv"),
+        _rules.channel_class("campaign", "medium", "content").alias("veh"),
+        F.upper("ad_group").alias("ini"))
+    return a.select("row_id", F.upper(_rules.pillar("ad", "adv", "veh", "ini")).alias("NOM_PILAR"))
+
+
+@query("decode_ad_layouts")
+def q_decode_ad_layouts(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    a = _t(spark, "fx_ads").select("row_id", F.concat("campaign", F.lit("_"), "ad_group").alias("ad"))
+    cols = [F.col("row_id")]
+    for layout in ("analytics_search", "search_ads_long", "search_ads_short", "retargeting"):
+        for f, e in _dec.decode("ad", layout).items():
+            cols.append(e.alias(f"{layout}__{f}"))
+    return a.select(*cols)
+
+
+def _canonical_cast_input(spark) -> DataFrame:
+    a = _t(spark, "fx_ads")
+    return a.select(
+        F.col("campaign").alias("NOM_AD"), F.col("medium").alias("NOM_DISCIPLINA"), F.col("device").alias("TIP_DEVICE"),
+        F.when(F.col("clicks") % 2 == 0, F.date_format("day", "yyyyMMdd"))
+         .otherwise(F.col("day").cast("string")).alias("DAT_REFERENCIA"),
+        F.col("impressions").alias("QTD_IMPRESSOES"),
+        F.when(F.col("clicks") != 1, F.col("clicks")).alias("QTD_CLIQUES"),
+        (F.col("spend").cast("double") * 100).alias("QTD_TEMPO_SESSAO"),
+        (F.col("spend").cast("double") * -100).alias("QTD_REJEICOES"),
+        F.col("spend").cast("string").alias("VAL_INVESTIMENTO"),
+        F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00")).alias("HOR_REFERENCIA"),
+        F.col("final_url").alias("NOM_URL"))
+
+
+@query("canonical_cast")
+def q_canonical_cast(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    src = _canonical_cast_input(spark)
+    return _canon.canonicalize({c: F.col(c) for c in src.columns}, src)
+
+
+@query("batch_span")
+def q_batch_span(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _slices.batch_span(_feeds.search_ads_rows(_search_ads_report(spark)))
+
+
+SPLIT_TARGET_BEFORE = _dt.date(1999, 7, 1)   # existing table holds search-ads rows before this date
+SPLIT_BATCH_FROM = _dt.date(1999, 1, 1)      # the reloaded batch starts here (overlap is replaced)
+UPDATE_SLICE = (_dt.date(1998, 1, 1), _dt.date(1998, 12, 31))
+
+
+def _target_and_batch(spark):
+    sa = _feeds.apply_class_functions(_feeds.search_ads_rows(_search_ads_report(spark)), vehicle=True)
+    rt = _feeds.retargeting_load(_retargeting_report(spark))
+    target = sa.filter(F.col("DAT_REFERENCIA") < F.lit(SPLIT_TARGET_BEFORE)).unionByName(rt)
+    batch = sa.filter(F.col("DAT_REFERENCIA") >= F.lit(SPLIT_BATCH_FROM))
+    return target, batch
+
+
+@query("replace_slice")
+def q_replace_slice(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    target, batch = _target_and_batch(spark)
+    return _slices.replace_slice(target, batch, _feeds.SRC_SEARCH_ADS)
+
+
+@query("update_slice")
+def q_update_slice(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    rows = _feeds.search_ads_rows(_search_ads_report(spark))
+    return _slices.update_slice(rows, _feeds.SRC_SEARCH_ADS, *UPDATE_SLICE, device=True, advertiser=True,
+                                vehicle=True)
+
+
+@query("update_initiative")
+def q_update_initiative(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    rows = _feeds.search_ads_rows(_search_ads_report(spark))
+    return _slices.update_initiative(rows, _initiatives(spark))
+
+
+@query("high_water_mark")
+def q_high_water_mark(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    target, _ = _target_and_batch(spark)
+    return target.agg(_slices.high_water_mark(target, _feeds.SRC_SEARCH_ADS).alias("hwm_search_ads"),
+                      _slices.high_water_mark(target, _feeds.SRC_PARTNER).alias("hwm_partner"),
+                      _slices.high_water_mark(target, "NONE").alias("hwm_missing"),
+                      F.max("DAT_REFERENCIA").alias("max_all"))

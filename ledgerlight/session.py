@@ -23,6 +23,7 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Dimensions (stores, categories, group names) stay far below this; facts never do.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
