@@ -16,7 +16,6 @@ partitions that change.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import uuid
 from typing import Sequence
 
@@ -110,18 +109,27 @@ def _local(path: str) -> str | None:
     return None if "://" in path else path
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    ptr = spark.read.text(f"{table_dir}/_CURRENT") if _exists(spark, f"{table_dir}/_CURRENT") else None
-    if ptr is None:
+    """Version folder named by the pointer file (None before the first load)."""
+    fs, ptr = _fs(spark, f"{table_dir}/_CURRENT")
+    if not fs.exists(ptr):
         return None
-    row = ptr.first()
-    return row[0].strip() if row else None
+    stream = fs.open(ptr)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return text.strip() or None
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _fs(spark, path)
     return fs.exists(jpath)
 
 

@@ -362,3 +362,119 @@ def q_high_water_mark(spark, sf_dir):
                       _slices.high_water_mark(target, _feeds.SRC_PARTNER).alias("hwm_partner"),
                       _slices.high_water_mark(target, "NONE").alias("hwm_missing"),
                       F.max("DAT_REFERENCIA").alias("max_all"))
+
+
+# ---------------------------------------------------------------- sources, sinks, streaming
+from pyspark.sql import types as _T  # noqa: E402
+
+from .session import scratch_path  # noqa: E402
+from .sources import landing as _land  # noqa: E402
+from .sources import readers as _rd  # noqa: E402
+from .sources import sinks as _sinks  # noqa: E402
+from .streaming.drop_folder import ingest_drop  # noqa: E402
+
+ANALYTICS_DIMENSIONS = ["date", "campaign", "sourceMedium", "keyword", "adGroup", "adContent", "deviceCategory"]
+ANALYTICS_METRICS = ["itemRevenue", "avgSessionDuration", "pageviews", "bounces", "transactions", "sessions",
+                     "newUsers", "itemQuantity", "metric1"]
+PAID_SEARCH_SCHEMA = _T.StructType([
+    _T.StructField("Date", _T.DateType()), _T.StructField("Nome_Campanha", _T.StringType()),
+    _T.StructField("Tipo_Anuncio", _T.StringType()), _T.StructField("Grupo_Anuncio", _T.StringType()),
+    _T.StructField("Gastos", _T.DoubleType()), _T.StructField("Dispositivo", _T.StringType()),
+    _T.StructField("Visualizações", _T.IntegerType()), _T.StructField("Cliques", _T.IntegerType()),
+    _T.StructField("URL Final", _T.StringType())])
+RETARGETING_SCHEMA = _T.StructType([
+    _T.StructField("Date", _T.StringType()), _T.StructField("Size", _T.StringType()),
+    _T.StructField("Device", _T.StringType()), _T.StructField("Imps", _T.IntegerType()),
+    _T.StructField("Clicks", _T.IntegerType()), _T.StructField("Cost (BRL)", _T.DoubleType())])
+SOCIAL_FIELDS = ["date", "adname", "impressions", "spend", "device_platform"]
+
+
+@query("flatten_report")
+def q_flatten_report(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    path = _land.write_analytics_reports(_t(spark, "fx_in_analytics"), scratch_path(spark, "analytics-json"),
+                                         ANALYTICS_DIMENSIONS, ANALYTICS_METRICS)
+    flat = _rd.flatten_report(spark, path, ANALYTICS_DIMENSIONS + ANALYTICS_METRICS)
+    doubles = {"itemRevenue", "avgSessionDuration"}
+    return flat.select(
+        F.to_date("date").alias("date"), *ANALYTICS_DIMENSIONS[1:],
+        *[F.col(m).cast("double" if m in doubles else "long").alias(m) for m in ANALYTICS_METRICS])
+
+
+@query("repeated_header_csv")
+def q_repeated_header_csv(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    report = _search_ads_report(spark)
+    path = _land.write_csv_parts(report, scratch_path(spark, "search-ads-csv"), parts=4)
+    return _rd.read_multi_csv(spark, path, report.columns, key_column="Day")
+
+
+@query("trimmed_sheet")
+def q_trimmed_sheet(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    sheet = _t(spark, "fx_in_paid_search")
+    path = _land.write_sheets(sheet, scratch_path(spark, "paid-search-sheets"), _feeds.PAID_SEARCH_HEADER)
+    return _rd.read_trimmed(spark, path, head=10, tail=3, schema=PAID_SEARCH_SCHEMA)
+
+
+@query("delimited_csv")
+def q_delimited_csv(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    path = _land.write_csv_parts(_retargeting_report(spark), scratch_path(spark, "retargeting-csv"), sep=";")
+    df = _rd.read_delimited(spark, path, RETARGETING_SCHEMA, sep=";")
+    return df if df is not None else spark.createDataFrame([], RETARGETING_SCHEMA)
+
+
+@query("optional_keys_json")
+def q_optional_keys_json(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    social = _t(spark, "fx_in_social").withColumn(
+        "device_platform", F.when(F.col("device_platform") != "tv", F.col("device_platform")))
+    base = scratch_path(spark, "social-json")
+    cut = F.col("date") < F.lit("1998-01-01")
+    a = _land.write_records(social.filter(cut), f"{base}/account_a")
+    b = _land.write_records(social.filter(~cut), f"{base}/account_b")
+    return _rd.read_records(spark, [a, b], SOCIAL_FIELDS)
+
+
+@query("valid_drop_file")
+def q_valid_drop_file(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    f = _t(spark, "fx_files")
+    return f.select("file_id", "file_stem", _rd.valid_drop_file("file_stem", "bing").alias("valid_bing"),
+                    _rd.valid_drop_file("file_stem", "rtbhouse").alias("valid_rtbhouse"))
+
+
+@query("raw_snapshot")
+def q_raw_snapshot(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    report = _search_ads_report(spark)
+    path = _sinks.write_snapshot(report, scratch_path(spark, "snapshots"), "adwords",
+                                 _dt.date.fromisoformat(fx.AS_OF))
+    schema = _T.StructType([_T.StructField(c, _T.StringType()) for c in report.columns])
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
+@query("full_refresh")
+def q_full_refresh(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    report = vd.labor_cost(_t(spark, "fx_labor_hourly"), _t(spark, "fx_sales_summary"))
+    path = scratch_path(spark, "labor-cost-table")
+    cols = ["Store_Id", "Work_Date", "Week_Day", "Hour", "Labor_cost", "Hours_Worked", "Sales", "HourAMPM"]
+    _sinks.refresh(report, path, cols)
+    _sinks.refresh(report, path, cols)   # a rerun replaces, never doubles
+    return spark.read.parquet(path)
+
+
+@query("drop_folder_stream")
+def q_drop_folder_stream(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    base = scratch_path(spark, "drop-rtbhouse")
+    report = _retargeting_report(spark)
+    sample = report.filter(F.col("Date").startswith("1996"))
+    _land.write_drop_files(spark, report, "Date", f"{base}/staging", f"{base}/inbox", "rtbhouse", sep=";",
+                           extra={"report_rtbhouse.csv": sample, "20241331_rtbhouse.csv": sample})
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/checkpoint", f"{base}/table",
+                f"{base}/quarantine", "rtbhouse", RETARGETING_SCHEMA, _feeds.retargeting_load,
+                _feeds.SRC_PARTNER, disciplines=[_feeds.SITE_RETARGETING], sep=";", timeout_s=600)
+    return _slices.read_table(spark, f"{base}/table")
