@@ -1,15 +1,20 @@
 """Underscore-delimited ad-name decoder (P10).
 
 An ad name such as ``a_b_c_..._k`` is split into ten canonical fields.  The
-feeds use four position maps and different split limits (SURVEY §2.10).  The
-split is one ``split(name, '_', limit)`` per row and each field is a
-``get(array, i)`` (null when out of range; never raises), so decoding stays a
-narrow projection inside whole-stage codegen.
+feeds use four position maps and different split limits (SURVEY §2.10).
+
+``prepare`` adds, once per row, the underscore count and one token array per
+split limit; every field is then a ``get(tokens, i)`` on that column (null
+when out of range, never raises).  Computing the array once matters: each of
+the ten fields would otherwise re-split the name inside its own CASE branch,
+where subexpression elimination does not reach.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from typing import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import underscore_count
@@ -36,11 +41,11 @@ LAYOUTS = {
     "native": (MAP_LONG, 11, 10, False),
 }
 
+COUNT_COL = "__n_us"
 
-def _pos(tokens: Column, p) -> Column:
-    if p == "0_1":
-        return F.concat(F.get(tokens, 0), F.lit("_"), F.get(tokens, 1))
-    return F.get(tokens, p)
+
+def _tok_col(max_splits: int) -> str:
+    return f"__tok{max_splits}"
 
 
 def tokens(name, max_splits: int) -> Column:
@@ -49,25 +54,43 @@ def tokens(name, max_splits: int) -> Column:
     return F.split(c, "_", max_splits + 1)
 
 
-def applies(name, layout: str) -> Column:
-    """Row condition under which the layout fills the fields."""
+def prepare(df: DataFrame, name, layouts: Iterable[str]) -> DataFrame:
+    """Add the underscore count and the token arrays the layouts need."""
+    c = F.col(name) if isinstance(name, str) else name
+    limits = sorted({LAYOUTS[lay][1] for lay in layouts})
+    return df.select("*", underscore_count(c).alias(COUNT_COL),
+                     *[tokens(c, k).alias(_tok_col(k)) for k in limits])
+
+
+def drop_prepared(df: DataFrame) -> DataFrame:
+    return df.drop(COUNT_COL, *[c for c in df.columns if c.startswith("__tok")])
+
+
+def applies(layout: str) -> Column:
+    """Row condition under which the layout fills the fields (after ``prepare``)."""
     _, _, min_us, exact = LAYOUTS[layout]
-    n = underscore_count(F.col(name) if isinstance(name, str) else name)
+    n = F.col(COUNT_COL)
     return (n == min_us) if exact else (n >= min_us)
 
 
-def decode(name, layout: str) -> dict[str, Column]:
-    """Field name -> Column for ``layout``; null when the layout does not apply."""
-    pos_map, max_splits, _, _ = LAYOUTS[layout]
-    toks = tokens(name, max_splits)
-    ok = applies(name, layout)
-    return {f: F.when(ok, _pos(toks, p)) for f, p in zip(FIELDS, pos_map)}
+def token(layout: str, index: int) -> Column:
+    """Raw token ``index`` under the layout's split limit (after ``prepare``)."""
+    return F.get(F.col(_tok_col(LAYOUTS[layout][1])), index)
+
+
+def _pos(toks: Column, p) -> Column:
+    if p == "0_1":
+        return F.concat(F.get(toks, 0), F.lit("_"), F.get(toks, 1))
+    return F.get(toks, p)
 
 
-def token(name, layout: str, index: int) -> Column:
-    """Raw token ``index`` under the layout's split limit (for advertiser seeds)."""
-    _, max_splits, _, _ = LAYOUTS[layout]
-    return F.get(tokens(name, max_splits), index)
+def decode(layout: str) -> dict[str, Column]:
+    """Field name -> Column for ``layout`` (after ``prepare``); null when the
+    layout does not apply."""
+    pos_map, max_splits, _, _ = LAYOUTS[layout]
+    toks = F.col(_tok_col(max_splits))
+    ok = applies(layout)
+    return {f: F.when(ok, _pos(toks, p)) for f, p in zip(FIELDS, pos_map)}
 
 
 def decode_sql(name_sql: str, layout: str) -> dict[str, str]:

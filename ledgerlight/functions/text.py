@@ -17,12 +17,12 @@ def micros(c) -> Column:
 
 def quartile_flag(c) -> Column:
     """Percent text to flag; only the exact text ``0.00`` (after removing %) is 0."""
-    return F.when(F.regexp_replace(_c(c), "%", "") == "0.00", F.lit(0)).otherwise(F.lit(1))
+    return F.when(F.replace(_c(c), F.lit("%"), F.lit("")) == "0.00", F.lit(0)).otherwise(F.lit(1))
 
 
 def clean_url(c) -> Column:
     """Strip ``[``, ``]`` and ``"`` from a URL list text."""
-    return F.regexp_replace(_c(c), r'[\[\]"]', "")
+    return F.translate(_c(c), '[]"', "")
 
 
 def hour_time(c) -> Column:
@@ -53,4 +53,4 @@ def safe_ratio(num, den) -> Column:
 
 def underscore_count(c) -> Column:
     """Number of ``_`` in a text (ad-name layout selector)."""
-    return F.length(_c(c)) - F.length(F.regexp_replace(_c(c), "_", ""))
+    return F.length(_c(c)) - F.length(F.replace(_c(c), F.lit("_"), F.lit("")))

@@ -56,7 +56,8 @@ def _to_date(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     s = c.cast("string")
-    return F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "yyyyMMdd"))
+    # ISO text takes the plain cast; compact yyyyMMdd text is parsed only when that fails.
+    return F.coalesce(s.try_cast("date"), F.try_to_date(s, "yyyyMMdd"))
 
 
 def _to_time(c: Column, dtype: T.DataType) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import decode as dec
 from ..functions.rules import (CAMPAIGN_AD_GROUP_VEHICLES, advertiser_class, brand_split, channel_class,
                                contains_any, device_class, named_function, pillar, search_group)
-from ..functions.text import clean_url, hour_time, micros, quartile_flag, underscore_count
+from ..functions.text import clean_url, hour_time, micros, quartile_flag
 from ..operators.canonical import canonicalize
 
 # Source tags and site/discipline labels written by each feed.
@@ -69,8 +69,8 @@ def _guard_names(df: DataFrame, ok: Column, fail_on_bad_name: bool, feed: str):
     return flagged.filter("__ok").drop("__ok"), flagged.filter(~F.col("__ok")).drop("__ok")
 
 
-def _decoded(name: Column, layout: str) -> dict[str, Column]:
-    return dec.decode(name, layout)
+def _decoded(layout: str) -> dict[str, Column]:
+    return dec.decode(layout)
 
 
 # ---------------------------------------------------------------------------
@@ -86,23 +86,25 @@ def analytics_load(rows: DataFrame, advertiser_variant: str = "a") -> DataFrame:
     use_pair = contains_any("__vehicle", CAMPAIGN_AD_GROUP_VEHICLES) & (F.col("adGroup") != "(not set)")
     df = df.select("*", F.when(use_pair, F.concat("campaign", F.lit("_"), "adGroup"))
                    .otherwise(F.col("adContent")).alias("__ad"))
+    df = dec.prepare(df, "__ad", ["analytics_search", "analytics_other"])
     ad, grp, veh = F.col("__ad"), F.col("__group"), F.col("__vehicle")
-    n = underscore_count(ad)
+    n = F.col(dec.COUNT_COL)
     is_s = (grp == "GA_SEARCH") & (n == 9)
     is_o = (grp == "GA_NOM_SEARCH") & (n == 10)
-    ts, to = dec.tokens(ad, 9), dec.tokens(ad, 10)
-    s_fields, o_fields = _decoded(ad, "analytics_search"), _decoded(ad, "analytics_other")
+    ts = lambda i: dec.token("analytics_search", i)
+    to = lambda i: dec.token("analytics_other", i)
+    s_fields, o_fields = _decoded("analytics_search"), _decoded("analytics_other")
     fields = {f: F.when(is_s, s_fields[f]).when(is_o, o_fields[f]) for f in dec.FIELDS}
-    adv_s = advertiser_class(F.upper(F.concat(F.get(ts, 0), F.lit("_"), F.get(ts, 1))), advertiser_variant)
-    adv_o = advertiser_class(F.upper(F.get(to, 1)), advertiser_variant)
+    adv_s = advertiser_class(F.upper(F.concat(ts(0), F.lit("_"), ts(1))), advertiser_variant)
+    adv_o = advertiser_class(F.upper(to(1)), advertiser_variant)
     df = df.select("*", F.when(is_s, adv_s).when(is_o, adv_o).otherwise(F.lit("OUTROS")).alias("__adv"),
                    *[v.alias(k) for k, v in fields.items()])
     adv = F.col("__adv")
     nonblank = lambda c: c.isNotNull() & (c != "")
-    pil_s = F.when(is_s & nonblank(ad) & nonblank(F.get(ts, 0)) & nonblank(F.get(ts, 3)),
-                   pillar(F.upper(ad), adv, veh, F.upper(F.get(ts, 3))))
-    pil_o = F.when(is_o & nonblank(ad) & nonblank(F.get(to, 0)) & nonblank(F.get(to, 4)),
-                   pillar(F.upper(ad), adv, veh, F.upper(F.get(to, 4))))
+    pil_s = F.when(is_s & nonblank(ad) & nonblank(ts(0)) & nonblank(ts(3)),
+                   pillar(F.upper(ad), adv, veh, F.upper(ts(3))))
+    pil_o = F.when(is_o & nonblank(ad) & nonblank(to(0)) & nonblank(to(4)),
+                   pillar(F.upper(ad), adv, veh, F.upper(to(4))))
     exprs = {
         "DAT_REFERENCIA": F.col("date"), "QTD_VISITAS": F.col("sessions"),
         "QTD_NOVOS_USUARIOS": F.col("newUsers"), "QTD_REJEICOES": F.col("bounces"),
@@ -122,10 +124,10 @@ def analytics_load(rows: DataFrame, advertiser_variant: str = "a") -> DataFrame:
 def search_ads_rows(report: DataFrame) -> DataFrame:
     """Canonical rows of a search-ads report (before the post-load UPDATEs)."""
     name = F.concat(_c("Campaign"), F.lit("_"), _c("Ad group"))
-    df = report.select("*", name.alias("__ad"))
+    df = dec.prepare(report.select("*", name.alias("__ad")), "__ad", ["search_ads_short", "search_ads_long"])
     ad = F.col("__ad")
-    n = underscore_count(ad)
-    short, long_ = _decoded(ad, "search_ads_short"), _decoded(ad, "search_ads_long")
+    n = F.col(dec.COUNT_COL)
+    short, long_ = _decoded("search_ads_short"), _decoded("search_ads_long")
     exprs = {
         "DAT_REFERENCIA": _c("Day"), "NOM_AD": ad, "VAL_INVESTIMENTO": micros(_c("Cost")),
         "QTD_VIEWS_PLAY": _c("Views"),
@@ -176,19 +178,20 @@ def paid_search_load(sheet: DataFrame, initiatives: DataFrame | None = None,
     """Returns (rows, quarantine)."""
     from ..operators.slices import update_initiative
     name = F.concat(_c("Nome_Campanha"), F.lit("_"), _c("Grupo_Anuncio"))
-    df = sheet.select("*", name.alias("__ad"))
+    df = dec.prepare(sheet.select("*", name.alias("__ad")), "__ad", ["paid_search"])
     ad = F.col("__ad")
-    ok, bad = _guard_names(df, dec.applies(ad, "paid_search"), fail_on_bad_name, "paid search")
-    f = _decoded(ad, "paid_search")
+    ok, bad = _guard_names(df, dec.applies("paid_search"), fail_on_bad_name, "paid search")
+    f = _decoded("paid_search")
     exprs = {
         "DAT_REFERENCIA": _c("Date"), "VAL_INVESTIMENTO": _c("Gastos"), "NOM_ORIGEM_DADOS": F.lit(SRC_PARTNER),
         "NOM_SITE": F.lit(SITE_PAID_SEARCH), "NOM_AD": ad, "NOM_DISCIPLINA": brand_split(_c("Nome_Campanha")),
         "QTD_CLIQUES": _c("Cliques"), "QTD_IMPRESSOES": _c("Visualizações"), "NOM_URL": _c("URL Final"),
         "TIP_DEVICE": F.upper(_c("Dispositivo")),
-        "NOM_ANUNCIANTE": F.upper(dec.token(ad, "paid_search", 1)),
+        "NOM_ANUNCIANTE": F.upper(dec.token("paid_search", 1)),
         **f,
     }
     rows = canonicalize(exprs, ok)
+    bad = dec.drop_prepared(bad) if bad is not None else None
     # The source filters the UPDATE on a discipline that P16 has already
     # replaced, so with the strict filter no row changes.
     target = F.col("NOM_DISCIPLINA") == F.lit(SITE_PAID_SEARCH) if strict_update_filter else F.lit(True)
@@ -203,8 +206,10 @@ def paid_search_load(sheet: DataFrame, initiatives: DataFrame | None = None,
 # ---------------------------------------------------------------------------
 def social_load(records: DataFrame, fail_on_bad_name: bool = True):
     ad = F.col("adname")
-    ok, bad = _guard_names(records, dec.applies(ad, "social"), fail_on_bad_name, "social")
-    f = _decoded(ad, "social")
+    records = dec.prepare(records, "adname", ["social"])
+    ok, bad = _guard_names(records, dec.applies("social"), fail_on_bad_name, "social")
+    bad = dec.drop_prepared(bad) if bad is not None else None
+    f = _decoded("social")
     exprs = {
         "DAT_REFERENCIA": F.col("date"), "VAL_INVESTIMENTO": F.col("spend").cast("double"),
         "NOM_SITE": F.lit(SITE_SOCIAL), "NOM_AD": ad, "QTD_IMPRESSOES": F.col("impressions").cast("long"),
@@ -220,14 +225,15 @@ def social_load(records: DataFrame, fail_on_bad_name: bool = True):
 # ---------------------------------------------------------------------------
 def retargeting_load(report: DataFrame) -> DataFrame:
     ad = _c("Size")
-    ok = dec.applies(ad, "retargeting")
-    f = _decoded(ad, "retargeting")
+    report = dec.prepare(report, ad, ["retargeting"])
+    ok = dec.applies("retargeting")
+    f = _decoded("retargeting")
     exprs = {
         "DAT_REFERENCIA": _c("Date"), "VAL_INVESTIMENTO": _c("Cost (BRL)"),
         "NOM_DISCIPLINA": F.lit(SITE_RETARGETING), "NOM_SITE": F.lit(SITE_RETARGETING), "NOM_AD": ad,
         "NOM_ORIGEM_DADOS": F.lit(SRC_PARTNER),
         "TIP_DEVICE": F.when(ok, F.upper(_c("Device"))),
-        "NOM_ANUNCIANTE": F.when(ok, F.upper(dec.token(ad, "retargeting", 1))),
+        "NOM_ANUNCIANTE": F.when(ok, F.upper(dec.token("retargeting", 1))),
         **f,
     }
     return apply_class_functions(canonicalize(exprs, report))
@@ -239,9 +245,11 @@ def retargeting_load(report: DataFrame) -> DataFrame:
 def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser_variant: str = "a"):
     df = report.filter(_c("Spend") > 0).filter(_c("Ad Group Name").startswith("alp"))
     ad = _c("Ad Group Name")
-    ok, bad = _guard_names(df, dec.applies(ad, "native"), fail_on_bad_name, "native ads")
-    f = _decoded(ad, "native")
-    adv = advertiser_class(F.upper(dec.token(ad, "native", 1)), advertiser_variant)
+    df = dec.prepare(df, ad, ["native"])
+    ok, bad = _guard_names(df, dec.applies("native"), fail_on_bad_name, "native ads")
+    bad = dec.drop_prepared(bad) if bad is not None else None
+    f = _decoded("native")
+    adv = advertiser_class(F.upper(dec.token("native", 1)), advertiser_variant)
     ok = ok.select("*", adv.alias("__adv"))
     exprs = {
         "DAT_REFERENCIA": _c("Day"), "NOM_ORIGEM_DADOS": F.lit(SRC_PARTNER), "NOM_SITE": F.lit(SITE_NATIVE),
@@ -251,7 +259,7 @@ def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser
         "NOM_DISCIPLINA": F.lit(SITE_NATIVE), "HOR_REFERENCIA": hour_time(_c("Hour")),
         "TIP_DEVICE": device_class(F.upper(_c("Device Type")), "b"), "NOM_ANUNCIANTE": F.col("__adv"),
         "NOM_PILAR": pillar(F.upper(ad), F.upper(F.col("__adv")), F.lit(SITE_NATIVE),
-                            F.upper(dec.token(ad, "native", 4))),
+                            F.upper(dec.token("native", 4))),
         **f,
     }
     return canonicalize(exprs, ok), bad

@@ -283,10 +283,12 @@ def q_pillar(spark, sf_dir):
 @query("decode_ad_layouts")
 def q_decode_ad_layouts(spark, sf_dir):
     fx.register(spark, sf_dir)
+    layouts = ("analytics_search", "search_ads_long", "search_ads_short", "retargeting")
     a = _t(spark, "fx_ads").select("row_id", F.concat("campaign", F.lit("_"), "ad_group").alias("ad"))
+    a = _dec.prepare(a, "ad", layouts)
     cols = [F.col("row_id")]
-    for layout in ("analytics_search", "search_ads_long", "search_ads_short", "retargeting"):
-        for f, e in _dec.decode("ad", layout).items():
+    for layout in layouts:
+        for f, e in _dec.decode(layout).items():
             cols.append(e.alias(f"{layout}__{f}"))
     return a.select(*cols)
 

@@ -27,6 +27,10 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Dimensions (stores, categories, group names) stay far below this; facts never do.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Fall back from whole-stage codegen when a generated method is too large
+    # for the JIT (HotSpot skips methods over 8000 bytecodes): the wide
+    # canonical projections would otherwise run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -37,6 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor; give it the heap.
+        builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
