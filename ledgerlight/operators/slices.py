@@ -141,7 +141,7 @@ def read_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
 def write_version(spark: SparkSession, df: DataFrame, table_dir: str,
                   partition_by: Sequence[str] = (SOURCE_COL,)) -> str:
     """Write ``df`` as a new version and move the pointer to it."""
-    version = f"v-{_dt.datetime.utcnow():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    version = f"v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
