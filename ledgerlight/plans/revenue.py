@@ -147,14 +147,20 @@ def location_sales(revenue: DataFrame, report_stores, b: dict, split_week_at_yea
     tagged = (rev.select("Store_ID", "Amount", F.explode(F.array(*tags)).alias("t"))
               .filter(F.col("t").isNotNull())
               .select("Store_ID", "Amount", "t.*"))
-    cy = (tagged.filter("cy").groupBy("Store_ID", "Period", "Periodo_Sort", "part")
-          .agg(F.sum("Amount").alias("CY_Amount")))
-    py = (tagged.filter(~F.col("cy")).groupBy("Store_ID", "Period")
-          .agg(F.sum("Amount").alias("PY_Amount")))
-    nat = tagged.filter("cy").groupBy("Period").agg(F.sum("Amount").alias("National_Sales_CY"))
-    out = (cy.join(py, ["Store_ID", "Period"], "left")
-           .join(F.broadcast(nat), "Period", "left"))   # at most four rows
-    return out.select("Store_ID", "Period", F.col("CY_Amount").cast("double").alias("CY_Amount"),
+    # One aggregate over the revenue; prior-year and national figures are then
+    # spread over the (tiny) aggregated rows with windows, so the revenue
+    # union is computed once.
+    agg = (tagged.groupBy("Store_ID", "Period", "Periodo_Sort", "cy", "part")
+           .agg(F.sum("Amount").alias("amt")))
+    from pyspark.sql import Window
+    by_store = Window.partitionBy("Store_ID", "Period")
+    by_period = Window.partitionBy("Period")
+    out = agg.select(
+        "Store_ID", "Period", "Periodo_Sort", "cy", "amt",
+        F.max(F.when(~F.col("cy"), F.col("amt"))).over(by_store).alias("PY_Amount"),
+        F.sum(F.when(F.col("cy"), F.col("amt"))).over(by_period).alias("National_Sales_CY"),
+    ).filter("cy")
+    return out.select("Store_ID", "Period", F.col("amt").cast("double").alias("CY_Amount"),
                       F.col("PY_Amount").cast("double").alias("PY_Amount"),
                       F.col("National_Sales_CY").cast("double").alias("National_Sales_CY"),
                       "Periodo_Sort")
@@ -259,6 +265,10 @@ def location_equipment(combined: DataFrame, report_stores, b: dict) -> DataFrame
     in_wk, in_mon, in_yr = d.between(F.lit(wk), F.lit(y)), d.between(F.lit(mon), F.lit(y)), d.between(F.lit(yr), F.lit(y))
     is_py = (d == F.lit(py)) if py is not None else F.lit(False)
 
+    # One aggregate per (store, group, game) over the date-pruned activity.
+    # Store totals and the national average are sums / averages of these
+    # game-level figures, spread with windows over the aggregated rows.
+    non_fnb = F.col("GroupName") != F.lit(FNB_GROUP)
     games = c.groupBy("Store_ID", "GroupName", "GameName").agg(
         F.max(is_y).alias("has_y"),
         s(is_y).alias("CY_Yest_Collection"),
@@ -272,21 +282,29 @@ def location_equipment(combined: DataFrame, report_stores, b: dict) -> DataFrame
         s(is_py).alias("PY_Yest_Collection"),
         s(in_mon).alias("CY_MTD_G_Col"),
         s(in_yr).alias("CY_YTD_G_Col"),
-    ).filter(F.col("has_y"))
+        s(is_y & non_fnb).alias("t_y"),
+        s(is_ere & non_fnb).alias("t_ere"),
+        s(is_sat & non_fnb).alias("t_sat"),
+        s(in_wk & non_fnb).alias("t_wk"),
+    )
+    from pyspark.sql import Window
+    per_store = Window.partitionBy("Store_ID")
+    per_game = Window.partitionBy("GroupName", "GameName")
     # Correlated equality never matches a null group or game name.
     named = F.col("GroupName").isNotNull() & F.col("GameName").isNotNull()
-    non_fnb = F.col("GroupName") != F.lit(FNB_GROUP)
-    store = c.groupBy("Store_ID").agg(
-        s(is_y & non_fnb).alias("CY_Yest_Total"),
-        s(is_ere & non_fnb).alias("CY_PriorDay_Total"),
-        s(is_sat & non_fnb).alias("CY_PriorSaturday_Total"),
-        s(in_wk & non_fnb).alias("CY_Weekly_Total"),
-        s(in_mon).alias("CY_Month_Total"),
-        s(in_yr).alias("CY_Year_Total"),
-    )
-    nat = national_average(combined, report_stores, wk, y)
-    j = (games.join(bounded(store), "Store_ID", "left")
-         .join(bounded(nat), ["GroupName", "GameName"], "left"))
+    wk = F.col("CY_Weekly_Collection")
+    j = games.select(
+        "*",
+        F.sum("t_y").over(per_store).alias("CY_Yest_Total"),
+        F.sum("t_ere").over(per_store).alias("CY_PriorDay_Total"),
+        F.sum("t_sat").over(per_store).alias("CY_PriorSaturday_Total"),
+        F.sum("t_wk").over(per_store).alias("CY_Weekly_Total"),
+        F.sum("CY_MTD_G_Col").over(per_store).alias("CY_Month_Total"),
+        F.sum("CY_YTD_G_Col").over(per_store).alias("CY_Year_Total"),
+        F.when(named & (F.count(wk).over(per_game) > 0),
+               F.sum(wk).over(per_game).cast("double") / F.count(wk).over(per_game))
+         .alias("CY_National_Average_Collection"),
+    ).filter(F.col("has_y"))
     dbl = lambda col: F.when(named, F.col(col)).cast("double")
     payout = (F.when(F.col("wk_n") == 0, F.lit(None))
               .when(F.col("wk_coll") == 0, F.lit(0.0))
