@@ -52,6 +52,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+# Runtime SQL settings the plans are tuned for; applied to a session created
+# elsewhere (e.g. by a job runner) without touching static settings.
+RUNTIME_SQL_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings and make sure a checkpoint folder exists."""
+    for key, value in RUNTIME_SQL_CONF.items():
+        try:
+            spark.conf.set(key, value)
+        except Exception:  # noqa: BLE001 - a locked-down session keeps its own value
+            pass
+    checkpoint_dir(spark)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
