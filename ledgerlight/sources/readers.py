@@ -86,15 +86,22 @@ def read_trimmed(spark: SparkSession, paths, head: int, tail: int, schema: T.Str
     sheets are bounded by the spreadsheet row limit and spread over tasks by
     file.  Trailing blank lines are not counted as footer.
     """
-    raw = spark.read.text(paths, wholetext=True)
+    return trim_sheet_lines(spark.read.text(paths, wholetext=True), head, tail, schema, sep)
+
+
+def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """Rows of ``raw`` are whole files (``value``); keep lines ``head`` .. ``n - tail``
+    of each and parse them with ``schema``.  Shared by the batch reader and the
+    drop-folder stream."""
     lines = F.split(F.regexp_replace(F.col("value"), r"[\r\n]+$", ""), r"\r?\n")
     # Cut the body once per file, then explode: no per-line reference back to
     # the whole-file array.
     body_lines = F.slice(lines, F.lit(head + 1), F.greatest(F.size(lines) - head - tail, F.lit(0)))
-    body = raw.select(F.explode(body_lines).alias("__line"))
+    keep = [c for c in raw.columns if c != "value"]
+    body = raw.select(*keep, F.explode(body_lines).alias("__line"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = body.select(F.from_csv(F.col("__line"), ddl, {"sep": sep, "escape": '"'}).alias("r"))
-    return parsed.select("r.*")
+    parsed = body.select(*keep, F.from_csv(F.col("__line"), ddl, {"sep": sep, "escape": '"'}).alias("r"))
+    return parsed.select(*keep, "r.*")
 
 
 # ---------------------------------------------------------------------------

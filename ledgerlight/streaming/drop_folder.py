@@ -26,23 +26,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.slices import reload_slice
-from ..sources.readers import drop_glob, file_stem, valid_drop_file
+from ..sources.readers import drop_glob, file_stem, trim_sheet_lines, valid_drop_file
 
 
 def ingest_drop(spark: SparkSession, inbox: str, archive: str, checkpoint: str, table_dir: str,
                 quarantine_dir: str, feed: str, schema: T.StructType,
                 transform: Callable[[DataFrame], DataFrame], source: str,
                 disciplines: Sequence[str] | None = None, sep: str = ",",
-                files_per_batch: int = 1, timeout_s: int | None = None) -> None:
-    stream = (spark.readStream.schema(schema)
-              .option("header", True).option("sep", sep).option("escape", '"')
+                files_per_batch: int = 1, timeout_s: int | None = None,
+                fmt: str = "csv", sheet_head: int = 10, sheet_tail: int = 3) -> None:
+    """``fmt='csv'``: delimited files with a header.  ``fmt='sheet'``: exported
+    sheets, trimmed by line position per file (header + skipped rows, footer)."""
+    reader = (spark.readStream
               .option("pathGlobFilter", drop_glob(feed))
               .option("maxFilesPerTrigger", files_per_batch)
-              .option("cleanSource", "archive").option("sourceArchiveDir", archive)
-              .csv(inbox)
-              .withColumn("__file", F.col("_metadata.file_name")))
+              .option("cleanSource", "archive").option("sourceArchiveDir", archive))
+    if fmt == "sheet":
+        stream = reader.text(inbox, wholetext=True).withColumn("__file", F.col("_metadata.file_name"))
+    else:
+        stream = (reader.schema(schema).option("header", True).option("sep", sep).option("escape", '"')
+                  .csv(inbox).withColumn("__file", F.col("_metadata.file_name")))
 
     def load_batch(df: DataFrame, batch_id: int) -> None:
+        if fmt == "sheet":
+            df = trim_sheet_lines(df, sheet_head, sheet_tail, schema, sep)
         ok = F.coalesce(valid_drop_file(file_stem("__file"), feed), F.lit(False))
         bad = df.filter(~ok)
         if not bad.isEmpty():

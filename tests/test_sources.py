@@ -49,3 +49,77 @@ def test_drop_folder_leaves_bad_names_and_quarantines_bad_dates(spark, small_dir
     df = reg.QUERIES["drop_folder_stream"](spark, small_dir)
     assert df.count() == spark.table("fx_in_retargeting").count()
     assert df.filter(F.col("NOM_ORIGEM_DADOS") != "PARCEIRO").count() == 0
+
+
+def _move_single_part(spark, src_dir, dst):
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(src_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(dst).getParent())
+    for st in fs.listStatus(Path(src_dir)):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), Path(dst))
+            return
+
+
+def _names(spark, d):
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(d).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(Path(d)):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(Path(d)) if not st.getPath().getName().startswith("."))
+
+
+def test_csv_drop_folder_routing(spark, small_dir):
+    from ledgerlight import fixtures as fx
+    from ledgerlight import registry as reg
+    from ledgerlight.operators.slices import read_table
+    from ledgerlight.plans import feeds
+    from ledgerlight.sources.landing import write_drop_files
+    from ledgerlight.streaming.drop_folder import ingest_drop
+    fx.register(spark, small_dir)
+    base = scratch_path(spark, "test-drop")
+    report = reg._retargeting_report(spark)
+    sample = report.filter(F.col("Date").startswith("1996"))
+    write_drop_files(spark, report, "Date", f"{base}/staging", f"{base}/inbox", "rtbhouse", sep=";",
+                     extra={"report_rtbhouse.csv": sample, "20241331_rtbhouse.csv": sample})
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/quarantine",
+                "rtbhouse", reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";",
+                timeout_s=600)
+    assert read_table(spark, f"{base}/table").count() == report.count()
+    assert spark.read.parquet(f"{base}/quarantine").count() == sample.count()   # impossible date
+    assert "report_rtbhouse.csv" in _names(spark, f"{base}/inbox")             # bad name stays
+    # A second run over the same checkpoint finds nothing new and changes nothing.
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/quarantine",
+                "rtbhouse", reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";",
+                timeout_s=600)
+    assert read_table(spark, f"{base}/table").count() == report.count()
+
+
+def test_sheet_drop_folder(spark, small_dir):
+    from ledgerlight import fixtures as fx
+    from ledgerlight import registry as reg
+    from ledgerlight.operators.slices import read_table
+    from ledgerlight.plans import feeds
+    from ledgerlight.sources.landing import write_sheets
+    from ledgerlight.streaming.drop_folder import ingest_drop
+    fx.register(spark, small_dir)
+    base = scratch_path(spark, "test-sheet-drop")
+    sheet = spark.table("fx_in_paid_search")
+    files = {"19960101_bing.txt": "1996", "19970101_bing.txt": "1997", "sheet_bing.txt": "1998"}
+    for name, year in files.items():
+        part = sheet.filter(F.year("date") == int(year))
+        write_sheets(part, f"{base}/staging/{name}", feeds.PAID_SEARCH_HEADER, parts=1)
+        _move_single_part(spark, f"{base}/staging/{name}", f"{base}/inbox/{name}")
+
+    def load(df):
+        return feeds.paid_search_load(df.toDF(*feeds.PAID_SEARCH_HEADER), fail_on_bad_name=False)[0]
+
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/quarantine",
+                "bing", reg.PAID_SEARCH_SCHEMA, load, "PARCEIRO", ["BING_LP"], fmt="sheet", timeout_s=600)
+    got = read_table(spark, f"{base}/table")
+    loadable = feeds.paid_search_load(
+        sheet.filter(F.year("date").isin(1996, 1997)).toDF(*feeds.PAID_SEARCH_HEADER), fail_on_bad_name=False)[0]
+    assert got.count() == loadable.count() > 0
+    assert "sheet_bing.txt" in _names(spark, f"{base}/inbox")
