@@ -263,3 +263,24 @@ def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser
         **f,
     }
     return canonicalize(exprs, ok), bad
+
+
+# ---------------------------------------------------------------------------
+# End-to-end feed job: classified batch -> stamp -> slice reload
+# ---------------------------------------------------------------------------
+def run_load(spark, rows: DataFrame, table_dir: str, source: str, disciplines=None,
+             run_ts=None, mode: str = "replace_slice") -> str | None:
+    """Load one feed batch into the canonical table.
+
+    ``mode='replace_slice'`` (default) swaps the batch's date slice atomically;
+    ``mode='append'`` is the plain append (S13).  ``run_ts`` fixes the load
+    stamp (P4); by default it is the session's local timestamp at run time.
+    Returns the new table version (None for an empty batch)."""
+    from ..operators.canonical import stamp
+    from ..operators.slices import reload_slice, write_version, read_table
+    stamped = stamp(rows, F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None else None)
+    if mode == "append":
+        current = read_table(spark, table_dir)
+        new = stamped if current is None else current.unionByName(stamped)
+        return write_version(spark, new, table_dir)
+    return reload_slice(spark, table_dir, stamped, source, disciplines)

@@ -92,3 +92,17 @@ def test_fail_on_bad_name_aborts(spark):
         rows.collect()
     rows, bad = feeds.social_load(df, fail_on_bad_name=False)
     assert rows.count() == 0 and bad.count() == 1
+
+
+def test_run_load_stamps_and_replaces(spark, small_dir):
+    rows = _rows(spark, small_dir)
+    table = scratch_path(spark, "test-run-load")
+    ts = dt.datetime(2024, 1, 31, 6, 0, 0)
+    v1 = feeds.run_load(spark, rows, table, "ADWORDS", run_ts=ts)
+    got = S.read_table(spark, table)
+    assert got.count() == rows.count()
+    assert got.select("DAT_INSERCAO").distinct().collect()[0][0] == ts
+    v2 = feeds.run_load(spark, rows, table, "ADWORDS", run_ts=ts)          # rerun: same content
+    assert v1 != v2 and S.read_table(spark, table).count() == rows.count()
+    feeds.run_load(spark, rows.limit(5), table, "ADWORDS", run_ts=ts, mode="append")
+    assert S.read_table(spark, table).count() == rows.count() + 5
