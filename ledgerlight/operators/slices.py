@@ -176,3 +176,82 @@ def reload_slice(spark: SparkSession, table_dir: str, batch: DataFrame, source:
     target = read_table(spark, table_dir)
     new = replace_slice(target, batch, source, disciplines, span=(lo, hi))
     return write_version(spark, new, table_dir)
+
+
+# ---------------------------------------------------------------------------
+# Partition-scoped reload (the 100 TB layout)
+# ---------------------------------------------------------------------------
+PERIOD_COL = "PERIODO"                     # yyyy-MM partition of the reference date
+PARTITION_COLS = (SOURCE_COL, PERIOD_COL)
+
+
+def with_period(df: DataFrame) -> DataFrame:
+    return df.withColumn(PERIOD_COL, F.date_format(F.col(DATE_COL), "yyyy-MM"))
+
+
+def _has_partitions(fs, root) -> bool:
+    """True when the table folder holds at least one source partition (first-load guard)."""
+    if not fs.exists(root):
+        return False
+    return any(st.getPath().getName().startswith(f"{SOURCE_COL}=") for st in fs.listStatus(root))
+
+
+def reload_slice_partitioned(spark: SparkSession, table_dir: str, batch: DataFrame, source: str,
+                             disciplines: Sequence[str] | None = None) -> tuple | None:
+    """S14 on a table partitioned by (NOM_ORIGEM_DADOS, PERIODO = yyyy-MM).
+
+    Work is proportional to the slice, not the table: only the month
+    partitions of ``source`` that the batch span touches are read and
+    rewritten.
+
+    1. checkpoint the batch (lineage cut in the shared checkpoint folder);
+    2. read the affected partitions (partition pruning on literal bounds) and
+       keep the rows the DELETE spares (dates outside the span in those months,
+       other disciplines, unknown predicate);
+    3. checkpoint kept + batch, so the write never reads files it replaces;
+    4. dynamic partition overwrite of exactly those partitions;
+    5. delete affected partitions that received no row: dynamic overwrite
+       alone would leave them (the DELETE would not).
+
+    A rerun after a failure at any step converges to the same table.  Returns
+    the span, or None for an empty batch.
+    """
+    batch = with_period(batch).checkpoint(eager=True)
+    lo, hi = span_values(batch)
+    if lo is None:
+        return None
+    p_lo, p_hi = f"{lo:%Y-%m}", f"{hi:%Y-%m}"
+    fs, root = _fs(spark, table_dir)
+    if _has_partitions(fs, root):
+        target = spark.read.parquet(table_dir)
+        affected = target.filter((F.col(SOURCE_COL) == F.lit(source))
+                                 & F.col(PERIOD_COL).between(F.lit(p_lo), F.lit(p_hi)))
+        out = delete_slice(affected, source, lo, hi, disciplines).unionByName(batch.select(*target.columns))
+        out = out.checkpoint(eager=True)
+    else:
+        out = batch
+    # Cluster rows by partition so each month is written by few tasks; the
+    # rebalance hint lets AQE split a skewed (hot) month instead of sending it
+    # to a single task.
+    (out.hint("rebalance", *PARTITION_COLS)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION_COLS).parquet(table_dir))
+    present = {r[0] for r in out.select(PERIOD_COL).distinct().collect()}   # bounded by months in span
+    jvm = spark.sparkContext._jvm
+    src_dir = jvm.org.apache.hadoop.fs.Path(root, f"{SOURCE_COL}={source}")
+    if fs.exists(src_dir):
+        for st in fs.listStatus(src_dir):
+            name = st.getPath().getName()
+            if name.startswith(f"{PERIOD_COL}="):
+                period = name.split("=", 1)[1]
+                if p_lo <= period <= p_hi and period not in present:
+                    fs.delete(st.getPath(), True)
+    return lo, hi
+
+
+def read_partitioned(spark: SparkSession, table_dir: str, columns: Sequence[str] | None = None) -> DataFrame | None:
+    fs, root = _fs(spark, table_dir)
+    if not _has_partitions(fs, root):
+        return None
+    df = spark.read.parquet(table_dir)
+    return df.select(*columns) if columns else df.drop(PERIOD_COL)

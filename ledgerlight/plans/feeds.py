@@ -269,16 +269,26 @@ def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser
 # End-to-end feed job: classified batch -> stamp -> slice reload
 # ---------------------------------------------------------------------------
 def run_load(spark, rows: DataFrame, table_dir: str, source: str, disciplines=None,
-             run_ts=None, mode: str = "replace_slice") -> str | None:
+             run_ts=None, mode: str = "replace_slice", layout: str = "versioned"):
     """Load one feed batch into the canonical table.
 
     ``mode='replace_slice'`` (default) swaps the batch's date slice atomically;
     ``mode='append'`` is the plain append (S13).  ``run_ts`` fixes the load
     stamp (P4); by default it is the session's local timestamp at run time.
-    Returns the new table version (None for an empty batch)."""
+    ``layout='partitioned'`` keeps the table partitioned by (source, date) and
+    rewrites only the slice's partitions (the 100 TB layout); ``'versioned'``
+    writes whole versions behind a pointer (small tables, atomic swap).
+    Returns the new version / span (None for an empty batch)."""
     from ..operators.canonical import stamp
-    from ..operators.slices import reload_slice, write_version, read_table
+    from ..operators.slices import (read_partitioned, reload_slice, reload_slice_partitioned, write_version,
+                                    read_table, with_period, PARTITION_COLS)
     stamped = stamp(rows, F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None else None)
+    if layout == "partitioned":
+        if mode == "append":
+            with_period(stamped).hint("rebalance", *PARTITION_COLS).write.mode("append") \
+                .partitionBy(*PARTITION_COLS).parquet(table_dir)
+            return None
+        return reload_slice_partitioned(spark, table_dir, stamped, source, disciplines)
     if mode == "append":
         current = read_table(spark, table_dir)
         new = stamped if current is None else current.unionByName(stamped)

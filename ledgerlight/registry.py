@@ -479,4 +479,4 @@ def q_drop_folder_stream(spark, sf_dir):
     ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/checkpoint", f"{base}/table",
                 f"{base}/quarantine", "rtbhouse", RETARGETING_SCHEMA, _feeds.retargeting_load,
                 _feeds.SRC_PARTNER, disciplines=[_feeds.SITE_RETARGETING], sep=";", timeout_s=600)
-    return _slices.read_table(spark, f"{base}/table")
+    return _slices.read_partitioned(spark, f"{base}/table", list(_canon.CANONICAL_COLUMNS))

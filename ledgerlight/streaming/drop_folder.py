@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.slices import reload_slice
+from ..operators.slices import reload_slice, reload_slice_partitioned
 from ..sources.readers import drop_glob, file_stem, trim_sheet_lines, valid_drop_file
 
 
@@ -34,9 +34,13 @@ def ingest_drop(spark: SparkSession, inbox: str, archive: str, checkpoint: str,
                 transform: Callable[[DataFrame], DataFrame], source: str,
                 disciplines: Sequence[str] | None = None, sep: str = ",",
                 files_per_batch: int = 1, timeout_s: int | None = None,
-                fmt: str = "csv", sheet_head: int = 10, sheet_tail: int = 3) -> None:
+                fmt: str = "csv", sheet_head: int = 10, sheet_tail: int = 3,
+                layout: str = "partitioned") -> None:
     """``fmt='csv'``: delimited files with a header.  ``fmt='sheet'``: exported
-    sheets, trimmed by line position per file (header + skipped rows, footer)."""
+    sheets, trimmed by line position per file (header + skipped rows, footer).
+    ``layout='partitioned'`` rewrites only the file's (source, date) partitions;
+    ``'versioned'`` writes a whole new table version and swaps a pointer."""
+    reload = reload_slice_partitioned if layout == "partitioned" else reload_slice
     reader = (spark.readStream
               .option("pathGlobFilter", drop_glob(feed))
               .option("maxFilesPerTrigger", files_per_batch)
@@ -55,7 +59,7 @@ def ingest_drop(spark: SparkSession, inbox: str, archive: str, checkpoint: str,
         if not bad.isEmpty():
             bad.write.mode("overwrite").parquet(f"{quarantine_dir}/batch={batch_id}")
         good = df.filter(ok).drop("__file")
-        reload_slice(spark, table_dir, transform(good), source, disciplines)
+        reload(spark, table_dir, transform(good), source, disciplines)
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint)

@@ -74,7 +74,7 @@ def _names(spark, d):
 def test_csv_drop_folder_routing(spark, small_dir):
     from ledgerlight import fixtures as fx
     from ledgerlight import registry as reg
-    from ledgerlight.operators.slices import read_table
+    from ledgerlight.operators.slices import read_partitioned as read_table
     from ledgerlight.plans import feeds
     from ledgerlight.sources.landing import write_drop_files
     from ledgerlight.streaming.drop_folder import ingest_drop
@@ -100,7 +100,7 @@ def test_csv_drop_folder_routing(spark, small_dir):
 def test_sheet_drop_folder(spark, small_dir):
     from ledgerlight import fixtures as fx
     from ledgerlight import registry as reg
-    from ledgerlight.operators.slices import read_table
+    from ledgerlight.operators.slices import read_partitioned as read_table
     from ledgerlight.plans import feeds
     from ledgerlight.sources.landing import write_sheets
     from ledgerlight.streaming.drop_folder import ingest_drop
