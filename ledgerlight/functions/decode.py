@@ -44,20 +44,32 @@ LAYOUTS = {
 COUNT_COL = "__n_us"
 
 
-def _tok_col(max_splits: int) -> str:
-    return f"__tok{max_splits}"
+def _needs_limit(layout: str) -> bool:
+    """Only a layout that reads the last part of a limited split (which keeps the
+    remainder) depends on the limit; every other layout sees the same tokens as
+    an unlimited split, so those layouts share one token array."""
+    pos_map, max_splits, _, exact = LAYOUTS[layout]
+    return (not exact) and max_splits in pos_map
+
+
+def _limit(layout: str) -> int:
+    return LAYOUTS[layout][1] if _needs_limit(layout) else -1
+
+
+def _tok_col(limit: int) -> str:
+    return f"__tok{limit}" if limit >= 0 else "__tok_all"
 
 
 def tokens(name, max_splits: int) -> Column:
     """Python ``name.split('_', max_splits)``: Spark's limit counts parts."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.split(c, "_", max_splits + 1)
+    return F.split(c, "_", max_splits + 1 if max_splits >= 0 else -1)
 
 
 def prepare(df: DataFrame, name, layouts: Iterable[str]) -> DataFrame:
     """Add the underscore count and the token arrays the layouts need."""
     c = F.col(name) if isinstance(name, str) else name
-    limits = sorted({LAYOUTS[lay][1] for lay in layouts})
+    limits = sorted({_limit(lay) for lay in layouts})
     return df.select("*", underscore_count(c).alias(COUNT_COL),
                      *[tokens(c, k).alias(_tok_col(k)) for k in limits])
 
@@ -75,7 +87,7 @@ def applies(layout: str) -> Column:
 
 def token(layout: str, index: int) -> Column:
     """Raw token ``index`` under the layout's split limit (after ``prepare``)."""
-    return F.get(F.col(_tok_col(LAYOUTS[layout][1])), index)
+    return F.get(F.col(_tok_col(_limit(layout))), index)
 
 
 def _pos(toks: Column, p) -> Column:
@@ -87,8 +99,8 @@ def _pos(toks: Column, p) -> Column:
 def decode(layout: str) -> dict[str, Column]:
     """Field name -> Column for ``layout`` (after ``prepare``); null when the
     layout does not apply."""
-    pos_map, max_splits, _, _ = LAYOUTS[layout]
-    toks = F.col(_tok_col(max_splits))
+    pos_map = LAYOUTS[layout][0]
+    toks = F.col(_tok_col(_limit(layout)))
     ok = applies(layout)
     return {f: F.when(ok, _pos(toks, p)) for f, p in zip(FIELDS, pos_map)}
 
