@@ -43,12 +43,17 @@ def keep_in(df: DataFrame, col: str, values, how: str = "in") -> DataFrame:
         side = bounded(values.select(F.col(key).alias("__k")).distinct())
         if how == "in":
             return df.join(side, c == F.col("__k"), "left_semi")
-        # NOT IN over a table: a null in the list makes every comparison unknown.
+        # NOT IN over a table: a null in the list makes every comparison
+        # unknown, so nothing qualifies (checked on at most one row).
+        if values.filter(F.col(key).isNull()).limit(1).count() > 0:
+            return df.limit(0)
         return (df.filter(c.isNotNull())
                 .join(side, c == F.col("__k"), "left_anti"))
     vals = list(values)
     if how == "in":
         return df.filter(c.isin(vals))
+    if any(v is None for v in vals):
+        return df.limit(0)
     return df.filter(~c.isin(vals))
 
 

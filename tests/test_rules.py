@@ -151,3 +151,14 @@ def test_safe_ratio(spark):
 def test_relabel(spark):
     got = one(spark, [("0 Attraction",), ("Other",)], "g string", R.relabel("g", R.GAME_CATEGORY_LABELS))
     assert got == ["Attraction", "Other"]
+
+
+def test_not_in_semantics(spark):
+    from ledgerlight.operators.lookups import keep_in
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    lst = spark.createDataFrame([(2,)], "v int")
+    lst_null = spark.createDataFrame([(2,), (None,)], "v int")
+    assert sorted(r.k for r in keep_in(df, "k", lst, "not in").collect()) == [1]
+    assert keep_in(df, "k", lst_null, "not in").count() == 0
+    assert sorted(r.k for r in keep_in(df, "k", [2], "not in").collect()) == [1]
+    assert sorted(r.k for r in keep_in(df, "k", lst, "in").collect()) == [2]
