@@ -48,10 +48,13 @@ def category_weights(categories: DataFrame, names: Sequence[str] | DataFrame,
     """
     store = category_scope == "store"
     if isinstance(names, DataFrame):
-        nm = bounded(names.select(F.col(names.columns[0]).alias("__nm")).distinct())
+        key = names.columns[0]
+        nm = bounded(names.select(F.col(key).alias("__nm")).distinct())
         p = categories.join(nm, F.col("Name") == F.col("__nm"), "left")
         is_in = F.col("__nm").isNotNull()
-        is_out = F.col("__nm").isNull() & F.col("Name").isNotNull()
+        # NOT IN a list holding a null is never true.
+        list_has_null = names.filter(F.col(key).isNull()).limit(1).count() > 0
+        is_out = F.lit(False) if list_has_null else (F.col("__nm").isNull() & F.col("Name").isNotNull())
     else:
         p = categories
         is_in = F.col("Name").isin(list(names))

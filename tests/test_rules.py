@@ -162,3 +162,17 @@ def test_not_in_semantics(spark):
     assert keep_in(df, "k", lst_null, "not in").count() == 0
     assert sorted(r.k for r in keep_in(df, "k", [2], "not in").collect()) == [1]
     assert sorted(r.k for r in keep_in(df, "k", lst, "in").collect()) == [2]
+
+
+def test_category_weights_count_pairs(spark):
+    from ledgerlight.plans.revenue import category_weights
+    cats = spark.createDataFrame(
+        [(0, 1, 100, "c1"), (1, 1, 100, "c1"), (0, 100, None, "Food"), (1, 100, None, "Food"),
+         (0, 2, 101, "c2"), (0, 101, None, "Toys"), (1, 101, None, None)],
+        "StoreId int, CategoryId int, ParentCategoryId int, Name string")
+    w = {r.CategoryId: (r.w_in, r.w_out) for r in category_weights(cats, ["Food"]).collect()}
+    assert w[1] == (4, 0)          # 2 child rows x 2 parent rows named Food (no store key)
+    assert w[2] == (0, 1)          # parent 101: one 'Toys' row; the null name counts in neither
+    names = spark.createDataFrame([("Food",), (None,)], "n string")
+    w2 = {r.CategoryId: (r.w_in, r.w_out) for r in category_weights(cats, names).collect()}
+    assert w2[1] == (4, 0) and w2[2] == (0, 0)
