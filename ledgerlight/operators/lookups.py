@@ -91,12 +91,18 @@ def top1(dim: DataFrame, keys: Sequence[str], value_cols: Sequence[str], prefix:
     return agg.select(*keys, *[F.col(f"__t.{v}").alias(prefix + v) for v in value_cols])
 
 
-def scaffold(stores: DataFrame, store_col: str, groups: DataFrame, group_col: str) -> DataFrame:
+def scaffold(stores: DataFrame, store_col: str, groups: DataFrame, group_col: str,
+             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Every store x every group; a store keeps a null group when there are none.
 
-    Both sides are dimensions (report stores, distinct group names); the
-    group side is broadcast behind a size check.  Equivalent to
-    ``groups RIGHT JOIN stores ON 1=1``.
+    Equivalent to ``groups RIGHT JOIN stores ON 1=1``.  The output is the
+    product of two dimensions by definition; the group side is broadcast when
+    it fits the bound, otherwise Spark runs a distributed cartesian product
+    (never a broadcast of an unbounded side).
     """
-    g = bounded(groups.select(group_col).distinct())
-    return stores.select(store_col).join(g, F.lit(True), "left")
+    g = groups.select(group_col).distinct()
+    n = g.limit(max_rows + 1).count()
+    s = stores.select(store_col)
+    if n == 0:
+        return s.withColumn(group_col, F.lit(None).cast(groups.schema[group_col].dataType))
+    return s.crossJoin(F.broadcast(g) if n <= max_rows else g)

@@ -176,3 +176,15 @@ def test_category_weights_count_pairs(spark):
     names = spark.createDataFrame([("Food",), (None,)], "n string")
     w2 = {r.CategoryId: (r.w_in, r.w_out) for r in category_weights(cats, names).collect()}
     assert w2[1] == (4, 0) and w2[2] == (0, 0)
+
+
+def test_scaffold_right_join_semantics(spark):
+    from ledgerlight.operators.lookups import scaffold
+    stores = spark.createDataFrame([(1,), (2,)], "s int")
+    groups = spark.createDataFrame([("a",), ("b",), ("a",)], "g string")
+    assert sorted(tuple(r) for r in scaffold(stores, "s", groups, "g").collect()) == \
+        [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+    assert sorted(tuple(r) for r in scaffold(stores, "s", groups, "g", max_rows=1).collect()) == \
+        [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+    empty = groups.limit(0)
+    assert sorted(tuple(r) for r in scaffold(stores, "s", empty, "g").collect()) == [(1, None), (2, None)]
