@@ -76,8 +76,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise installs a
-    fresh local folder (only meaningful for local mode and tests).
+    Uses ``spark.checkpoint.dir`` when the cluster sets it. Where it is unset, a
+    fresh local folder serves local mode and tests; on a cluster that is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -87,6 +87,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
