@@ -29,28 +29,27 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 TEMPLATES = [
     ("mit", "released under the mit license", "mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-     "permission is hereby granted"),
+     "hereby granted"),
     ("apache", "licensed under the apache license version 2 0", "apache license"),
     ("gpl", "this work is licensed under the gnu general public license version 3", "general public license"),
     ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
      "general public license"),
     ("lgpl", "licensed under the gnu lesser general public license", "lesser general public license"),
     ("agpl", "licensed under the gnu affero general public license", "affero general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "binary forms"),
     ("bsd", "released under the bsd license", "bsd license"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy modify"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose", "copy modify"),
     ("cc", "licensed under a creative commons attribution license", "creative commons attribution"),
-    ("unlicense", "free and unencumbered software released into the public domain", "unencumbered software released into the public domain"),
+    ("unlicense", "free and unencumbered software released into the public domain", "unencumbered software released"),
 ]
-# Words too common to be license words, unless a key phrase needs them.
+# Words too common to be license words; no key phrase holds one.
 STOP = set("a and any are as by for free in into is it of or out the this to under use with without work 0 2 3".split())
 RAREST = 8
 
 
 def _vocabulary() -> list[str]:
-    keep = {w for _, _, phrase in TEMPLATES for w in phrase.split()}
-    return sorted({w for _, t, _ in TEMPLATES for w in t.split() if w not in STOP or w in keep})
+    return sorted({w for _, t, _ in TEMPLATES for w in t.split() if w not in STOP})
 
 
 def words_of(text: Column) -> Column:
@@ -89,9 +88,8 @@ def _template_words(spark: SparkSession, idf: dict[str, float]) -> DataFrame:
         words, key = text.split(), phrase.split()
         at = next(i for i in range(len(words)) if words[i:i + len(key)] == key)
         for pos, w in enumerate(words):
-            own = at <= pos < at + len(key)
-            if own or (w in vocabulary and w not in STOP):
-                rows.append((t, label, pos, w, idf[w], own))
+            if w in vocabulary:
+                rows.append((t, label, pos, w, idf[w], at <= pos < at + len(key)))
     return spark.createDataFrame(rows, "t int, label string, pos int, w string, idf double, key boolean")
 
 
