@@ -8,7 +8,8 @@ chosen. A query walks an in-memory neighbour graph of the centroids and reads
 the lists within a distance ratio of the nearest one; the ratio is the one that
 reaches ``recall`` on the sample, where the true neighbours are known. Lists
 longer than a block are read in blocks. Scores are exact inner products in
-double precision.
+double precision. A list returns only vectors that reach the query's score
+floor, the (k + 1)-th best score within the sample, below which no answer lies.
 
 Equal vectors are indexed once, with their smallest ids: at most ``k + 1`` of
 them can appear in an answer, ties going to smaller ids, so nothing is lost
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SAMPLE = 16_384        # vectors that fit the index
-LIST_SIZE = 512        # vectors a list should hold
+LIST_SIZE = 1024       # vectors a list should hold
 MOST_LISTS = 1024
 BLOCK = 8192           # vectors scanned at once
 COPIES = 4             # lists that may hold one vector
@@ -61,6 +62,7 @@ class Lists:
                     self.graph[b].add(a)
         self.graph = [np.array(sorted(g), int) for g in self.graph]
         self.ratio = self._ratio(sample, x, k, recall)
+        self.sample, self.k = sample, k
 
     def lifted(self, v: np.ndarray) -> np.ndarray:
         """One more component makes all norms equal: the nearest is then the one with the largest inner product."""
@@ -102,6 +104,13 @@ class Lists:
             out.append(own)
         return out
 
+    def floors(self, q: np.ndarray) -> np.ndarray:
+        """Per query a score that its answers reach: the sample alone has k + 1 vectors that do."""
+        if len(self.sample) <= self.k:
+            return np.full(len(q), -np.inf)
+        s = q @ self.sample.T
+        return -np.partition(-s, self.k, axis=1)[:, self.k] * (1 - 1e-12) - 1e-12
+
     def search(self, q: np.ndarray, ratio: float | None = None, beam: int = 16) -> dict[int, float]:
         """Best-first walk of the graph: the centroids within the ratio of the nearest found."""
         ratio = ratio or self.ratio
@@ -182,10 +191,11 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
         for b in batches:
             out = [(c, part, q) for q, v in zip(b["cid"], b["vec"]) for c in lists.search(np.asarray(v, float)) for part in range(blocks.get(c, 0))]
             own = dict(zip(b["cid"], b["vec"]))
+            low = dict(zip(b["cid"], lists.floors(_vectors(b["vec"])))) if len(b) else {}
             yield pd.DataFrame({"list": np.array([o[0] for o in out], np.int32), "block": np.array([o[1] for o in out], np.int32),
-                                "qid": np.array([o[2] for o in out], np.int64), "vec": pd.Series([own[o[2]] for o in out], dtype=object)})
+                                "qid": np.array([o[2] for o in out], np.int64), "floor": np.array([low[o[2]] for o in out], float), "vec": pd.Series([own[o[2]] for o in out], dtype=object)})
 
-    probes = questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, block int, qid long, vec array<double>")
+    probes = questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, block int, qid long, floor double, vec array<double>")
     n_blocks = F.get(F.array(*[F.lit(blocks.get(c, 1)) for c in range(len(lists.centroids))]), F.col("list"))
     cut = posted.withColumn("block", F.pmod(F.xxhash64("cid"), n_blocks).cast("int"))
 
@@ -196,8 +206,9 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
         for lo in range(0, len(asks), 256):
             part = asks.iloc[lo:lo + 256]
             s = _vectors(part["vec"]) @ x.T if len(ids) else np.zeros((len(part), 0))
-            for q, row in zip(part["qid"], s):
-                top = np.argsort(-row, kind="stable")[:k + 1]        # equal scores: members are in order of id
+            for q, floor, row in zip(part["qid"], part["floor"], s):
+                able = np.flatnonzero(row >= floor)
+                top = able[np.argsort(-row[able], kind="stable")[:k + 1]]        # equal scores: members are in order of id
                 found_q.append(np.full(len(top), q))
                 found_c.append(ids[top])
                 found_s.append(row[top])
