@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import id_crc, small_batches, stored, text_of
 
-BATCH_BYTES = 8 << 20          # text in one batch
+BATCH_BYTES = 4 << 20          # text in one batch
 BUCKET_BYTES = 16 << 20        # text per hash range
 FOLDS, HELD_OUT, EM_FOLD = 7, 2, 3
 END, START = b" ", b"  "       # no word holds a space
@@ -96,6 +96,7 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size[em] += own.column(3).nbytes
                 if size[em] >= BATCH_BYTES:
                     yield flush(em)
+                    pa.default_memory_pool().release_unused()
     for em in (False, True):
         if kept[em]:
             yield flush(em)
