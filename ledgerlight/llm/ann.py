@@ -8,8 +8,9 @@ chosen. A query walks an in-memory neighbour graph of the centroids and reads
 the lists within a distance ratio of the nearest one; the ratio is the one that
 reaches ``recall`` on the sample, where the true neighbours are known. Lists
 longer than a block are read in blocks. Scores are exact inner products in
-double precision. A list returns only vectors that reach the query's score
-floor, the (k + 1)-th best score within the sample, below which no answer lies.
+double precision. Of a list, a query gets the vectors that reach its score floor
+(the (k + 1)-th best score within the sample), and the best few in any case, so
+that all lists together fill its answer.
 
 Equal vectors are indexed once, with their smallest ids: at most ``k + 1`` of
 them can appear in an answer, ties going to smaller ids, so nothing is lost
@@ -189,13 +190,18 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
 
     def probe(batches):
         for b in batches:
-            out = [(c, part, q) for q, v in zip(b["cid"], b["vec"]) for c in lists.search(np.asarray(v, float)) for part in range(blocks.get(c, 0))]
+            out, least = [], {}
+            for q, v in zip(b["cid"], b["vec"]):
+                own = [(c, part, q) for c in lists.search(np.asarray(v, float)) for part in range(blocks.get(c, 0))]
+                least[q] = -(-COPIES * (k + 1) // max(1, len(own)))       # a vector may come from several lists
+                out += own
             own = dict(zip(b["cid"], b["vec"]))
             low = dict(zip(b["cid"], lists.floors(_vectors(b["vec"])))) if len(b) else {}
             yield pd.DataFrame({"list": np.array([o[0] for o in out], np.int32), "block": np.array([o[1] for o in out], np.int32),
-                                "qid": np.array([o[2] for o in out], np.int64), "floor": np.array([low[o[2]] for o in out], float), "vec": pd.Series([own[o[2]] for o in out], dtype=object)})
+                                "qid": np.array([o[2] for o in out], np.int64), "floor": np.array([low[o[2]] for o in out], float),
+                                "least": np.array([least[o[2]] for o in out], np.int32), "vec": pd.Series([own[o[2]] for o in out], dtype=object)})
 
-    probes = questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, block int, qid long, floor double, vec array<double>")
+    probes = questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, block int, qid long, floor double, least int, vec array<double>")
     n_blocks = F.get(F.array(*[F.lit(blocks.get(c, 1)) for c in range(len(lists.centroids))]), F.col("list"))
     cut = posted.withColumn("block", F.pmod(F.xxhash64("cid"), n_blocks).cast("int"))
 
@@ -206,8 +212,12 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
         for lo in range(0, len(asks), 256):
             part = asks.iloc[lo:lo + 256]
             s = _vectors(part["vec"]) @ x.T if len(ids) else np.zeros((len(part), 0))
-            for q, floor, row in zip(part["qid"], part["floor"], s):
+            for q, floor, least, row in zip(part["qid"], part["floor"], part["least"], s):
                 able = np.flatnonzero(row >= floor)
+                if len(able) < least < len(row):
+                    able = np.flatnonzero(row >= np.partition(row, len(row) - least)[len(row) - least])
+                elif len(able) < least:
+                    able = np.arange(len(row))
                 top = able[np.argsort(-row[able], kind="stable")[:k + 1]]        # equal scores: members are in order of id
                 found_q.append(np.full(len(top), q))
                 found_c.append(ids[top])
