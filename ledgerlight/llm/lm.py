@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import id_crc, small_batches, stored, text_of
 
 BATCH_BYTES = 4 << 20          # text in one batch
-BUCKET_BYTES = 16 << 20        # text per hash range
+BUCKET_BYTES = 8 << 20         # text per hash range
 FOLDS, HELD_OUT, EM_FOLD = 7, 2, 3
 END, START = b" ", b"  "       # no word holds a space
 STEP = 4                       # histogram cells per factor of two
