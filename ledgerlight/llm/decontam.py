@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from .common import small_batches, text_of, utf8_buffer
 
-WALKS = 2          # independent CGK walks
-SAMPLES = 9        # position samples of each walk
+WALKS = 3          # independent CGK walks
+SAMPLES = 7        # position samples of each walk
 BITS = 4           # positions in a sample
 BLOCK_WORDS = 40_000
 CHUNK = 1 << 15    # windows embedded at a time
@@ -116,6 +116,7 @@ class Index:
         h, cut = word_hashes(pa.array([t or "" for _, t in items], pa.string()))
         self.ids = [i for i, _ in items]
         self.words = [h[a:b] for a, b in zip(cut, cut[1:])]
+        self.lists = [x.tolist() for x in self.words]
         self.limit = [int((1 - similarity) * len(x) + 1e-9) for x in self.words]
         self.by_window: dict[tuple, list] = {}
         shapes: dict[tuple, list] = {}
@@ -167,7 +168,11 @@ class Index:
             slack = limit + len(item) // 4 + 1
             lo, hi = max(0, begin - slack), min(int(cut[d + 1] - cut[d]), begin + len(item) + slack)
             checked.update((d, n, begin + k) for k in range(-(len(item) // 4), len(item) // 4 + 1))
-            dist, a, b = best_match(item, h[cut[d] + lo:cut[d] + hi])
+            piece = h[cut[d] + lo:cut[d] + hi]
+            there = set(piece.tolist())
+            if sum(w not in there for w in self.lists[n]) > limit:       # each absent word costs an edit
+                continue
+            dist, a, b = best_match(item, piece)
             if dist <= limit and dist < best.get((d, n), (limit + 1,))[0]:
                 best[(d, n)] = (dist, lo + a, b - a)
         for (d, n), (dist, start, size) in sorted(best.items()):
