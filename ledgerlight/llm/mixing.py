@@ -29,7 +29,7 @@ from .common import WORD, stored, text_of
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-CELL = 20_000
+CELL = 4_000
 EPS = 1e-9
 
 
