@@ -43,7 +43,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 def _planes(a: np.ndarray) -> bytes:
     """Bytes of an array with equal byte positions side by side, which compress well."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
 def _unplanes(b: bytes, kind) -> np.ndarray:
