@@ -39,23 +39,38 @@ SALTS = 16
 FENCE = "\x01"
 
 
+def _bound(x: Column, use) -> Column:
+    """use(x) with x evaluated once."""
+    return F.get(F.transform(F.array(x), use), 0)
+
+
+def _running(values: Column, merge, use) -> Column:
+    """use(before), where before(k) merges the first k values; block by block, so n calls take n * sqrt-like steps."""
+    zero = F.lit(0)
+
+    def over(v: Column) -> Column:
+        blocks = F.transform(F.sequence(zero, F.shiftright(F.size(v), 8)), lambda b: F.aggregate(F.slice(v, b * 256 + 1, 256), zero, merge))
+        heads = F.aggregate(blocks, F.array(zero), lambda a, x: F.concat(a, F.array(merge(F.element_at(a, -1), x))))
+        return _bound(heads, lambda h: use(lambda k: merge(
+            F.get(h, F.shiftright(k, 8)), F.aggregate(F.slice(v, k - k % 256 + 1, k % 256), zero, merge))))
+    return _bound(values, over)
+
+
 def _spans(text: Column, no: int, pattern: str, group: int, least: int) -> Column:
     """array<(start, end, kind, h, symbols)> of one kind's matches, in code points, end exclusive."""
     parts = F.split(F.regexp_replace(text, pattern, FENCE + "$0" + FENCE), FENCE, -1)
 
     def each(parts: Column) -> Column:
-        lens = F.transform(parts, F.length)
-
-        def span(k: Column) -> Column:
+        def span(k: Column, start: Column) -> Column:
             seg = F.get(parts, k)
             value = F.regexp_extract(seg, pattern, group) if group else seg
-            start = F.aggregate(F.slice(lens, 1, k), F.lit(0), lambda a, x: a + x)
             return F.struct(start.alias("start"), (start + F.length(seg)).alias("end"), F.lit(no).alias("kind"),
                             F.xxhash64(value).alias("h"), F.length(value).alias("n"),
                             F.size(F.array_distinct(F.split(value, ""))).alias("symbols"))
         odd = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: k % 2 == 1)
-        return F.filter(F.transform(odd, span), lambda s: s["n"] >= least)
-    return F.flatten(F.transform(F.array(parts), each))        # the split is made once
+        return F.filter(_running(F.transform(parts, F.length), lambda a, x: a + x, lambda before: F.transform(odd, lambda k: span(k, before(k)))),
+                        lambda s: s["n"] >= least)
+    return _bound(parts, each)
 
 
 def candidates(text: Column) -> Column:
@@ -104,11 +119,11 @@ def scan(spark: SparkSession, docs: DataFrame, owner_col: str = "source", owners
 
 def _without(text: Column, spans: Column, mask: str) -> Column:
     """Text with the spans (sorted by start, overlaps allowed) replaced by the mask."""
-    def piece(s: Column, k: Column) -> Column:
-        done = F.coalesce(F.array_max(F.transform(F.slice(spans, 1, k), lambda x: x["end"])), F.lit(0))
+    def piece(s: Column, done: Column) -> Column:
         return F.when(s["start"] >= done, F.concat(F.substr(text, done + 1, s["start"] - done), F.lit(mask))).otherwise("")
-    last = F.array_max(F.transform(spans, lambda x: x["end"]))
-    return F.concat(F.array_join(F.transform(spans, piece), ""), F.substr(text, last + 1))
+    ends = F.transform(spans, lambda x: x["end"])
+    pieces = _running(ends, lambda a, x: F.greatest(a, x), lambda done: F.transform(spans, lambda s, k: piece(s, done(k))))
+    return F.concat(F.array_join(pieces, ""), F.substr(text, F.array_max(ends) + 1))
 
 
 def redact_live(spark: SparkSession, docs: DataFrame, owner_col: str = "source", owners: int = COPIED_OWNERS,
