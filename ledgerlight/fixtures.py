@@ -55,7 +55,7 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "fx_labor": """
 SELECT c_nationkey AS StoreId, o_custkey AS EmpId, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderpriority END AS Department,
        o_orderstatus AS Position, 'RC' || o_orderstatus AS RevenueCenter, CAST(o_orderdate AS DATE) AS Business_Date,
-       CAST(o_orderkey % 9 AS DECIMAL(18,2)) AS RegularHours,
+       CAST(o_orderkey % 9 AS DECIMAL(18,4)) + CAST(0.3333 AS DECIMAL(18,4)) AS RegularHours,
        CAST(CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 0 END AS DECIMAL(18,2)) AS OvertimeHours,
        CAST(o_totalprice AS DECIMAL(18,2)) AS RegularPay, CAST(o_orderkey % 11 AS DECIMAL(18,2)) AS OvertimePay
 FROM orders JOIN customer ON o_custkey = c_custkey""",
@@ -83,12 +83,12 @@ SELECT c_nationkey AS StoreId, CAST(l_shipdate AS DATE) AS Business_Date, l_orde
        l_orderkey % 17 AS RefNo, CASE WHEN l_returnflag = 'R' THEN 'Damaged' ELSE NULL END AS RefundReason,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'Cash' ELSE 'Visa' END AS TenderType,
        CAST(o_orderkey % 20 AS DECIMAL(18,2)) AS TaxAmount, CAST(o_orderkey % 4 AS DECIMAL(18,2)) AS GratuityAmount,
-       o_orderkey % 1000 AS EventRefId
+       o_custkey AS EventRefId
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "fx_bookings": """
-SELECT c_nationkey AS StoreId, o_orderkey % 1000 AS EventRefId, CAST(o_orderdate AS DATE) AS Business_Date,
+SELECT c_nationkey AS StoreId, o_custkey AS EventRefId, CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS Business_Date,
        CASE WHEN o_orderstatus = 'F' THEN 'Canceled' ELSE 'Booked' END AS Status, CAST(o_orderkey % 2 AS INT) AS IsBirthdayEvent
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey < 1000""",
+FROM orders JOIN customer ON o_custkey = c_custkey""",
     "fx_income": """
 SELECT c_nationkey AS StoreId, CAST(o_orderdate AS DATE) AS Business_Date,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Player Card' WHEN '2-HIGH' THEN 'Visa' WHEN '3-MEDIUM' THEN 'Coupon'
@@ -182,13 +182,17 @@ FROM fx_ads""",
 VIEWS.update(FEED_VIEWS)
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    """Register the driver tables and every fixture view for ``sf_dir``.
+_registered: dict[int, tuple] = {}      # session -> (its SparkContext, folder of its views)
 
-    Views are lazy; registering costs only analysis, so callers re-register per
-    query (the driver may switch scale factors within one session).
-    """
+
+def register(spark: SparkSession, sf_dir: str) -> None:
+    """Register the driver tables and every fixture view for ``sf_dir``, once
+    per session and folder (a session may switch folders)."""
     sf_dir = sf_dir.rstrip("/")
+    state = (spark.sparkContext.applicationId, sf_dir)
+    if _registered.get(id(spark)) == state and spark.catalog.tableExists("fx_files"):
+        return
+    _registered[id(spark)] = state
     for name in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     for name, body in VIEWS.items():

@@ -57,7 +57,9 @@ def _to_date(c: Column, dtype: T.DataType) -> Column:
         return c.cast("date")
     s = c.cast("string")
     # ISO text takes the plain cast; compact yyyyMMdd text is parsed only when that fails.
-    return F.coalesce(s.try_cast("date"), F.try_to_date(s, "yyyyMMdd"))
+    # Text that is no date fails the job, as the source's cast does; blank text is no value.
+    bad = F.when(F.trim(s) != "", F.raise_error(F.concat(F.lit("not a date: "), s)))
+    return F.coalesce(s.try_cast("date"), F.try_to_date(s, "yyyyMMdd"), bad.cast("date"))
 
 
 def _to_time(c: Column, dtype: T.DataType) -> Column:
@@ -69,6 +71,14 @@ def _to_time(c: Column, dtype: T.DataType) -> Column:
     return F.to_timestamp_ntz(F.concat(F.lit("1900-01-01 "), s), F.lit("yyyy-MM-dd HH:mm"))
 
 
+def _to_count(c: Column, dtype: T.DataType) -> Column:
+    """Whole numbers keep all digits; others truncate toward zero."""
+    if isinstance(dtype, T.IntegralType):
+        return F.coalesce(c.cast("long"), F.lit(0).cast("long"))
+    whole = c.try_cast("long") if isinstance(dtype, T.StringType) else F.lit(None).cast("long")
+    return F.coalesce(whole, c.cast("double").cast("long"), F.lit(0).cast("long"))
+
+
 def cast_by_prefix(df: DataFrame) -> DataFrame:
     """P2+P3: prefix-driven fill and cast, then upper-case every text column.
 
@@ -83,7 +93,7 @@ def cast_by_prefix(df: DataFrame) -> DataFrame:
         c, dt = F.col(name), types[name]
         p = name[:3]
         if p == "QTD":
-            e = F.coalesce(c.cast("double"), F.lit(0.0)).cast("long")
+            e = _to_count(c, dt)
         elif p == "VAL":
             e = F.coalesce(c.cast("double"), F.lit(0.0))
         elif p == "DAT" and name != LOAD_STAMP:

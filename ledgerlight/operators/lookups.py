@@ -1,53 +1,37 @@
-"""Lookup-style joins: size-checked broadcast, unique lookups, TOP 1, list filters.
+"""Lookup-style joins: unique lookups, TOP 1, list filters, scaffold.
 
-Broadcast is only used behind a size check: ``bounded`` counts at most
-``max_rows + 1`` rows of the candidate side and broadcasts it only when it fits.
-Beyond the bound the plain DataFrame is returned and Spark plans a shuffle join
-(AQE may still convert it at runtime from measured sizes).
+No broadcast is forced and no job runs while a plan is built: Spark's byte
+threshold and AQE's runtime sizes choose between broadcast and shuffle joins.
 """
 
 from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Row bound under which a dimension is broadcast (tens of MB at typical widths).
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def literal_table(spark: SparkSession, name: str, values: Sequence, dtype: T.DataType) -> DataFrame:
-    """A driver-side parameter list as a one-column DataFrame (size known)."""
-    schema = T.StructType([T.StructField(name, dtype, False)])
-    return spark.createDataFrame([(v,) for v in values], schema)
+def holds_null(values: DataFrame, col: str) -> Column:
+    """Whether a one-column list holds a null, as a scalar subquery of the plan."""
+    return values.agg(F.coalesce(F.max(F.col(col).isNull()), F.lit(False)).alias("n")).scalar()
 
 
 def keep_in(df: DataFrame, col: str, values, how: str = "in") -> DataFrame:
     """IN / NOT IN a list.
 
     ``values`` is a Python list (bounded literal -> ``isin`` / InSet) or a
-    one-column DataFrame (semi/anti join behind a size check).  NOT IN drops
-    null keys, as SQL does.
+    one-column DataFrame (semi/anti join).  NOT IN drops null keys, as SQL does.
     """
     c = F.col(col)
     if isinstance(values, DataFrame):
         key = values.columns[0]
-        side = bounded(values.select(F.col(key).alias("__k")).distinct())
+        side = values.select(F.col(key).alias("__k")).distinct()
         if how == "in":
             return df.join(side, c == F.col("__k"), "left_semi")
         # NOT IN over a table: a null in the list makes every comparison
-        # unknown, so nothing qualifies (checked on at most one row).
-        if values.filter(F.col(key).isNull()).limit(1).count() > 0:
-            return df.limit(0)
-        return (df.filter(c.isNotNull())
+        # unknown, so nothing qualifies.
+        return (df.filter(c.isNotNull() & ~holds_null(values, key))
                 .join(side, c == F.col("__k"), "left_anti"))
     vals = list(values)
     if how == "in":
@@ -71,7 +55,7 @@ def unique_lookup(left: DataFrame, left_key: str | Column, dim: DataFrame, dim_k
                .agg(F.count(F.lit(1)).alias("__n"),
                     *[F.min(v).alias(f"__v_{v}") for v in value_cols]))
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    joined = left.join(bounded(reduced), lk == F.col("__lk"), "left")
+    joined = left.join(reduced, lk == F.col("__lk"), "left")
     guard = F.when(F.col("__n") > 1, F.raise_error(F.lit(error)))
     out = joined
     for v in value_cols:
@@ -91,18 +75,10 @@ def top1(dim: DataFrame, keys: Sequence[str], value_cols: Sequence[str], prefix:
     return agg.select(*keys, *[F.col(f"__t.{v}").alias(prefix + v) for v in value_cols])
 
 
-def scaffold(stores: DataFrame, store_col: str, groups: DataFrame, group_col: str,
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def scaffold(stores: DataFrame, store_col: str, groups: DataFrame, group_col: str) -> DataFrame:
     """Every store x every group; a store keeps a null group when there are none.
 
-    Equivalent to ``groups RIGHT JOIN stores ON 1=1``.  The output is the
-    product of two dimensions by definition; the group side is broadcast when
-    it fits the bound, otherwise Spark runs a distributed cartesian product
-    (never a broadcast of an unbounded side).
+    The output is the product of two dimensions by definition, stated as an
+    outer join without a key.
     """
-    g = groups.select(group_col).distinct()
-    n = g.limit(max_rows + 1).count()
-    s = stores.select(store_col)
-    if n == 0:
-        return s.withColumn(group_col, F.lit(None).cast(groups.schema[group_col].dataType))
-    return s.crossJoin(F.broadcast(g) if n <= max_rows else g)
+    return stores.select(store_col).join(groups.select(group_col).distinct(), F.lit(True), "left")

@@ -15,8 +15,6 @@ partitions that change.
 
 from __future__ import annotations
 
-import datetime as _dt
-import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,15 +53,15 @@ def delete_slice(target: DataFrame, source: str, lo, hi, disciplines: Sequence[s
 def replace_slice(target: DataFrame | None, batch: DataFrame, source: str,
                   disciplines: Sequence[str] | None = None, span=None) -> DataFrame:
     """Kept target rows plus the batch.  ``target=None`` is the first load
-    (the table does not exist yet, nothing to delete).  An empty batch has no
-    span and changes nothing."""
+    (the table does not exist yet, nothing to delete).  A batch without any
+    date has no span: nothing is deleted, its rows (if any) are added."""
     if span is None:
         span = span_values(batch)
     lo, hi = span
-    if lo is None:
-        return target if target is not None else batch
     if target is None:
         return batch
+    if lo is None:
+        return target.unionByName(batch)
     return delete_slice(target, source, lo, hi, disciplines).unionByName(batch)
 
 
@@ -101,12 +99,13 @@ def high_water_mark(target: DataFrame, source: str | None = None, days: int = 7,
 
 
 # ---------------------------------------------------------------------------
-# Versioned table write (atomic swap through a pointer file)
+# The stored table, partitioned by (source, period)
 # ---------------------------------------------------------------------------
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return None if "://" in path else path
+# A period is a day, for feeds that reload a few days at a time, or a month,
+# for loads of whole histories; a table keeps one unit.
+PERIOD_COL = "PERIODO"                     # first day of the reference date's period
+PARTITION_COLS = (SOURCE_COL, PERIOD_COL)
+DAY, MONTH = "day", "month"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -115,141 +114,103 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    """Version folder named by the pointer file (None before the first load)."""
-    fs, ptr = _fs(spark, f"{table_dir}/_CURRENT")
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return text.strip() or None
-
+def with_period(df: DataFrame, unit: str = DAY) -> DataFrame:
+    return df.withColumn(PERIOD_COL, _period(F.col(DATE_COL), unit))
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path)
-    return fs.exists(jpath)
 
+def _period(day: Column, unit: str) -> Column:
+    return F.trunc(day, "month") if unit == MONTH else day
 
-def read_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    v = current_version(spark, table_dir)
-    return spark.read.parquet(f"{table_dir}/{v}") if v else None
-
-
-def write_version(spark: SparkSession, df: DataFrame, table_dir: str,
-                  partition_by: Sequence[str] = (SOURCE_COL,)) -> str:
-    """Write ``df`` as a new version and move the pointer to it."""
-    version = f"v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{table_dir}/{version}")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{table_dir}/_CURRENT.{uuid.uuid4().hex[:8]}")
-    fs = tmp.getFileSystem(conf)
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode("utf-8")))
-    out.close()
-    dst = jvm.org.apache.hadoop.fs.Path(f"{table_dir}/_CURRENT")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
-    return version
 
+def _has_partitions(fs, root) -> bool:
+    """True when the table folder holds at least one source partition (first-load guard)."""
+    if not fs.exists(root):
+        return False
+    return any(st.getPath().getName().startswith(f"{SOURCE_COL}=") for st in fs.listStatus(root))
 
-def reload_slice(spark: SparkSession, table_dir: str, batch: DataFrame, source: str,
-                 disciplines: Sequence[str] | None = None) -> str | None:
-    """S14 end to end: span, keep, union, write a version, swap.  Returns the
-    new version, or None for an empty batch (nothing deleted, nothing written).
 
-    The batch is checkpointed first (a lineage cut in the shared checkpoint
-    folder), so the span and the write read the same rows even if an
-    executor is lost in between.
-    """
-    batch = batch.checkpoint(eager=True)
-    lo, hi = span_values(batch)
-    if lo is None:
+def _table(spark: SparkSession, table_dir: str, columns: Sequence[str]) -> DataFrame | None:
+    """The stored rows with their period as a date, or None before the first load."""
+    fs, root = _fs(spark, table_dir)
+    if not _has_partitions(fs, root):
         return None
-    target = read_table(spark, table_dir)
-    new = replace_slice(target, batch, source, disciplines, span=(lo, hi))
-    return write_version(spark, new, table_dir)
+    return spark.read.parquet(table_dir).select(*[F.col(c).cast("date").alias(c) if c == PERIOD_COL else F.col(c) for c in columns])
 
 
-# ---------------------------------------------------------------------------
-# Partition-scoped reload (the 100 TB layout)
-# ---------------------------------------------------------------------------
-PERIOD_COL = "PERIODO"                     # yyyy-MM partition of the reference date
-PARTITION_COLS = (SOURCE_COL, PERIOD_COL)
-
-
-def with_period(df: DataFrame) -> DataFrame:
-    return df.withColumn(PERIOD_COL, F.date_format(F.col(DATE_COL), "yyyy-MM"))
+def _overwrite(rows: DataFrame, table_dir: str) -> None:
+    """Replace exactly the partitions that ``rows`` fill.  The rebalance hint
+    clusters rows by partition and lets AQE split a hot period."""
+    (rows.hint("rebalance", *PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION_COLS).parquet(table_dir))
 
 
-def _has_partitions(fs, root) -> bool:
-    """True when the table folder holds at least one source partition (first-load guard)."""
-    if not fs.exists(root):
-        return False
-    return any(st.getPath().getName().startswith(f"{SOURCE_COL}=") for st in fs.listStatus(root))
+def append_rows(rows: DataFrame, table_dir: str, unit: str = DAY) -> None:
+    """A plain append; nothing that is stored is read or rewritten."""
+    (with_period(rows, unit).hint("rebalance", *PARTITION_COLS).write.mode("append")
+     .partitionBy(*PARTITION_COLS).parquet(table_dir))
 
 
-def reload_slice_partitioned(spark: SparkSession, table_dir: str, batch: DataFrame, source: str,
-                             disciplines: Sequence[str] | None = None) -> tuple | None:
-    """S14 on a table partitioned by (NOM_ORIGEM_DADOS, PERIODO = yyyy-MM).
+def reload_slice(spark: SparkSession, table_dir: str, batch: DataFrame, source: str,
+                 disciplines: Sequence[str] | None = None, unit: str = DAY) -> tuple | None:
+    """S14 on the table partitioned by (NOM_ORIGEM_DADOS, period).
 
-    Work is proportional to the slice, not the table: only the month
-    partitions of ``source`` that the batch span touches are read and
-    rewritten.
+    Work is proportional to the slice, not the table: only the partitions
+    of ``source`` inside the batch span (and the undated one, if the batch has
+    undated rows) are read and rewritten.
 
     1. checkpoint the batch (lineage cut in the shared checkpoint folder);
     2. read the affected partitions (partition pruning on literal bounds) and
-       keep the rows the DELETE spares (dates outside the span in those months,
-       other disciplines, unknown predicate);
+       keep the rows the DELETE spares (other disciplines, other days of a month,
+       undated rows: an unknown predicate deletes nothing);
     3. checkpoint kept + batch, so the write never reads files it replaces;
     4. dynamic partition overwrite of exactly those partitions;
-    5. delete affected partitions that received no row: dynamic overwrite
+    5. delete periods of the span that received no row: dynamic overwrite
        alone would leave them (the DELETE would not).
 
-    A rerun after a failure at any step converges to the same table.  Returns
-    the span, or None for an empty batch.
+    A rerun after a failure at any step converges to the same dated rows.
+    Returns the span, or None for an empty batch; the span of a batch without
+    any date is (None, None) and its rows are only added.
     """
-    batch = with_period(batch).checkpoint(eager=True)
-    lo, hi = span_values(batch)
-    if lo is None:
+    batch = with_period(batch, unit).checkpoint(eager=True)
+    r = batch.agg(F.min(DATE_COL).alias("lo"), F.max(DATE_COL).alias("hi"), F.count("*").alias("n"), F.count(DATE_COL).alias("dated")).first()
+    lo, hi = r["lo"], r["hi"]
+    if not r["n"]:
         return None
-    p_lo, p_hi = f"{lo:%Y-%m}", f"{hi:%Y-%m}"
+    target, out = _table(spark, table_dir, batch.columns), batch
+    if target is not None:
+        touched = F.col(PERIOD_COL).between(_period(F.lit(lo), unit), F.lit(hi)) if lo is not None else F.lit(False)
+        if r["dated"] < r["n"]:
+            touched = touched | F.col(PERIOD_COL).isNull()
+        affected = target.filter((F.col(SOURCE_COL) == F.lit(source)) & touched)
+        kept = affected if lo is None else delete_slice(affected, source, lo, hi, disciplines)
+        out = kept.unionByName(batch).checkpoint(eager=True)
+    _overwrite(out, table_dir)
+    present = {str(x[0]) for x in out.select(PERIOD_COL).distinct().collect()}   # bounded by periods in span
     fs, root = _fs(spark, table_dir)
-    if _has_partitions(fs, root):
-        target = spark.read.parquet(table_dir)
-        affected = target.filter((F.col(SOURCE_COL) == F.lit(source))
-                                 & F.col(PERIOD_COL).between(F.lit(p_lo), F.lit(p_hi)))
-        out = delete_slice(affected, source, lo, hi, disciplines).unionByName(batch.select(*target.columns))
-        out = out.checkpoint(eager=True)
-    else:
-        out = batch
-    # Cluster rows by partition so each month is written by few tasks; the
-    # rebalance hint lets AQE split a skewed (hot) month instead of sending it
-    # to a single task.
-    (out.hint("rebalance", *PARTITION_COLS)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLS).parquet(table_dir))
-    present = {r[0] for r in out.select(PERIOD_COL).distinct().collect()}   # bounded by months in span
-    jvm = spark.sparkContext._jvm
-    src_dir = jvm.org.apache.hadoop.fs.Path(root, f"{SOURCE_COL}={source}")
-    if fs.exists(src_dir):
+    first = f"{lo:%Y-%m}-01" if lo is not None and unit == MONTH else f"{lo}"
+    src_dir = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{SOURCE_COL}={source}")
+    if lo is not None and fs.exists(src_dir):
         for st in fs.listStatus(src_dir):
-            name = st.getPath().getName()
-            if name.startswith(f"{PERIOD_COL}="):
-                period = name.split("=", 1)[1]
-                if p_lo <= period <= p_hi and period not in present:
-                    fs.delete(st.getPath(), True)
+            name, _, day = st.getPath().getName().partition("=")
+            if name == PERIOD_COL and first <= day <= f"{hi}" and day not in present:
+                fs.delete(st.getPath(), True)
     return lo, hi
 
 
-def read_partitioned(spark: SparkSession, table_dir: str, columns: Sequence[str] | None = None) -> DataFrame | None:
+def reload_initiative(spark: SparkSession, table_dir: str, initiatives: DataFrame) -> None:
+    """J11 on the stored table: the update over all rows, of which only the
+    partitions that hold a changed row are rewritten."""
+    target = _table(spark, table_dir, spark.read.parquet(table_dir).columns)
+    updated = update_initiative(target.withColumn("__old", F.col("NOM_INICIATIVA")), initiatives)
+    changed = updated.filter(~F.col("NOM_INICIATIVA").eqNullSafe(F.col("__old"))).select(
+        F.col(SOURCE_COL).alias("__s"), F.col(PERIOD_COL).alias("__d")).distinct()
+    here = F.col(SOURCE_COL).eqNullSafe(F.col("__s")) & F.col(PERIOD_COL).eqNullSafe(F.col("__d"))
+    rows = updated.join(changed, here, "left_semi").drop("__old").checkpoint(eager=True)
+    if not rows.isEmpty():
+        _overwrite(rows, table_dir)
+
+
+def read_table(spark: SparkSession, table_dir: str, columns: Sequence[str] | None = None) -> DataFrame | None:
     fs, root = _fs(spark, table_dir)
     if not _has_partitions(fs, root):
         return None

@@ -242,7 +242,11 @@ def retargeting_load(report: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # M6 native ads (S5, F2, F3, P5f, P10-P12, P15, P17)
 # ---------------------------------------------------------------------------
-def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser_variant: str = "a"):
+def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser_variant: str = "a",
+                    window: tuple | None = None):
+    """``window``: first and last requested day (D8), both included; None takes every day."""
+    if window is not None:
+        report = report.filter(_c("Day").cast("date").between(F.lit(window[0]), F.lit(window[1])))
     df = report.filter(_c("Spend") > 0).filter(_c("Ad Group Name").startswith("alp"))
     ad = _c("Ad Group Name")
     df = dec.prepare(df, ad, ["native"])
@@ -269,28 +273,24 @@ def native_ads_load(report: DataFrame, fail_on_bad_name: bool = True, advertiser
 # End-to-end feed job: classified batch -> stamp -> slice reload
 # ---------------------------------------------------------------------------
 def run_load(spark, rows: DataFrame, table_dir: str, source: str, disciplines=None,
-             run_ts=None, mode: str = "replace_slice", layout: str = "versioned"):
-    """Load one feed batch into the canonical table.
+             run_ts=None, mode: str = "replace_slice", initiatives: DataFrame | None = None,
+             unit: str = "day"):
+    """Load one classified feed batch into the stored canonical table.
 
-    ``mode='replace_slice'`` (default) swaps the batch's date slice atomically;
+    ``mode='replace_slice'`` (default) replaces the batch's date slice;
     ``mode='append'`` is the plain append (S13).  ``run_ts`` fixes the load
     stamp (P4); by default it is the session's local timestamp at run time.
-    ``layout='partitioned'`` keeps the table partitioned by (source, date) and
-    rewrites only the slice's partitions (the 100 TB layout); ``'versioned'``
-    writes whole versions behind a pointer (small tables, atomic swap).
-    Returns the new version / span (None for an empty batch)."""
+    ``unit`` is the table's partition period, ``day`` or ``month``.
+    With ``initiatives`` the initiative update then runs over the whole table.
+    Returns the span of the batch (None for an empty batch or an append)."""
     from ..operators.canonical import stamp
-    from ..operators.slices import (read_partitioned, reload_slice, reload_slice_partitioned, write_version,
-                                    read_table, with_period, PARTITION_COLS)
+    from ..operators.slices import append_rows, reload_initiative, reload_slice
     stamped = stamp(rows, F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None else None)
-    if layout == "partitioned":
-        if mode == "append":
-            with_period(stamped).hint("rebalance", *PARTITION_COLS).write.mode("append") \
-                .partitionBy(*PARTITION_COLS).parquet(table_dir)
-            return None
-        return reload_slice_partitioned(spark, table_dir, stamped, source, disciplines)
+    span = None
     if mode == "append":
-        current = read_table(spark, table_dir)
-        new = stamped if current is None else current.unionByName(stamped)
-        return write_version(spark, new, table_dir)
-    return reload_slice(spark, table_dir, stamped, source, disciplines)
+        append_rows(stamped, table_dir, unit)
+    else:
+        span = reload_slice(spark, table_dir, stamped, source, disciplines, unit)
+    if initiatives is not None:
+        reload_initiative(spark, table_dir, initiatives)
+    return span

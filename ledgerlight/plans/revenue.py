@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import week_number
 from ..functions.rules import GAME_CATEGORY_LABELS, GAME_GROUP_LABELS, relabel
-from ..operators.lookups import bounded, keep_in, top1, unique_lookup, scaffold
+from ..operators.lookups import holds_null, keep_in, top1, unique_lookup, scaffold
 
 FNB_GROUP = "Food, Beverage & Liquor"
 
@@ -49,12 +49,12 @@ def category_weights(categories: DataFrame, names: Sequence[str] | DataFrame,
     store = category_scope == "store"
     if isinstance(names, DataFrame):
         key = names.columns[0]
-        nm = bounded(names.select(F.col(key).alias("__nm")).distinct())
+        nm = names.select(F.col(key).alias("__nm")).distinct()
         p = categories.join(nm, F.col("Name") == F.col("__nm"), "left")
         is_in = F.col("__nm").isNotNull()
         # NOT IN a list holding a null is never true.
-        list_has_null = names.filter(F.col(key).isNull()).limit(1).count() > 0
-        is_out = F.lit(False) if list_has_null else (F.col("__nm").isNull() & F.col("Name").isNotNull())
+        p = p.withColumn("__open", ~holds_null(names, key))
+        is_out = F.col("__open") & F.col("__nm").isNull() & F.col("Name").isNotNull()
     else:
         p = categories
         is_in = F.col("Name").isin(list(names))
@@ -81,8 +81,8 @@ def sales_by_category_group(sales_summary: DataFrame, categories: DataFrame, nam
     restricted to parents whose name is ``in`` / ``out`` of ``names`` / ``all``."""
     w = category_weights(categories, names, category_scope)
     weight = {"in": F.col("w_in"), "out": F.col("w_out"), "all": F.col("w_in") + F.col("w_out")}[which]
-    w = bounded(w.select("CategoryId", *(["StoreId"] if category_scope == "store" else []),
-                         weight.alias("w")).filter(F.col("w") > 0))
+    w = w.select("CategoryId", *(["StoreId"] if category_scope == "store" else []),
+                 weight.alias("w")).filter(F.col("w") > 0)
     s = (sales_summary.groupBy("StoreId", "Business_Date", "CategoryId")
          .agg(F.sum(F.col("AmountSold") - F.col("AmountReturned")).alias("amt")))
     keys = ["CategoryId"] + (["StoreId"] if category_scope == "store" else [])
@@ -192,7 +192,7 @@ def game_activity_by_day(game_activity: DataFrame, group_names: DataFrame) -> Da
               F.sum("PayOut_Percentage").alias("PayOut_Percentage"),
               F.sum("MoneyOUT").alias("MoneyOUT"),
               F.sum("Collection").alias("Collection")))
-    j = g.join(bounded(kind), "GroupName", "left")
+    j = g.join(kind, "GroupName", "left")
     return j.select(
         "Store_ID", relabel("GroupName", GAME_GROUP_LABELS).alias("GroupName"), "GameName",
         F.when(F.col("k_grp") == "Attraction", F.col("amt_attr")).otherwise(F.col("amt_coll")).alias("Amount"),

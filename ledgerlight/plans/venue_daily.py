@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import current_week, day_of_week, week_number
 from ..functions.text import clock_text, full_name, hour_label
-from ..operators.lookups import bounded, top1
+from ..operators.lookups import top1
 
 # Income tender types left out of the end-of-day debits.
 EXCLUDED_TENDERS = ("Player Card", "Employee Discount", "Discounts", "Gratuity", "Coupon",
@@ -131,19 +131,19 @@ def hours_worked(schedule: DataFrame, labor: DataFrame, employees: DataFrame,
     if isinstance(as_of, str):
         as_of = _dt.date.fromisoformat(as_of)
     wk_lo, wk_hi = current_week(as_of)
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("decimal(1,0)")      # the union widens to the input's own type: hours keep their scale
     # Union the two inputs at row level and aggregate once: the sum of per-branch
     # group sums equals the sum over the union.
     sched = (schedule.filter(F.col("Business_Date").between(F.lit(wk_lo), F.lit(wk_hi)))
              .select("StoreId", "Business_Date", "EmpId",
-                     F.col("ScheduledHours").cast("decimal(18,2)").alias("sched"),
+                     F.col("ScheduledHours").alias("sched"),
                      zero.alias("total"), zero.alias("ot")))
     work = labor.select("StoreId", "Business_Date", "EmpId", zero.alias("sched"),
-                        (F.col("RegularHours") + F.col("OvertimeHours")).cast("decimal(18,2)").alias("total"),
-                        F.col("OvertimeHours").cast("decimal(18,2)").alias("ot"))
-    x = (sched.unionByName(work)
-         .groupBy("StoreId", "Business_Date", "EmpId")
-         .agg(F.sum("sched").alias("sched"), F.sum("total").alias("total"), F.sum("ot").alias("ot")))
+                        (F.col("RegularHours") + F.col("OvertimeHours")).alias("total"), F.col("OvertimeHours").alias("ot"))
+    both = sched.unionByName(work)
+    # A day's hours fit the input's own type; keeping it there leaves the later sums their scale.
+    x = (both.groupBy("StoreId", "Business_Date", "EmpId")
+         .agg(*[F.sum(c).cast(both.schema[c].dataType).alias(c) for c in ("sched", "total", "ot")]))
     emp = employees.select(F.col("StoreId"), F.col("EmployeeId").alias("EmpId"), "LastName", "FirstName")
     # Regroup with the names, as the source does (a duplicated employee row merges
     # only when names agree).  The join output is already partitioned on
@@ -192,7 +192,7 @@ def hourly_sales(sales_summary: DataFrame, products: DataFrame, categories: Data
     item = top1(products, ["StoreId", "ProductId"], ["ItemNumber"], "t_")
     pm = pm.join(item, ["StoreId", "ProductId"], "left").select(
         "StoreId", "ProductId", F.col("Name").alias("Product_name"), F.col("t_ItemNumber").alias("Product_Number"))
-    cats = bounded(category_names(categories))
+    cats = category_names(categories)
     j = (sales_summary.join(pm, ["ProductId", "StoreId"], "inner")
          .join(cats, ["CategoryId", "StoreId"], "left"))
     return j.select(
@@ -221,7 +221,7 @@ def returns_report(transactions: DataFrame, employees: DataFrame, products: Data
     j = (tm.join(em, ["StoreId", "EmpId"], "inner")
          .join(ems, (F.col("a_store") == F.col("StoreId")) & (F.col("a_emp") == F.col("AuthByEmpNo")), "left")
          .join(pm, ["StoreId", "LineProductId"], "inner")
-         .join(bounded(cm), ["StoreId", "CategoryId"], "left"))
+         .join(cm, ["StoreId", "CategoryId"], "left"))
     rows = j.select(
         F.col("StoreId").alias("Store_Id"), F.col("Business_Date").alias("Business_date"),
         F.col("ReceiptNumber").alias("Receipt_Number"), clock_text("TransactionDateTime").alias("Hour"),
@@ -272,20 +272,26 @@ def deposits_redeemed(bookings: DataFrame, transactions: DataFrame) -> DataFrame
 
 
 def tax_by_day(transactions: DataFrame) -> DataFrame:
-    """A4: per-receipt tax and gratuity repeated on each line are counted once."""
-    tax = (transactions.select("StoreId", "ReceiptNumber", "Business_Date", "TaxAmount").distinct()
-           .groupBy("StoreId", "Business_Date").agg((F.sum("TaxAmount") * -1).alias("amt")))
-    grat = (transactions.select("StoreId", "ReceiptNumber", "Business_Date", "GratuityAmount").distinct()
-            .groupBy("StoreId", "Business_Date").agg((F.sum("GratuityAmount") * -1).alias("amt")))
-    return _debit(tax, F.lit("IL Sales Tax"), F.col("amt")).unionByName(
-        _debit(grat, F.lit("Gratuity"), F.col("amt")))
+    """A4: per-receipt tax and gratuity repeated on each line are counted once.
+
+    One pass: the distinct amounts of a receipt are summed per receipt, then
+    per day, and each day gives its two rows.
+    """
+    day = (transactions.groupBy("StoreId", "ReceiptNumber", "Business_Date")
+           .agg(F.sum_distinct("TaxAmount").alias("tax"), F.sum_distinct("GratuityAmount").alias("grat"))
+           .groupBy("StoreId", "Business_Date").agg((F.sum("tax") * -1).alias("tax"), (F.sum("grat") * -1).alias("grat")))
+    kinds = F.array(F.struct(F.lit("IL Sales Tax").alias("kind"), F.col("tax").alias("amt")),
+                    F.struct(F.lit("Gratuity").alias("kind"), F.col("grat").alias("amt")))
+    return _debit(day.select("StoreId", "Business_Date", F.inline(kinds)), F.col("kind"), F.col("amt"))
 
 
 def deposits_received(transactions: DataFrame, bookings: DataFrame) -> DataFrame:
     """Pairs with a different date.  For a sale date d the number of birthday
     bookings on another date is (all bookings of the event) - (bookings on d),
-    so the ``<>`` join becomes two equi-joins on pre-aggregated sides."""
-    bb = bookings.filter(F.col("IsBirthdayEvent") == 1)
+    so the ``<>`` join becomes two equi-joins on pre-aggregated sides.  A null
+    date on either side differs from no date, as ``<>`` has it."""
+    bb = bookings.filter((F.col("IsBirthdayEvent") == 1) & F.col("Business_Date").isNotNull())
+    transactions = transactions.filter(F.col("Business_Date").isNotNull())
     per_day = (bb.groupBy("StoreId", "EventRefId", F.col("Business_Date"))
                .agg(F.count(F.lit(1)).alias("n_day")))
     total = bb.groupBy("StoreId", "EventRefId").agg(F.count(F.lit(1)).alias("n_all"))
@@ -305,8 +311,8 @@ def category_credits(sales_summary: DataFrame, categories: DataFrame) -> DataFra
                            F.col("CategoryNumber").alias("cm_num"), F.col("Name").alias("cm_name"))
     cmp = categories.select(F.col("StoreId").alias("p_store"), F.col("CategoryId").alias("p_id"),
                             F.col("CategoryNumber").alias("p_num"), F.col("Name").alias("p_name"))
-    cats = bounded(cm.join(cmp, (F.col("pid") == F.col("p_id")) & (F.col("StoreId") == F.col("p_store")), "inner")
-                   .select("StoreId", "CategoryId", "cm_num", "cm_name", "p_num", "p_name"))
+    cats = (cm.join(cmp, (F.col("pid") == F.col("p_id")) & (F.col("StoreId") == F.col("p_store")), "inner")
+            .select("StoreId", "CategoryId", "cm_num", "cm_name", "p_num", "p_name"))
     # Sum sales per (store, date, category) first; the dimension join then
     # touches one row per group instead of one per sale line.
     s = (sales_summary.groupBy("StoreId", "Business_Date", "CategoryId")

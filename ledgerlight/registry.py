@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .functions.dates import period_bounds, report_bounds, week_number, day_of_week
+from .functions.dates import period_bounds, report_bounds, request_window, week_number, day_of_week
 from .plans import revenue as rv
 from .plans import venue_daily as vd
 
@@ -200,6 +200,17 @@ def _initiatives(spark) -> DataFrame:
     return _t(spark, "fx_initiatives").select(F.col("url").alias("URL"), F.col("initiative").alias("INICIATIVA"))
 
 
+def _paid_search_sheet(spark) -> DataFrame:
+    return _t(spark, "fx_in_paid_search").toDF(*_feeds.PAID_SEARCH_HEADER)
+
+
+NATIVE_AS_OF, NATIVE_DAYS = "1997-03-31", 90
+
+
+def _native_report(spark) -> DataFrame:
+    return _feeds.rename(_t(spark, "fx_in_native"), _feeds.NATIVE_HEADER)
+
+
 def _retargeting_report(spark) -> DataFrame:
     return _feeds.rename(_t(spark, "fx_in_retargeting"), _feeds.RETARGETING_HEADER)
 
@@ -219,16 +230,25 @@ def q_search_ads_load(spark, sf_dir):
 @query("paid_search_load")
 def q_paid_search_load(spark, sf_dir):
     fx.register(spark, sf_dir)
-    sheet = _t(spark, "fx_in_paid_search").toDF(*_feeds.PAID_SEARCH_HEADER)
-    rows, _bad = _feeds.paid_search_load(sheet, _initiatives(spark), fail_on_bad_name=False)
-    return rows
+    return _feeds.paid_search_load(_paid_search_sheet(spark), _initiatives(spark), fail_on_bad_name=False)[0]
+
+
+@query("paid_search_rejects")
+def q_paid_search_rejects(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _feeds.paid_search_load(_paid_search_sheet(spark), fail_on_bad_name=False)[1].drop("__ad")
 
 
 @query("social_load")
 def q_social_load(spark, sf_dir):
     fx.register(spark, sf_dir)
-    rows, _bad = _feeds.social_load(_t(spark, "fx_in_social"), fail_on_bad_name=False)
-    return rows
+    return _feeds.social_load(_t(spark, "fx_in_social"), fail_on_bad_name=False)[0]
+
+
+@query("social_rejects")
+def q_social_rejects(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _feeds.social_load(_t(spark, "fx_in_social"), fail_on_bad_name=False)[1]
 
 
 @query("retargeting_load")
@@ -240,9 +260,24 @@ def q_retargeting_load(spark, sf_dir):
 @query("native_ads_load")
 def q_native_ads_load(spark, sf_dir):
     fx.register(spark, sf_dir)
-    report = _feeds.rename(_t(spark, "fx_in_native"), _feeds.NATIVE_HEADER)
-    rows, _bad = _feeds.native_ads_load(report, fail_on_bad_name=False)
-    return rows
+    return _feeds.native_ads_load(_native_report(spark), fail_on_bad_name=False)[0]
+
+
+@query("native_ads_rejects")
+def q_native_ads_rejects(spark, sf_dir):
+    fx.register(spark, sf_dir)
+    return _feeds.native_ads_load(_native_report(spark), fail_on_bad_name=False)[1]
+
+
+@query("native_ads_window")
+def q_native_ads_window(spark, sf_dir):
+    """S5 + D8: the landed report read with its spend filter, over the rolling request window."""
+    fx.register(spark, sf_dir)
+    report = _native_report(spark)
+    path = _land.write_csv_parts(report, scratch_path(spark, "native-csv"))
+    landed = _rd.read_report(spark, path, report.schema)
+    window = request_window(_dt.date.fromisoformat(NATIVE_AS_OF), days=NATIVE_DAYS)
+    return _feeds.native_ads_load(landed, fail_on_bad_name=False, window=window)[0]
 
 
 @query("channel_class")
@@ -363,7 +398,35 @@ def q_high_water_mark(spark, sf_dir):
     return target.agg(_slices.high_water_mark(target, _feeds.SRC_SEARCH_ADS).alias("hwm_search_ads"),
                       _slices.high_water_mark(target, _feeds.SRC_PARTNER).alias("hwm_partner"),
                       _slices.high_water_mark(target, "NONE").alias("hwm_missing"),
-                      F.max("DAT_REFERENCIA").alias("max_all"))
+                      _slices.high_water_mark(target).alias("hwm_all"),
+                      _slices.high_water_mark(target, days=0).alias("max_all"))
+
+
+RUN_STAMP = _dt.datetime(2024, 1, 31, 6, 0, 0)
+
+
+@query("append_load")
+def q_append_load(spark, sf_dir):
+    """A first load, then a plain append of an overlapping batch; nothing is deleted."""
+    fx.register(spark, sf_dir)
+    target, batch = _target_and_batch(spark)
+    table = scratch_path(spark, "append-load")
+    _feeds.run_load(spark, target, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    _feeds.run_load(spark, batch, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    return _slices.read_table(spark, table, [*_canon.CANONICAL_COLUMNS, _canon.LOAD_STAMP])
+
+
+@query("load_job")
+def q_load_job(spark, sf_dir):
+    """A first load, an overlapping slice reload run twice, then the initiative update over the table."""
+    fx.register(spark, sf_dir)
+    target, batch = _target_and_batch(spark)
+    table = scratch_path(spark, "load-job")
+    _feeds.run_load(spark, target, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    for _ in range(2):
+        _feeds.run_load(spark, batch, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP,
+                        initiatives=_initiatives(spark), unit=_slices.MONTH)
+    return _slices.read_table(spark, table, [*_canon.CANONICAL_COLUMNS, _canon.LOAD_STAMP])
 
 
 # ---------------------------------------------------------------- sources, sinks, streaming
@@ -477,6 +540,7 @@ def q_drop_folder_stream(spark, sf_dir):
     _land.write_drop_files(spark, report, "Date", f"{base}/staging", f"{base}/inbox", "rtbhouse", sep=";",
                            extra={"report_rtbhouse.csv": sample, "20241331_rtbhouse.csv": sample})
     ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/checkpoint", f"{base}/table",
-                f"{base}/quarantine", "rtbhouse", RETARGETING_SCHEMA, _feeds.retargeting_load,
-                _feeds.SRC_PARTNER, disciplines=[_feeds.SITE_RETARGETING], sep=";", timeout_s=600)
-    return _slices.read_partitioned(spark, f"{base}/table", list(_canon.CANONICAL_COLUMNS))
+                f"{base}/errors", "rtbhouse", RETARGETING_SCHEMA, _feeds.retargeting_load,
+                _feeds.SRC_PARTNER, disciplines=[_feeds.SITE_RETARGETING], sep=";",
+                valid=F.try_to_date("Date", "yyyy-MM-dd").isNotNull(), unit=_slices.MONTH)
+    return _slices.read_table(spark, f"{base}/table", list(_canon.CANONICAL_COLUMNS))

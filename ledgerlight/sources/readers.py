@@ -37,20 +37,23 @@ REPORT_SCHEMA = T.StructType([
 PREFIX_LEN = 3  # the API's "ga:" prefix on every header name
 
 
-def flatten_report(spark: SparkSession, paths: str | Sequence[str], header: Sequence[str]) -> DataFrame:
+def flatten_report(spark: SparkSession, paths: str | Sequence[str], header: Sequence[str],
+                   multi_line: bool = False) -> DataFrame:
     """One row per ``data.rows[]``, columns = dimensions then metric names.
 
     Values come from ``metrics[0]`` only (a second date range is ignored).
     Header names lose their 3-character prefix.  A report whose header differs
     from ``header`` fails the job (``raise_error``), instead of silently
-    mis-aligning columns.  Documents are JSON lines, so large landings split.
+    mis-aligning columns.  Documents are JSON lines, so large landings split;
+    ``multi_line`` reads one pretty-printed document (or an array of them) per
+    file.  A file of the other kind fails the job instead of reading as no rows.
     """
-    raw = spark.read.schema(REPORT_SCHEMA).json(paths)
+    raw = spark.read.schema(REPORT_SCHEMA).option("multiLine", multi_line).option("mode", "FAILFAST").json(paths)
     rep = raw.select(F.explode("reports").alias("r"))
     names = F.transform(
         F.concat(F.col("r.columnHeader.dimensions"),
                  F.transform(F.col("r.columnHeader.metricHeader.metricHeaderEntries"), lambda e: e["name"])),
-        lambda h: F.substring(h, PREFIX_LEN + 1, 1 << 20))
+        lambda h: F.substr(h, F.lit(PREFIX_LEN + 1)))
     expected = F.array(*[F.lit(h) for h in header])
     rows = rep.select(
         F.when(names == expected, F.lit(True))
@@ -67,11 +70,12 @@ def flatten_report(spark: SparkSession, paths: str | Sequence[str], header: Sequ
 def read_multi_csv(spark: SparkSession, paths, columns: Sequence[str], key_column: str | None = None,
                    sep: str = ",") -> DataFrame:
     """Concatenated extracts whose header line repeats: read every line as
-    data (all strings) and drop the repeated header lines (``key != 'key'``)."""
+    data (all strings) and drop the repeated header lines (``key != 'key'``; an
+    empty key is not the header and stays)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = spark.read.schema(schema).option("header", False).option("sep", sep).option("escape", '"').csv(paths)
     key = key_column or columns[0]
-    return df.filter(F.col(f"`{key}`") != F.lit(key))
+    return df.filter(~F.col(f"`{key}`").eqNullSafe(F.lit(key)))
 
 
 # ---------------------------------------------------------------------------
@@ -89,10 +93,12 @@ def read_trimmed(spark: SparkSession, paths, head: int, tail: int, schema: T.Str
     return trim_sheet_lines(spark.read.text(paths, wholetext=True), head, tail, schema, sep)
 
 
-def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType, sep: str = ",") -> DataFrame:
+def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType, sep: str = ",",
+                     corrupt: str | None = None) -> DataFrame:
     """Rows of ``raw`` are whole files (``value``); keep lines ``head`` .. ``n - tail``
     of each and parse them with ``schema``.  Shared by the batch reader and the
-    drop-folder stream."""
+    drop-folder stream.  A line that does not parse fails the job, or lands in
+    the ``corrupt`` column if one is named."""
     lines = F.split(F.regexp_replace(F.col("value"), r"[\r\n]+$", ""), r"\r?\n")
     # Cut the body once per file, then explode: no per-line reference back to
     # the whole-file array.
@@ -100,7 +106,11 @@ def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType,
     keep = [c for c in raw.columns if c != "value"]
     body = raw.select(*keep, F.explode(body_lines).alias("__line"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = body.select(*keep, F.from_csv(F.col("__line"), ddl, {"sep": sep, "escape": '"'}).alias("r"))
+    options = {"sep": sep, "escape": '"', "mode": "FAILFAST"}
+    if corrupt:
+        ddl += f", `{corrupt}` string"
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    parsed = body.select(*keep, F.from_csv(F.col("__line"), ddl, options).alias("r"))
     return parsed.select(*keep, "r.*")
 
 
@@ -110,15 +120,16 @@ def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType,
 def read_delimited(spark: SparkSession, paths, schema: T.StructType, sep: str = ";",
                    encoding: str = "utf-8") -> DataFrame | None:
     """Delimited file with a header.  An empty landing returns None (the
-    source stops the run); the check reads at most one row."""
-    df = (spark.read.schema(schema).option("header", True).option("sep", sep)
+    source stops the run); the check reads at most one row.  A cell that does not
+    parse fails the job, as the source's cast does."""
+    df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "FAILFAST")
           .option("encoding", encoding).option("escape", '"').csv(paths))
     return None if df.isEmpty() else df
 
 
 def read_report(spark: SparkSession, paths, schema: T.StructType, spend_col: str = "Spend") -> DataFrame:
     """CSV report keeping rows with positive spend (filter reaches the scan)."""
-    df = spark.read.schema(schema).option("header", True).option("escape", '"').csv(paths)
+    df = spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(paths)
     return df.filter(F.col(f"`{spend_col}`") > 0)
 
 

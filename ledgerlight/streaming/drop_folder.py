@@ -1,73 +1,88 @@
 """Drop-folder ingestion on the Structured Streaming file source.
 
 The source lists a bucket folder, checks each file name, loads it, then moves
-it to ``processados/`` (or ``erros/``).  Here:
+it to ``processados/`` or, if it fails, to ``erros/`` and goes on.  Here:
 
 * the file source discovers files; its checkpoint records which were done,
   so a restarted job neither skips nor repeats a file;
 * the name shape goes into ``pathGlobFilter``, so badly named files never
   enter the stream and stay where they are;
 * ``cleanSource=archive`` moves consumed files to the archive folder;
-* each micro-batch (one file by default, as the source runs files one after
-  another) quarantines rows of files whose name has an impossible date, then
-  replaces the file's date slice in the target table.
+* a file whose name has an impossible date, that has a cell which does not
+  parse, or a row that ``valid`` refuses, is rejected whole: it is copied to
+  the errors folder and none of its rows load, while other files go on;
+* files load one after another, each replacing its own date slice, whatever
+  number of files a micro-batch holds.
 
-``foreachBatch`` is idempotent per batch id: the slice swap produces the same
-table version content on replay, and the quarantine folder of a batch is
-overwritten, not appended.
+``foreachBatch`` is idempotent per batch id: reloading a slice gives the same
+table on replay, and copying a rejected file again overwrites the copy.
 """
 
 from __future__ import annotations
 
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.slices import reload_slice, reload_slice_partitioned
+from ..operators.slices import reload_slice
 from ..sources.readers import drop_glob, file_stem, trim_sheet_lines, valid_drop_file
 
+CORRUPT = "__corrupt"
+
+
+def _copy(spark: SparkSession, path: str, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder)
+    fs = dst.getFileSystem(conf)
+    fs.mkdirs(dst)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(src.getFileSystem(conf), src, fs, jvm.org.apache.hadoop.fs.Path(dst, src.getName()), False, True, conf)
+
 
 def ingest_drop(spark: SparkSession, inbox: str, archive: str, checkpoint: str, table_dir: str,
-                quarantine_dir: str, feed: str, schema: T.StructType,
+                errors_dir: str, feed: str, schema: T.StructType,
                 transform: Callable[[DataFrame], DataFrame], source: str,
                 disciplines: Sequence[str] | None = None, sep: str = ",",
-                files_per_batch: int = 1, timeout_s: int | None = None,
-                fmt: str = "csv", sheet_head: int = 10, sheet_tail: int = 3,
-                layout: str = "partitioned") -> None:
+                files_per_batch: int = 1, fmt: str = "csv", sheet_head: int = 10, sheet_tail: int = 3,
+                valid: Column | None = None, unit: str = "day") -> None:
     """``fmt='csv'``: delimited files with a header.  ``fmt='sheet'``: exported
     sheets, trimmed by line position per file (header + skipped rows, footer).
-    ``layout='partitioned'`` rewrites only the file's (source, date) partitions;
-    ``'versioned'`` writes a whole new table version and swaps a pointer."""
-    reload = reload_slice_partitioned if layout == "partitioned" else reload_slice
+    ``valid``: what every row of a file must meet, besides parsing.  ``unit``: the table's partition period.  Runs until
+    the inbox holds no new file."""
     reader = (spark.readStream
               .option("pathGlobFilter", drop_glob(feed))
               .option("maxFilesPerTrigger", files_per_batch)
               .option("cleanSource", "archive").option("sourceArchiveDir", archive))
     if fmt == "sheet":
-        stream = reader.text(inbox, wholetext=True).withColumn("__file", F.col("_metadata.file_name"))
+        stream = reader.text(inbox, wholetext=True)
     else:
-        stream = (reader.schema(schema).option("header", True).option("sep", sep).option("escape", '"')
-                  .csv(inbox).withColumn("__file", F.col("_metadata.file_name")))
+        stream = (reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+                  .option("header", True).option("sep", sep).option("escape", '"')
+                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(inbox))
+    stream = stream.withColumn("__path", F.col("_metadata.file_path")).withColumn("__file", F.col("_metadata.file_name"))
 
     def load_batch(df: DataFrame, batch_id: int) -> None:
         if fmt == "sheet":
-            df = trim_sheet_lines(df, sheet_head, sheet_tail, schema, sep)
-        ok = F.coalesce(valid_drop_file(file_stem("__file"), feed), F.lit(False))
-        bad = df.filter(~ok)
-        if not bad.isEmpty():
-            bad.write.mode("overwrite").parquet(f"{quarantine_dir}/batch={batch_id}")
-        good = df.filter(ok).drop("__file")
-        reload(spark, table_dir, transform(good), source, disciplines)
+            df = trim_sheet_lines(df, sheet_head, sheet_tail, schema, sep, corrupt=CORRUPT)
+        df = df.persist()                       # each file is parsed once; lost blocks are recomputed
+        fine = F.coalesce(valid_drop_file(file_stem("__file"), feed), F.lit(False)) & F.col(CORRUPT).isNull()
+        if valid is not None:
+            fine = fine & F.coalesce(valid, F.lit(False))
+        files = df.groupBy("__file", "__path").agg(F.min(fine).alias("fine")).orderBy("__file").collect()   # files of one batch
+        for f in files:
+            if f["fine"]:
+                rows = df.filter(F.col("__path") == f["__path"]).drop("__file", "__path", CORRUPT)
+                reload_slice(spark, table_dir, transform(rows), source, disciplines, unit)
+            else:
+                _copy(spark, f["__path"], errors_dir)
+        df.unpersist()
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"drop-folder stream for {feed} did not finish in {timeout_s}s")
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -44,3 +44,46 @@ def test_revenue_has_no_category_fanout(spark, small_dir):
     against the category master with a nested loop or cartesian product."""
     p = plan(spark, small_dir, "revenue_union")
     assert "CartesianProduct" not in p
+
+
+def test_literal_edge_rows(spark):
+    """Rows no driver table holds: undated bookings, hours with four decimals, integers above 2^53, text that is no date."""
+    import datetime as dt
+    from decimal import Decimal
+    import pytest
+    from pyspark.sql import functions as F
+    from ledgerlight.operators.canonical import cast_by_prefix
+    from ledgerlight.plans import venue_daily as vd
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
+    sales = spark.createDataFrame([(1, 7, None, Decimal(5)), (1, 7, d1, Decimal(3))], "StoreId int, EventRefId int, Business_Date date, LineAmountPaid decimal(18,2)")
+    booked = spark.createDataFrame([(1, 7, None, 1), (1, 7, d2, 1)], "StoreId int, EventRefId int, Business_Date date, IsBirthdayEvent int")
+    got = vd.deposits_received(sales, booked).collect()
+    assert [(r.Business_date, r.Amount_Debit) for r in got] == [(d1, -3.0)]
+    labor = spark.createDataFrame([(1, d1, 5, Decimal("7.3333"), Decimal("0.1111"))],
+                                  "StoreId int, Business_Date date, EmpId int, RegularHours decimal(18,4), OvertimeHours decimal(18,4)")
+    plan = spark.createDataFrame([], "StoreId int, Business_Date date, EmpId int, ScheduledHours decimal(18,2)")
+    staff = spark.createDataFrame([(1, 5, "L", "F")], "StoreId int, EmployeeId int, LastName string, FirstName string")
+    assert vd.hours_worked(plan, labor, staff, "2020-06-01").first().Total_Hours == 7.4444
+    big = spark.createDataFrame([(9007199254740993, "9007199254740993", 2.9, "2.9", None)], "QTD_A long, QTD_B string, QTD_C double, QTD_D string, QTD_E long")
+    assert tuple(cast_by_prefix(big).first()) == (9007199254740993, 9007199254740993, 2, 2, 0)
+    with pytest.raises(Exception):
+        cast_by_prefix(spark.createDataFrame([("31/31/2020",)], "DAT_A string")).collect()
+
+
+def test_no_job_runs_while_a_report_is_planned(spark, small_dir):
+    from ledgerlight.registry import QUERIES
+    spark.sparkContext.setJobGroup("planning", "planning")
+    QUERIES["week_number"](spark, small_dir)
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))
+    for key in ("hourly_sales", "store_lookup", "group_scaffold", "revenue_union", "search_ads_load"):
+        QUERIES[key](spark, small_dir)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == before
+
+
+def test_not_in_a_list_with_null_keeps_nothing(spark):
+    from ledgerlight.operators.lookups import keep_in
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    lists = {(2,): [1], (2, None): [], (): [1, 2]}
+    for values, want in lists.items():
+        side = spark.createDataFrame([(v,) for v in values], "x int")
+        assert sorted(r.k for r in keep_in(rows, "k", side, how="not in").collect()) == want

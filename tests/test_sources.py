@@ -74,7 +74,7 @@ def _names(spark, d):
 def test_csv_drop_folder_routing(spark, small_dir):
     from ledgerlight import fixtures as fx
     from ledgerlight import registry as reg
-    from ledgerlight.operators.slices import read_partitioned as read_table
+    from ledgerlight.operators.slices import read_table
     from ledgerlight.plans import feeds
     from ledgerlight.sources.landing import write_drop_files
     from ledgerlight.streaming.drop_folder import ingest_drop
@@ -84,23 +84,21 @@ def test_csv_drop_folder_routing(spark, small_dir):
     sample = report.filter(F.col("Date").startswith("1996"))
     write_drop_files(spark, report, "Date", f"{base}/staging", f"{base}/inbox", "rtbhouse", sep=";",
                      extra={"report_rtbhouse.csv": sample, "20241331_rtbhouse.csv": sample})
-    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/quarantine",
-                "rtbhouse", reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";",
-                timeout_s=600)
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/errors",
+                "rtbhouse", reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";", unit="month")
     assert read_table(spark, f"{base}/table").count() == report.count()
-    assert spark.read.parquet(f"{base}/quarantine").count() == sample.count()   # impossible date
+    assert _names(spark, f"{base}/errors") == ["20241331_rtbhouse.csv"]         # impossible date
     assert "report_rtbhouse.csv" in _names(spark, f"{base}/inbox")             # bad name stays
     # A second run over the same checkpoint finds nothing new and changes nothing.
-    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/quarantine",
-                "rtbhouse", reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";",
-                timeout_s=600)
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/errors",
+                "rtbhouse", reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";", unit="month")
     assert read_table(spark, f"{base}/table").count() == report.count()
 
 
 def test_sheet_drop_folder(spark, small_dir):
     from ledgerlight import fixtures as fx
     from ledgerlight import registry as reg
-    from ledgerlight.operators.slices import read_partitioned as read_table
+    from ledgerlight.operators.slices import read_table
     from ledgerlight.plans import feeds
     from ledgerlight.sources.landing import write_sheets
     from ledgerlight.streaming.drop_folder import ingest_drop
@@ -116,10 +114,60 @@ def test_sheet_drop_folder(spark, small_dir):
     def load(df):
         return feeds.paid_search_load(df.toDF(*feeds.PAID_SEARCH_HEADER), fail_on_bad_name=False)[0]
 
-    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/quarantine",
-                "bing", reg.PAID_SEARCH_SCHEMA, load, "PARCEIRO", ["BING_LP"], fmt="sheet", timeout_s=600)
+    ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/errors",
+                "bing", reg.PAID_SEARCH_SCHEMA, load, "PARCEIRO", ["BING_LP"], fmt="sheet", unit="month")
     got = read_table(spark, f"{base}/table")
     loadable = feeds.paid_search_load(
         sheet.filter(F.year("date").isin(1996, 1997)).toDF(*feeds.PAID_SEARCH_HEADER), fail_on_bad_name=False)[0]
     assert got.count() == loadable.count() > 0
     assert "sheet_bing.txt" in _names(spark, f"{base}/inbox")
+
+
+def test_a_failing_file_goes_to_the_error_folder_and_others_load(spark):
+    from ledgerlight import registry as reg
+    from ledgerlight.operators.slices import read_table
+    from ledgerlight.plans import feeds
+    from ledgerlight.streaming.drop_folder import ingest_drop
+    name = "_".join(f"t{i}" for i in range(11))
+    head = "Date;Size;Device;Imps;Clicks;Cost (BRL)"
+    rows = {"20240101": [("2024-01-01", 1.5), ("2024-01-07", 2.0)], "20240110": [("2024-01-10", 3.0)],
+            "20240115": [("2024-01-15", "12,50")], "20240116": [("16 Jan", 1.0)], "20240120": [("2024-01-20", 4.0), ("2024-01-27", 5.0)]}
+    for per_batch in (1, 2, 5):
+        base = scratch_path(spark, "test-errors")
+        for stem, lines in rows.items():
+            text = "\n".join([head] + [f"{d};{name};desktop;1;1;{c}" for d, c in lines])
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{base}/staging/{stem}")
+            _move_single_part(spark, f"{base}/staging/{stem}", f"{base}/inbox/{stem}_rtbhouse.csv")
+        ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/ckpt", f"{base}/table", f"{base}/errors", "rtbhouse",
+                    reg.RETARGETING_SCHEMA, feeds.retargeting_load, "PARCEIRO", ["RTBHOUSE"], sep=";", files_per_batch=per_batch,
+                    valid=F.try_to_date("Date", "yyyy-MM-dd").isNotNull())
+        assert _names(spark, f"{base}/errors") == ["20240115_rtbhouse.csv", "20240116_rtbhouse.csv"]
+        got = sorted((str(r.DAT_REFERENCIA), r.VAL_INVESTIMENTO) for r in read_table(spark, f"{base}/table").collect())
+        assert got == [("2024-01-01", 1.5), ("2024-01-07", 2.0), ("2024-01-10", 3.0), ("2024-01-20", 4.0), ("2024-01-27", 5.0)]
+
+
+def test_bad_cells_fail_instead_of_reading_as_null(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+    from ledgerlight.sources import readers as rd
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("n", T.DoubleType())])
+    (tmp_path / "r.csv").write_text("a;n\nx;12,50\n")
+    with pytest.raises(Exception):
+        rd.read_delimited(spark, str(tmp_path / "r.csv"), schema).collect()
+    (tmp_path / "s.txt").write_text("h\nx,1.5\ny,bad\nfoot\n")
+    with pytest.raises(Exception):
+        rd.read_trimmed(spark, str(tmp_path / "s.txt"), 1, 1, schema).collect()
+    (tmp_path / "m.csv").write_text("Day,v\n,1\n2020-01-01,2\nDay,v\n")
+    assert rd.read_multi_csv(spark, str(tmp_path / "m.csv"), ["Day", "v"]).count() == 2
+
+
+def test_pretty_printed_report(spark, tmp_path):
+    import json
+    import pytest
+    from ledgerlight.sources import readers as rd
+    doc = {"reports": [{"columnHeader": {"dimensions": ["ga:date"], "metricHeader": {"metricHeaderEntries": [{"name": "ga:hits"}]}},
+                        "data": {"rows": [{"dimensions": ["20200101"], "metrics": [{"values": ["3"]}]}]}}]}
+    (tmp_path / "r.json").write_text(json.dumps(doc, indent=2))
+    assert rd.flatten_report(spark, str(tmp_path / "r.json"), ["date", "hits"], multi_line=True).collect() == [("20200101", "3")]
+    with pytest.raises(Exception):
+        rd.flatten_report(spark, str(tmp_path / "r.json"), ["date", "hits"]).collect()
