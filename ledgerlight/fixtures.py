@@ -19,6 +19,32 @@ PRODUCT_SALES_STORES = (4, 9)
 FOOD_AND_BEVERAGE = ("Food", "Beer", "Pizza")
 PRODUCT_GROUPS = ("Food", "NA Beverage", "NA Beverages", "Dessert")
 
+# Parts of invented ads that together reach every channel, advertiser and pillar rule.
+AD_CAMPAIGNS = ["alp_varejo-nac", "alp_varejo-inter", "alp_marca", "xyz_voebiz", "alp_madrugol-nacional", "alp_madrugol-internacional",
+                "alp_acao-fim-de-semana", "alp_receitas-auxiliares", "alp_klm-af", "alp_gollog", "alp_outra"]
+AD_SUFFIXES = ["", "-search", "-branding", "-gdn", "-smart-ads", "-youtube-gallery", "-gallery", "-discovery-ads", "-display", "-gsp",
+               "-smartads", "-vídeo", "-Non-Branding"]
+AD_INITIATIVES = ["test-and-learn_aquisicao", "receitas-auxiliares_retencao", "varejo_aquisicao", "varejo_retencao", "varejo_core"]
+AD_CONTENTS = ["core-cpa", "meta-search", "banner", "metasearch", "core", "cpa", "meta", "gdn", "gsp", "smart-ads", "discovery-ads"]
+AD_MEDIA = [
+    "google / cpc", "bing / cpc", "google-adwords / display", "google-gdn / display", "google-ads-gdn / display", "google-ads-gsp / display",
+    "google-ads-smart-ads / display", "google-ads-discovery-ads / display", "google / programatico", "google-dv360 / display",
+    "google-dv360 / native", "google-dv360 / programatico", "google-dv360 / video", "google-dv360-youtube / programatico", "criteo / display",
+    "facebook / social", "kayak / comparador", "kayak / core", "kayak / display", "skyscanner / comparador", "skyscanner / display",
+    "viajala / comparador", "viajala / core", "viajala / display", "voopter / comparador", "voopter / core", "voopter / display",
+    "voopter / publi-editorial", "turismocity", "oath / display", "oath / outlook", "oath-brightroll / programatico", "oath-gemini / native",
+    "oath-outlook / programatico", "outlook / display", "verizon / display", "verizon-dsp / display", "verizon-dsp / programatico",
+    "verizon-gemini / native", "taboola / display", "taboola / native", "outbrain / native", "outbrain / social", "rtbhouse / display",
+    "rtbhouse / native", "rtbhouse / programatico", "seedtag / display", "spotify / audio", "spotify / display", "spotify / programatico",
+    "uol / display", "abril / display", "brazil-journal / display", "folha / display", "jovem-nerd / content", "kiaora-digital / display",
+    "lancenet / display", "terra / display", "webedia / display", "xtmedia / display", "xtmedia / video", "(direct) / (none)"]
+
+
+def _pick(key: str, values: list[str]) -> str:
+    """SQL that picks a value by ``key`` modulo their number."""
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
 VIEWS: dict[str, str] = {
     "fx_stores": """
 SELECT n_nationkey AS store_number, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE 900 + n_nationkey END AS embed_number,
@@ -125,14 +151,11 @@ SELECT DISTINCT CAST(l_shipdate AS DATE) AS FULL_DATE, CAST(l_shipdate - INTERVA
        CAST(l_shipdate - INTERVAL '364' DAY AS DATE) AS PY_DAY_OF_WEEK FROM lineitem""",
     "fx_ads": """
 SELECT l_orderkey * 10 + l_linenumber AS row_id, CAST(l_shipdate AS DATE) AS day,
-       CASE l_partkey % 4 WHEN 0 THEN 'alp_varejo-nac' WHEN 1 THEN 'alp_varejo-inter' WHEN 2 THEN 'alp_marca' ELSE 'xyz_voebiz' END
-         || CASE l_suppkey % 6 WHEN 0 THEN '-search' WHEN 1 THEN '-branding' WHEN 2 THEN '-gdn' WHEN 3 THEN '-smart-ads' WHEN 4 THEN '-youtube-gallery' ELSE '' END
-         || '_google_media' AS campaign,
-       'test-and-learn_aquisicao_seg_' || l_linestatus || '_buy' ||
+       """ + _pick("l_suppkey", AD_CAMPAIGNS) + """ || """ + _pick("l_orderkey", AD_SUFFIXES) + """ || '_google_media' AS campaign,
+       """ + _pick("l_partkey", AD_INITIATIVES) + """ || '_seg_' || l_linestatus || '_buy' ||
          CASE (l_orderkey * 10 + l_linenumber) % 3 WHEN 0 THEN '_fmt' WHEN 1 THEN '_fmt_creative' ELSE '' END AS ad_group,
-       CASE l_suppkey % 8 WHEN 0 THEN 'google / cpc' WHEN 1 THEN 'bing / cpc' WHEN 2 THEN 'kayak / core' WHEN 3 THEN 'oath / outlook'
-            WHEN 4 THEN 'viajala / display' WHEN 5 THEN 'google-adwords / display' WHEN 6 THEN 'rtbhouse / native' ELSE '(direct) / (none)' END AS medium,
-       CASE l_partkey % 3 WHEN 0 THEN 'core-cpa' WHEN 1 THEN 'meta-search' ELSE 'banner' END AS content,
+       """ + _pick("(l_orderkey + l_partkey)", AD_MEDIA) + """ AS medium,
+       """ + _pick("l_partkey", AD_CONTENTS) + """ AS content,
        CASE l_linenumber WHEN 1 THEN 'desktop' WHEN 2 THEN 'mobile' WHEN 3 THEN 'tablet' WHEN 4 THEN 'smartphone' WHEN 5 THEN 'unknown' ELSE 'tv' END AS device,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 10000 AS BIGINT) AS cost_micros, CAST(l_tax AS DECIMAL(18,2)) AS spend, CAST(l_quantity AS INT) AS impressions,
        l_linenumber AS clicks, l_linenumber % 24 AS hour, CASE WHEN l_linenumber = 1 THEN '0.00%' ELSE '12.50%' END AS video_25,

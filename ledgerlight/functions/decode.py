@@ -103,19 +103,3 @@ def decode(layout: str) -> dict[str, Column]:
     toks = F.col(_tok_col(_limit(layout)))
     ok = applies(layout)
     return {f: F.when(ok, _pos(toks, p)) for f, p in zip(FIELDS, pos_map)}
-
-
-def decode_sql(name_sql: str, layout: str) -> dict[str, str]:
-    """DuckDB rendering of :func:`decode` (split_part based) for oracles."""
-    pos_map, max_splits, min_us, exact = LAYOUTS[layout]
-    n = f"(length({name_sql}) - length(replace({name_sql}, '_', '')))"
-    ok = f"{n} = {min_us}" if exact else f"{n} >= {min_us}"
-
-    def part(p):
-        if p == "0_1":
-            return f"split_part({name_sql}, '_', 1) || '_' || split_part({name_sql}, '_', 2)"
-        if p == max_splits:  # last part keeps the remainder
-            return f"array_to_string(string_split({name_sql}, '_')[{p + 1}:], '_')"
-        return f"split_part({name_sql}, '_', {p + 1})"
-
-    return {f: f"CASE WHEN {ok} THEN {part(p)} END" for f, p in zip(FIELDS, pos_map)}

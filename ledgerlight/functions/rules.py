@@ -3,8 +3,7 @@
 Rule tables are data: an ordered list of ``(label, condition)``.  A condition
 is a tiny predicate tree over named text inputs (substring tests, equality,
 and/or/not).  ``compile_rules`` turns a table into one Spark ``CASE WHEN``
-(codegen-friendly, no UDF); ``rules_sql`` renders the same table as SQL text
-for DuckDB, so an oracle can run the rules without Spark.
+(codegen-friendly, no UDF).
 
 Matching is case-sensitive substring search, first match wins, as in the
 source system.  A null input makes a test unknown, which falls through.
@@ -38,7 +37,6 @@ class Cond:
     def __invert__(self) -> "Cond":
         return Cond("not", parts=(self,))
 
-    # Spark ------------------------------------------------------------
     def column(self, cols: Mapping[str, Column]) -> Column:
         if self.op == "has":
             c = cols[self.field]
@@ -62,26 +60,6 @@ class Cond:
             return ~self.parts[0].column(cols)
         raise ValueError(self.op)
 
-    # SQL --------------------------------------------------------------
-    def sql(self, cols: Mapping[str, str]) -> str:
-        if self.op == "has":
-            c = cols[self.field]
-            return "(" + " OR ".join(f"contains({c}, {_q(v)})" for v in self.values) + ")"
-        if self.op == "eq":
-            c = cols[self.field]
-            return "(" + " OR ".join(f"{c} = {_q(v)}" for v in self.values) + ")"
-        if self.op == "and":
-            return f"({self.parts[0].sql(cols)} AND {self.parts[1].sql(cols)})"
-        if self.op == "or":
-            return f"({self.parts[0].sql(cols)} OR {self.parts[1].sql(cols)})"
-        if self.op == "not":
-            return f"(NOT {self.parts[0].sql(cols)})"
-        raise ValueError(self.op)
-
-
-def _q(v: str) -> str:
-    return "'" + v.replace("'", "''") + "'"
-
 
 def has(field: str, *needles: str) -> Cond:
     """True when ``field`` contains any of the needles."""
@@ -110,11 +88,6 @@ def compile_rules(rules: Rules, cols: Mapping[str, Column], default) -> Column:
     return dflt if expr is None else expr.otherwise(dflt)
 
 
-def rules_sql(rules: Rules, cols: Mapping[str, str], default: str) -> str:
-    arms = "\n".join(f"  WHEN {cond.sql(cols)} THEN {_q(label)}" for label, cond in rules)
-    return f"CASE\n{arms}\n  ELSE {default}\nEND"
-
-
 # --------------------------------------------------------------------------
 # Rule tables that must equal the source system's, in its order.
 # --------------------------------------------------------------------------
@@ -307,7 +280,7 @@ def contains_any(c, needles) -> Column:
 
 
 # Named scalar functions (the warehouse functions whose bodies are not in
-# the source).  Defaults are the rule sets above; callers may register others.
+# the source).  Defaults are the rule sets above; a caller may put others in the registry.
 def _identity(c: Column) -> Column:
     return c
 
@@ -319,9 +292,5 @@ FUNCTION_REGISTRY = {
 }
 
 
-def register_function(name: str, fn) -> None:
-    FUNCTION_REGISTRY[name] = fn
-
-
 def named_function(name: str):
     return FUNCTION_REGISTRY[name]

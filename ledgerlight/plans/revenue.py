@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import week_number
 from ..functions.rules import GAME_CATEGORY_LABELS, GAME_GROUP_LABELS, relabel
+from ..functions.text import safe_ratio
 from ..operators.lookups import holds_null, keep_in, top1, unique_lookup, scaffold
 
 FNB_GROUP = "Food, Beverage & Liquor"
@@ -270,7 +271,7 @@ def location_equipment(combined: DataFrame, report_stores, b: dict) -> DataFrame
 
     # One aggregate per (store, group, game) over the date-pruned activity.
     # Store totals and the national average are sums / averages of these
-    # game-level figures, spread with windows over the aggregated rows.
+    # game-level figures.
     non_fnb = F.col("GroupName") != F.lit(FNB_GROUP)
     games = c.groupBy("Store_ID", "GroupName", "GameName").agg(
         F.max(is_y).alias("has_y"),
@@ -290,28 +291,22 @@ def location_equipment(combined: DataFrame, report_stores, b: dict) -> DataFrame
         s(is_sat & non_fnb).alias("t_sat"),
         s(in_wk & non_fnb).alias("t_wk"),
     )
-    from pyspark.sql import Window
-    per_store = Window.partitionBy("Store_ID")
-    per_game = Window.partitionBy("GroupName", "GameName")
     # Correlated equality never matches a null group or game name.
     named = F.col("GroupName").isNotNull() & F.col("GameName").isNotNull()
     wk = F.col("CY_Weekly_Collection")
-    j = games.select(
-        "*",
-        F.sum("t_y").over(per_store).alias("CY_Yest_Total"),
-        F.sum("t_ere").over(per_store).alias("CY_PriorDay_Total"),
-        F.sum("t_sat").over(per_store).alias("CY_PriorSaturday_Total"),
-        F.sum("t_wk").over(per_store).alias("CY_Weekly_Total"),
-        F.sum("CY_MTD_G_Col").over(per_store).alias("CY_Month_Total"),
-        F.sum("CY_YTD_G_Col").over(per_store).alias("CY_Year_Total"),
-        F.when(named & (F.count(wk).over(per_game) > 0),
-               F.sum(wk).over(per_game).cast("double") / F.count(wk).over(per_game))
-         .alias("CY_National_Average_Collection"),
-    ).filter(F.col("has_y"))
+    # Partial aggregates per store and per game, joined back to yesterday's
+    # games: no task ever holds all rows of a store or game.
+    store = games.groupBy(F.col("Store_ID").alias("s_store")).agg(
+        F.sum("t_y").alias("CY_Yest_Total"), F.sum("t_ere").alias("CY_PriorDay_Total"),
+        F.sum("t_sat").alias("CY_PriorSaturday_Total"), F.sum("t_wk").alias("CY_Weekly_Total"),
+        F.sum("CY_MTD_G_Col").alias("CY_Month_Total"), F.sum("CY_YTD_G_Col").alias("CY_Year_Total"))
+    nation = games.filter(named).groupBy(F.col("GroupName").alias("n_group"), F.col("GameName").alias("n_game")).agg(
+        F.when(F.count(wk) > 0, F.sum(wk).cast("double") / F.count(wk)).alias("CY_National_Average_Collection"))
+    j = (games.filter("has_y").join(store, F.col("Store_ID") == F.col("s_store"))
+         .join(nation, (F.col("GroupName") == F.col("n_group")) & (F.col("GameName") == F.col("n_game")), "left"))
     dbl = lambda col: F.when(named, F.col(col)).cast("double")
     payout = (F.when(F.col("wk_n") == 0, F.lit(None))
-              .when(F.col("wk_coll") == 0, F.lit(0.0))
-              .otherwise(F.col("wk_money").cast("double") / F.col("wk_coll").cast("double")))
+              .otherwise(safe_ratio("wk_money", "wk_coll")))
     return j.select(
         "Store_ID", "GroupName", "GameName",
         F.col("CY_Yest_Collection").cast("double").alias("CY_Yest_Collection"),

@@ -169,6 +169,16 @@ def q_location_equipment(spark, sf_dir):
     return rv.location_equipment(_combined(spark, b), _report_stores(spark), b)
 
 
+@query("staged_equipment")
+def q_staged_equipment(spark, sf_dir):
+    """The combined activity staged once, then read by two reports: its games per store beside the equipment report."""
+    fx.register(spark, sf_dir)
+    b = _bounds(spark)
+    staged = _sinks.stage(spark, _combined(spark, b), scratch_path(spark, "combined-activity"))
+    games = staged.groupBy("Store_ID").agg(F.count_distinct("GameName").alias("games"))
+    return rv.location_equipment(staged, _report_stores(spark), b).join(games, "Store_ID")
+
+
 # ---------------------------------------------------------------- dates
 @query("period_bounds")
 def q_period_bounds(spark, sf_dir):
@@ -470,7 +480,7 @@ def q_flatten_report(spark, sf_dir):
 def q_repeated_header_csv(spark, sf_dir):
     fx.register(spark, sf_dir)
     report = _search_ads_report(spark)
-    path = _land.write_csv_parts(report, scratch_path(spark, "search-ads-csv"), parts=4)
+    path = _land.write_csv_parts(report, scratch_path(spark, "search-ads-csv"))
     return _rd.read_multi_csv(spark, path, report.columns, key_column="Day")
 
 

@@ -65,10 +65,8 @@ RUNTIME_SQL_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings and make sure a checkpoint folder exists."""
     for key, value in RUNTIME_SQL_CONF.items():
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # noqa: BLE001 - a locked-down session keeps its own value
-            pass
     checkpoint_dir(spark)
     return spark
 

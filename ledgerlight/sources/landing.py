@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_ROWS = 1000  # rows per report document (the API pages its responses)
+PART_ROWS = 20_000  # rows per CSV extract
+SHEET_ROWS = 50_000  # rows per exported sheet
 
 
 def _page_key(df: DataFrame) -> DataFrame:
@@ -42,27 +43,31 @@ def write_analytics_reports(df: DataFrame, path: str, dimensions: Sequence[str],
     return path
 
 
-def write_csv_parts(df: DataFrame, path: str, parts: int = 4, sep: str = ",") -> str:
-    """CSV extracts with a header in every part file (the repeated header)."""
-    df.repartition(parts).write.mode("overwrite").option("header", True).option("sep", sep) \
-        .option("escape", '"').csv(path)
+def write_csv_parts(df: DataFrame, path: str, sep: str = ",") -> str:
+    """CSV extracts of bounded size with a header in every part file (the repeated header)."""
+    df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"') \
+        .option("maxRecordsPerFile", PART_ROWS).csv(path)
     return path
 
 
-def write_sheets(df: DataFrame, path: str, header: Sequence[str], parts: int = 3,
-                 head_junk: int = 9, footer: int = 3) -> str:
-    """Sheets exported as text: header, ``head_junk`` report lines, data, ``footer`` lines."""
-    lines = df.select(F.to_csv(F.struct(*[F.col(c) for c in df.columns]), {"escape": '"'}).alias("value"))
-    head = [",".join(header)] + [f"Report line {i + 1}" for i in range(head_junk)]
-    foot = ["Total", "Generated by export", "Confidential"][:footer]
-
-    def frame(batches):
-        yield pd.DataFrame({"value": head})
-        for b in batches:
-            yield b
-        yield pd.DataFrame({"value": foot})
+def write_sheets(df: DataFrame, path: str, header: Sequence[str], head_junk: int = 9, footer: int = 3,
+                 rows: int = SHEET_ROWS) -> str:
+    """Sheets exported as text: header, ``head_junk`` report lines, data, ``footer`` lines.
 
-    lines.repartition(parts).mapInPandas(frame, "value string").write.mode("overwrite").text(path)
+    A sheet holds about ``rows`` lines, however many sheets that takes; each
+    is a value ``sheet`` of the partition column below ``path``.
+    """
+    lines = df.select(F.to_csv(F.struct(*[F.col(c) for c in df.columns]), {"escape": '"'}).alias("value"))
+    sheets = F.greatest(F.lit(1), F.ceil(lines.agg(F.count("*").alias("n")).scalar() / rows))
+    lines = lines.withColumn("sheet", F.pmod(F.xxhash64("value"), sheets).cast("int"))
+    frame = [(0, i, v) for i, v in enumerate([",".join(header)] + [f"Report line {i + 1}" for i in range(head_junk)])]
+    frame += [(2, i, v) for i, v in enumerate(["Total", "Generated by export", "Confidential"][:footer])]
+    around = df.sparkSession.createDataFrame(frame, "part int, pos int, value string")
+    every = lines.select("sheet").distinct().crossJoin(around)       # a fixed dozen of lines per sheet
+    out = lines.select("sheet", F.lit(1).alias("part"), F.lit(0).alias("pos"), "value").unionByName(
+        every.select("sheet", "part", "pos", "value"))
+    (out.repartition("sheet").sortWithinPartitions("sheet", "part", "pos").select("sheet", "value")
+     .write.mode("overwrite").partitionBy("sheet").text(path))
     return path
 
 
@@ -95,7 +100,8 @@ def write_drop_files(spark: SparkSession, df: DataFrame, date_col: str, staging:
         for f in fs.listStatus(p):
             if f.getPath().getName().endswith(".csv"):
                 name = f"{year}0101_{feed}.csv"
-                fs.rename(f.getPath(), Path(f"{inbox}/{name}"))
+                if name in names or not fs.rename(f.getPath(), Path(f"{inbox}/{name}")):
+                    raise OSError(f"{name} is there already: a year must be one file")
                 names.append(name)
     for name, extra_df in (extra or {}).items():
         tmp = f"{staging}/__extra_{len(names)}"

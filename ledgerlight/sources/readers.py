@@ -90,7 +90,7 @@ def read_trimmed(spark: SparkSession, paths, head: int, tail: int, schema: T.Str
     sheets are bounded by the spreadsheet row limit and spread over tasks by
     file.  Trailing blank lines are not counted as footer.
     """
-    return trim_sheet_lines(spark.read.text(paths, wholetext=True), head, tail, schema, sep)
+    return trim_sheet_lines(spark.read.text(paths, wholetext=True).select("value"), head, tail, schema, sep)
 
 
 def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType, sep: str = ",",

@@ -108,8 +108,8 @@ def test_sheet_drop_folder(spark, small_dir):
     files = {"19960101_bing.txt": "1996", "19970101_bing.txt": "1997", "sheet_bing.txt": "1998"}
     for name, year in files.items():
         part = sheet.filter(F.year("date") == int(year))
-        write_sheets(part, f"{base}/staging/{name}", feeds.PAID_SEARCH_HEADER, parts=1)
-        _move_single_part(spark, f"{base}/staging/{name}", f"{base}/inbox/{name}")
+        write_sheets(part, f"{base}/staging/{name}", feeds.PAID_SEARCH_HEADER)
+        _move_single_part(spark, f"{base}/staging/{name}/sheet=0", f"{base}/inbox/{name}")
 
     def load(df):
         return feeds.paid_search_load(df.toDF(*feeds.PAID_SEARCH_HEADER), fail_on_bad_name=False)[0]
