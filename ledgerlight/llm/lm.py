@@ -130,19 +130,19 @@ class Stream:
         uni_n[-1] = np.bincount(self.prev[self.train], minlength=len(self.vocab))[-1]     # texts begun
         bi_n = np.bincount(self.bi_at[self.train], minlength=len(self.bi))
         uni_n, bi_n = uni_n[self.uni_order].astype(np.uint32), bi_n[self.bi_order].astype(np.uint32)
-        cut = [np.searchsorted((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
-               for h in (self.uni, self.bi)]
-        for b in range(buckets):
-            u, v = slice(*cut[0][b:b + 2]), slice(*cut[1][b:b + 2])
-            if u.start < u.stop or v.start < v.stop:
-                yield (batch, b, _planes(self.uni[u]), _planes(uni_n[u]), _planes(self.bi[v]), _planes(bi_n[v]))
+        of = [((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64) for h in (self.uni, self.bi)]
+        asked = np.unique(np.concatenate(of))                     # only ranges this batch needs, however many there are
+        lo, hi = ([np.searchsorted(o, asked, side) for o in of] for side in ("left", "right"))
+        for i, b in enumerate(asked.tolist()):
+            u, v = slice(lo[0][i], hi[0][i]), slice(lo[1][i], hi[1][i])
+            yield (batch, b, _planes(self.uni[u]), _planes(uni_n[u]), _planes(self.bi[v]), _planes(bi_n[v]))
 
     def counts(self, replies: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         """Corpus counts by word number and by distinct bigram of this batch."""
         replies = replies.sort_values("bucket")
         out = []
         for col, order in (("uni_n", self.uni_order), ("bi_n", self.bi_order)):
-            got = np.concatenate([_unplanes(b, np.uint32) for b in replies[col]])
+            got = np.concatenate([_unplanes(b, np.uint64) for b in replies[col]])
             back = np.empty(len(order), np.int64)
             back[order] = got
             out.append(back)
@@ -169,7 +169,7 @@ def _add_up(group: pd.DataFrame) -> pd.DataFrame:
         hashes = [_unplanes(b, np.uint64) for b in group[name]]
         distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
         n = np.concatenate([_unplanes(b, np.uint32) for b in group[f"{name}_n"]])
-        sums = np.bincount(at, weights=n, minlength=len(distinct)).astype(np.uint32)
+        sums = np.bincount(at, weights=n, minlength=len(distinct)).astype(np.uint64)      # a corpus count may pass 2^32
         cuts = np.cumsum([len(h) for h in hashes])[:-1]
         out[f"{name}_n"] = [_planes(x) for x in np.split(sums[at], cuts)] + [b""]
         if name == "uni":

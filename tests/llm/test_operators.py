@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -336,6 +337,17 @@ def test_language_model_is_the_brute_force_one(spark, texts):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_counts_past_32_bits_and_sparse_ranges():
+    words = lm._hash([b"the", b"rare"])
+    group = lambda n: {"uni": lm._planes(words), "uni_n": lm._planes(np.array([n, 1], np.uint32)), "bi": lm._planes(words), "bi_n": lm._planes(np.array([n, 1], np.uint32))}
+    out = lm._add_up(pd.DataFrame([{"batch": i, "bucket": 0, **group(4_000_000_000)} for i in range(3)]))
+    assert lm._unplanes(out.uni_n[0], np.uint64).tolist() == [12_000_000_000, 3] and out.total[0] == 12_000_000_003
+    stream = lm.Stream([False], np.array([2], np.uint32).tobytes(), lm._hash([b"a", b"b", lm.END, lm.START]).tobytes(), lm._planes(np.array([0, 1], np.uint32)))
+    asked = list(stream.requests(0, 1 << 24))
+    assert 1 < len(asked) <= 7 and [r[1] for r in asked] == sorted({r[1] for r in asked})
+    assert sum(len(lm._unplanes(r[2], np.uint64)) for r in asked) == 4 and sum(len(lm._unplanes(r[4], np.uint64)) for r in asked) == 3
+
+
 # ------------------------------------------------------------------ mixing
 def water_level(size, share=1.5, most=2.0, weights=(5, 2, 1)):
     order = sorted(size, key=lambda s: (s is None, (s or "").encode()))
