@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import ann, decontam, licenses, lm, mixing, pii, quality, secrets, simhash, urls
+from . import ann, decontam, licenses, lm, mixing, oracles, pii, quality, secrets, simhash, urls
 from .common import table
 
 
@@ -58,5 +58,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_neighbours, op4_licenses, op5_decontamination, op6_secrets,
                                    op7_urls, op8_simhash, op9_lm, op10_mixing, pipeline)}
-#: The models, searches and draws of these operators are not SQL; tests/llm holds them against brute force.
-ORACLES: dict[str, str] = {}
+#: The other operators are models, draws and fingerprints that SQL cannot say; tests/llm holds them against brute force.
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
