@@ -7,7 +7,7 @@ further lists whose centroids are about as close and not beside one already
 chosen. A query walks an in-memory neighbour graph of the centroids and reads
 the lists within a distance ratio of the nearest one; the ratio is the one that
 reaches ``recall`` on the sample, where the true neighbours are known. Lists
-longer than a block are read in blocks. Scores are exact inner products in
+longer than a block are read in blocks, and by the queries in parts. Scores are exact inner products in
 double precision. Of a list, a query gets the vectors that reach its score floor
 (the (k + 1)-th best score within the sample), and the best few in any case, so
 that all lists together fill its answer.
@@ -37,6 +37,7 @@ SAMPLE = 16_384        # vectors that fit the index
 LIST_SIZE = 1024       # vectors a list should hold
 MOST_LISTS = 1024
 BLOCK = 8192           # vectors scanned at once
+ASKS = 8192            # queries that scan a block at once
 COPIES = 4             # lists that may hold one vector
 BORDER = 1.1           # distance ratio up to which a vector is replicated
 DEGREE = 12            # neighbours of a centroid in the graph
@@ -192,25 +193,30 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
         for b in batches:
             out, least = [], {}
             for q, v in zip(b["cid"], b["vec"]):
-                own = [(c, part, q) for c in lists.search(np.asarray(v, float)) for part in range(blocks.get(c, 0))]
-                least[q] = -(-COPIES * (k + 1) // max(1, len(own)))       # a vector may come from several lists
+                own = [(c, q) for c in lists.search(np.asarray(v, float)) if c in blocks]
+                least[q] = -(-COPIES * (k + 1) // max(1, sum(blocks[c] for c, _ in own)))     # a vector may come from several lists
                 out += own
             own = dict(zip(b["cid"], b["vec"]))
             low = dict(zip(b["cid"], lists.floors(_vectors(b["vec"])))) if len(b) else {}
-            yield pd.DataFrame({"list": np.array([o[0] for o in out], np.int32), "block": np.array([o[1] for o in out], np.int32),
-                                "qid": np.array([o[2] for o in out], np.int64), "floor": np.array([low[o[2]] for o in out], float),
-                                "least": np.array([least[o[2]] for o in out], np.int32), "vec": pd.Series([own[o[2]] for o in out], dtype=object)})
-
-    probes = questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, block int, qid long, floor double, least int, vec array<double>")
-    n_blocks = F.get(F.array(*[F.lit(blocks.get(c, 1)) for c in range(len(lists.centroids))]), F.col("list"))
-    cut = posted.withColumn("block", F.pmod(F.xxhash64("cid"), n_blocks).cast("int"))
-
-    def scan(members: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
+            yield pd.DataFrame({"list": np.array([o[0] for o in out], np.int32), "qid": np.array([o[1] for o in out], np.int64),
+                                "floor": np.array([low[o[1]] for o in out], float), "least": np.array([least[o[1]] for o in out], np.int32),
+                                "vec": pd.Series([own[o[1]] for o in out], dtype=object)})
+
+    asks = stored(spark, questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, qid long, floor double, least int, vec array<double>"), "ann-asks")
+    parts = {r["list"]: -(-r["n"] // ASKS) for r in asks.groupBy("list").agg(F.count("*").alias("n")).collect()}              # one row a list
+    of_list = lambda n: F.get(F.array(*[F.lit(n.get(c, 1)) for c in range(len(lists.centroids))]), F.col("list"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), of_list(n).cast("int") - 1))
+    share = lambda key, n: F.pmod(F.xxhash64(key), of_list(n)).cast("int")
+    # a task holds one block of a list and one part of its queries, however long the list and however many ask
+    cut = posted.select("*", share("cid", blocks).alias("block"), every(parts).alias("part"))
+    probes = asks.select("*", share("qid", parts).alias("part"), every(blocks).alias("block"))
+
+    def scan(members: pd.DataFrame, askers: pd.DataFrame) -> pd.DataFrame:
         members = members.sort_values("cid")
         ids, x = members["cid"].to_numpy(), _vectors(members["vec"])
         found_q, found_c, found_s = [], [], []
-        for lo in range(0, len(asks), 256):
-            part = asks.iloc[lo:lo + 256]
+        for lo in range(0, len(askers), 256):
+            part = askers.iloc[lo:lo + 256]
             s = _vectors(part["vec"]) @ x.T if len(ids) else np.zeros((len(part), 0))
             for q, floor, least, row in zip(part["qid"], part["floor"], part["least"], s):
                 able = np.flatnonzero(row >= floor)
@@ -225,7 +231,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
         cat = lambda a, t: np.concatenate(a).astype(t) if a else np.zeros(0, t)
         return pd.DataFrame({"qid": cat(found_q, np.int64), "cid": cat(found_c, np.int64), "score": cat(found_s, float)})
 
-    found = (cut.groupBy("list", "block").cogroup(probes.groupBy("list", "block"))
+    found = (cut.groupBy("list", "block", "part").cogroup(probes.groupBy("list", "block", "part"))
              .applyInPandas(scan, "qid long, cid long, score double").groupBy("qid", "cid").agg(F.max("score").alias("score")))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
     top = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).select("qid", "cid", "score")

@@ -93,8 +93,11 @@ def test_neighbours_recall_and_scores(spark):
     assert hit / len(got) >= 0.9
 
 
-def test_neighbours_with_many_lists_and_copies(spark, monkeypatch):
+@pytest.mark.parametrize("block, asks", [(8192, 8192), (32, 8)])
+def test_neighbours_with_many_lists_and_copies(spark, monkeypatch, block, asks):
     monkeypatch.setattr(ann, "LIST_SIZE", 50)
+    monkeypatch.setattr(ann, "BLOCK", block)
+    monkeypatch.setattr(ann, "ASKS", asks)
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(12, 16))
     x = (centre[rng.integers(0, 12, 1500)] + 0.4 * rng.normal(size=(1500, 16))).round(3)
