@@ -1,16 +1,15 @@
 """Slice maintenance of the canonical table.
 
 The source deletes a (source, date range[, discipline]) slice, appends the new
-batch, then runs UPDATEs.  Here the new table version is computed as
+batch, then runs UPDATEs.  Here the rows after the reload are computed as
 
     kept  = target rows outside the slice   (anti-filter, literal bounds)
     new   = kept UNION ALL batch            (batch already classified)
 
-and written to a fresh version folder; readers follow a pointer file, so
-the swap is atomic and a failed job leaves the previous version intact.
-Literal bounds let Catalyst push the slice predicate into the scan, and a
-target partitioned by (NOM_ORIGEM_DADOS, DAT_REFERENCIA) is pruned to the
-partitions that change.
+for the (source, period) partitions that the slice touches, and only those are
+rewritten by dynamic partition overwrite.  Literal bounds prune the read to
+the same partitions.  The overwrite is atomic per partition, not per table; a
+rerun after a failure converges to the same dated rows.
 """
 
 from __future__ import annotations
