@@ -21,7 +21,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, stored, text_of
@@ -121,12 +121,21 @@ def _cell(land: bool, seed: int):
     return run
 
 
-def mix(spark: SparkSession, docs: DataFrame, seed: int = 17, cell: int = CELL, share: float = SHARE,
-        most: float = MOST, weights: tuple = WEIGHTS) -> DataFrame:
-    """(rid, doc_id, size, source_size, target, copies, taken) for every row of ``docs``, a stored table."""
-    rows = stored(spark, docs.select(
+def _numbered(docs: DataFrame, *more: Column) -> DataFrame:
+    """(rid, doc_id, source, size, *more) of every row of ``docs``."""
+    return docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string"),
-        F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
+        F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), *more)
+
+
+def mix(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """(rid, doc_id, size, source_size, target, copies, taken) for every row of ``docs``; rid numbers the rows within this result."""
+    return _draw(spark, stored(spark, _numbered(docs), "mix-sizes"), **how)
+
+
+def _draw(spark: SparkSession, rows: DataFrame, seed: int = 17, cell: int = CELL, share: float = SHARE,
+          most: float = MOST, weights: tuple = WEIGHTS) -> DataFrame:
+    """The mix of ``rows``, a stored table with (rid, doc_id, source, size)."""
     goal = stored(spark, targets(rows, share, most, weights), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     r = rows.alias("r").join(goal.alias("g"), F.expr("r.source <=> g.source")).select(
@@ -155,7 +164,10 @@ def mix(spark: SparkSession, docs: DataFrame, seed: int = 17, cell: int = CELL,
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
-    """``docs`` rows that the mix takes, each once with a ``copies`` column behind its own columns."""
-    m = mix(spark, docs, **how).filter("copies > 0").select(F.col("rid").alias("__rid"), F.col("copies").alias("__copies"))
-    return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.monotonically_increasing_id().alias("__rid"))
-            .join(m, "__rid").select("d.*", F.col("__copies").alias("mix_copies")))
+    """``docs`` rows that the mix takes, each once with a ``mix_copies`` column behind its own columns.
+
+    The rows are stored with their numbers in one scan, so that number and row belong together however later scans are split.
+    """
+    rows = stored(spark, _numbered(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")), "mix-docs")
+    m = _draw(spark, rows.select("rid", "doc_id", "source", "size"), **how).filter("copies > 0").select("rid", "copies")
+    return rows.select("rid", "d").join(m, "rid").select("d.*", F.col("copies").alias("mix_copies"))

@@ -145,26 +145,36 @@ def links(fps: DataFrame, max_bits: int = 3, blocks: int = 6) -> DataFrame:
             .mapInArrow(_bucket_links(max_bits), "a long, b long"))
 
 
+def _groups(spark: SparkSession, fps: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """(rid, doc_id, fp, grp, component_id) of ``fps``, a stored table with (rid, doc_id, fp)."""
+    each = stored(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fps")
+    comp = components(spark, links(each.select("fp"), max_bits, blocks))
+    member = each.join(comp, each.fp == comp.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("grp"))
+    low = member.groupBy("grp").agg(F.min("low").alias("component_id"))
+    return fps.join(member.select("fp", "grp").join(low, "grp"), "fp").select("rid", "doc_id", "fp", "grp", "component_id")
+
+
 def simhash_groups(spark: SparkSession, docs: DataFrame, k: int = 3, max_bits: int = 3, blocks: int = 6) -> DataFrame:
     """One row per row of ``docs``: (rid, doc_id, fp, grp, component_id).
 
-    rid numbers the rows of ``docs``, which must be a stored table (its scan
-    numbers them alike each time). grp is the component's smallest fingerprint.
+    rid numbers the rows within this result; another scan of ``docs`` may number them otherwise.
+    grp is the component's smallest fingerprint.
     """
     small_batches(spark)
     fps = stored(spark, docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"),
                                     fingerprint_udf(k)(text_of()).alias("fp")), "simhash")
-    each = stored(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fps")
-    comp = components(spark, links(each.select("fp"), max_bits, blocks))
-    member = each.join(comp, each.fp == comp.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("grp"))
-    low = member.groupBy("grp").agg(F.min("low").alias("component_id"))
-    return fps.join(member.select("fp", "grp").join(low, "grp"), "fp").select("rid", "doc_id", "fp", "grp", "component_id")
+    return _groups(spark, fps, max_bits, blocks)
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = 3, max_bits: int = 3, blocks: int = 6) -> DataFrame:
-    """``docs`` with one row of each group: the smallest doc_id, of repeated ids the first row (null ids last)."""
-    g = simhash_groups(spark, docs, k, max_bits, blocks)
-    keep = g.groupBy("grp").agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("__rid"))
-    cols = docs.columns
-    return (docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("d"), F.monotonically_increasing_id().alias("__rid"))
-            .join(keep.select("__rid"), "__rid", "left_semi").select("d.*"))
+    """``docs`` with one row of each group: the smallest doc_id, of repeated ids the first row (null ids last).
+
+    The rows are stored with their numbers in one scan, so that number and row belong together however later scans are split.
+    """
+    small_batches(spark)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = stored(spark, docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), row.alias("d"),
+                                     fingerprint_udf(k)(text_of()).alias("fp")), "simhash-docs")
+    g = _groups(spark, rows.select("rid", "doc_id", "fp"), max_bits, blocks)
+    keep = g.groupBy("grp").agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("rid"))
+    return rows.join(keep.select("rid"), "rid", "left_semi").select("d.*")
