@@ -8,10 +8,13 @@ positions of the walk, repeatedly. A found pair is verified exactly: the edit
 distance, in words, between the whole item and the best matching piece of the
 document must be at most ``1 - similarity`` of the item's words.
 
-Windows are item-sized: items with L to 2L-1 words (L a power of two) are
-sought with windows of w = L - s + 1 words that start every s = L / 4 words of
-a document. Whatever place an item is copied to, at least one such window lies
-inside the copy; on the item's side a window starts at every word.
+Windows hold w = L - s + 1 words (L a power of two) and start every s = L / 4
+words of a document; on the item's side a window starts at every word. Whatever
+place an item of at least L words is copied to, at least one such window lies
+inside the copy. The walk drifts the further the longer a window is, and one
+window alone may hold more than its share of the edits; so L is bounded, and
+items of 16 words and more get an L of at most half their words. A longer item
+only has more windows that may find it, and its recall does not fall.
 
 The benchmark is the query set. It is scanned in blocks of bounded size, each
 block against all documents, so the signature table in a task stays bounded
@@ -36,6 +39,7 @@ WALKS = 3          # independent CGK walks
 SAMPLES = 7        # position samples of each walk
 BITS = 4           # positions in a sample
 BLOCK_WORDS = 40_000
+LONGEST = 16       # words that the windows of the longest items are made for
 CHUNK = 1 << 15    # windows embedded at a time
 SEED = 11
 HIT = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("item_words", T.IntegerType()),
@@ -76,8 +80,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_shape(words: int) -> tuple[int, int]:
-    """(window, step) in words for items of that many words."""
+    """(window, step) in words for items of that many words; from 16 words on, a copy holds four windows or more."""
     size = 1 << (words.bit_length() - 1)
+    if size >= 16:
+        size = min(size // 2, LONGEST)
     step = max(1, size // 4)
     return size - step + 1, step
 
@@ -109,6 +115,11 @@ def _signatures(h: np.ndarray, start: np.ndarray, w: int) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
+def _grain(words: int) -> int:
+    """Places of an item that many words long are told apart to so many words; a repetitive item has few places a signature."""
+    return max(1, words // 16)
+
+
 class Index:
     """Signatures of one block of items."""
 
@@ -126,12 +137,16 @@ class Index:
         for (w, step), members in shapes.items():
             start = np.concatenate([cut[n] + np.arange(len(self.words[n]) - w + 1) for n in members])
             item = np.concatenate([np.full(len(self.words[n]) - w + 1, n) for n in members])
+            grain = np.array([_grain(len(x)) for x in self.words])[item]
+            offset = (start - cut[item]) // grain * grain
             sig, tables = _signatures(h, start, w), []
             for row in sig:
-                order = np.argsort(row, kind="stable")
+                order = np.lexsort((offset, item, row))
+                same = (np.diff(row[order]) == 0) & (np.diff(item[order]) == 0) & (np.diff(offset[order]) == 0)
+                order = order[np.append(True, ~same)]
                 seen = np.zeros(1 << 20, bool)
                 seen[(row & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-                tables.append((row[order], item[order], (start - cut[item])[order], seen))
+                tables.append((row[order], item[order], offset[order], seen))
             self.by_window[(w, step)] = tables
 
     def candidates(self, h: np.ndarray, cut: np.ndarray) -> set[tuple[int, int, int]]:
@@ -165,7 +180,7 @@ class Index:
             item, limit = self.words[n], self.limit[n]
             if best.get((d, n), (1,))[0] == 0 or (d, n, begin) in checked:
                 continue
-            slack = limit + len(item) // 4 + 1
+            slack = limit + len(item) // 4 + _grain(len(item))
             lo, hi = max(0, begin - slack), min(int(cut[d + 1] - cut[d]), begin + len(item) + slack)
             checked.update((d, n, begin + k) for k in range(-(len(item) // 4), len(item) // 4 + 1))
             piece = h[cut[d] + lo:cut[d] + hi]
