@@ -2,10 +2,12 @@
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. The
 license words of the templates are located in every file; their document
-frequency over all files gives an IDF. A file looks up its rarest license
-words in the postings of the templates; hits that agree on the relative
-position (file position minus template position) name a place where a template
-may stand. There, the template's mandatory key phrase must stand word by word.
+frequency over all files gives an IDF. The rarest word of each template's
+mandatory key phrase is looked up at every place of every file: no template
+whose phrase stands in a file is passed over, however many license words the
+file holds. The relative position (file position minus template position) names
+the place where the template may stand; there, the key phrase must stand word
+by word, and the IDF share of all its words that stand is the score.
 
 Defined results: a null or wordless text has n_words 0, no label and score 0;
 repeated rows and repeated ids each get a row; a null doc_id is kept.
@@ -45,7 +47,7 @@ TEMPLATES = [
 ]
 # Words too common to be license words; no key phrase holds one.
 STOP = set("a and any are as by for free in into is it of or out the this to under use with without work 0 2 3".split())
-RAREST = 8
+RAREST = 8         # words a file looks up in this scan's SQL; the scan itself has no such bound
 
 
 def _vocabulary() -> list[str]:
@@ -82,15 +84,16 @@ def base_hits(occ: Column) -> Column:
 
 
 def _template_words(spark: SparkSession, idf: dict[str, float]) -> DataFrame:
-    """(t, label, pos, w, idf, key): the index words of every template; key marks those of the mandatory phrase."""
+    """(t, label, pos, w, idf, key, anchor): the index words of every template; key marks those of the mandatory phrase, anchor its rarest."""
     vocabulary, rows = set(_vocabulary()), []
     for t, (label, text, phrase) in enumerate(TEMPLATES):
         words, key = text.split(), phrase.split()
         at = next(i for i in range(len(words)) if words[i:i + len(key)] == key)
+        anchor = max(range(at, at + len(key)), key=lambda pos: idf[words[pos]])
         for pos, w in enumerate(words):
             if w in vocabulary:
-                rows.append((t, label, pos, w, idf[w], at <= pos < at + len(key)))
-    return spark.createDataFrame(rows, "t int, label string, pos int, w string, idf double, key boolean")
+                rows.append((t, label, pos, w, idf[w], at <= pos < at + len(key), pos == anchor))
+    return spark.createDataFrame(rows, "t int, label string, pos int, w string, idf double, key boolean, anchor boolean")
 
 
 def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -107,12 +110,8 @@ def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     idf = {w: log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-3 for w in vocabulary}
     index = _template_words(spark, idf)
 
-    weight = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(idf[w]))])
-    ranked = F.sort_array(F.transform(F.array_distinct(F.col("occ.w")), lambda w: F.struct((-weight[w]).alias("x"), w.alias("w"))))
-    rare = F.slice(F.col("ranked.w"), 1, RAREST)
-    looked = (found.filter(F.size("occ") > 0).withColumn("ranked", ranked).withColumn("rare", rare)
-              .select("rid", F.inline(F.filter("occ", lambda o: F.array_contains(F.col("rare"), o["w"])))))
-    places = (looked.join(F.broadcast(index.select("t", "pos", "w")), "w")              # the index has a fixed size
+    anchors = index.filter("anchor").select("t", "pos", "w")
+    places = (each.join(F.broadcast(anchors), "w")                                      # the index has a fixed size
               .select("rid", "t", (F.col("i") - F.col("pos")).alias("place")).distinct())
     share = (places.join(F.broadcast(index), "t").withColumn("i", F.col("place") + F.col("pos"))
              .join(each.withColumn("hit", F.lit(1)), ["rid", "i", "w"], "left")
