@@ -11,7 +11,8 @@ untaken document of that last cell then bring its words to their goal.
 
 Defined results: a null text has size 0; a null source is a source, sorted
 last; repeated rows are drawn separately; an empty table or one without words
-takes nothing. Draws depend on the rows and the seed alone, so reruns agree.
+takes nothing. Draws depend on the rows and the seed alone, so reruns agree; only
+where an id (or null) repeats for over a quarter of a cell, on the order of rows too.
 """
 
 from __future__ import annotations
@@ -138,9 +139,13 @@ def _draw(spark: SparkSession, rows: DataFrame, seed: int = 17, cell: int = CELL
     """The mix of ``rows``, a stored table with (rid, doc_id, source, size)."""
     goal = stored(spark, targets(rows, share, most, weights), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    r = rows.alias("r").join(goal.alias("g"), F.expr("r.source <=> g.source")).select(
-        "rid", "doc_id", "r.source", "size", "source_size", "n_docs", "target", F.floor(ratio).cast("int").alias("whole"),
-        (ratio - F.floor(ratio)).alias("p"), F.xxhash64("doc_id").alias("h"))
+    # ids (and null) with a good part of a cell's rows: their rows are dealt by row number too, so no cell grows with an id
+    often = stored(spark, rows.groupBy("source", "doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > cell // 4)
+                   .select("source", "doc_id", F.lit(True).alias("often")), "mix-repeated")
+    r = rows.alias("r").join(goal.alias("g"), F.expr("r.source <=> g.source")).join(
+        often.alias("o"), F.expr("r.source <=> o.source and r.doc_id <=> o.doc_id"), "left").select(
+        "rid", "r.doc_id", "r.source", "size", "source_size", "n_docs", "target", F.floor(ratio).cast("int").alias("whole"),
+        (ratio - F.floor(ratio)).alias("p"), F.when(F.col("often"), F.xxhash64("r.doc_id", "rid")).otherwise(F.xxhash64("r.doc_id")).alias("h"))
     most_docs = goal.agg(F.max("n_docs")).first()[0] or 0
     cells = F.ceil(F.col("n_docs") / cell)
     open_ = r.filter(f"p > {EPS}").select("rid", "doc_id", "source", "size", "h", "p", F.pmod("h", cells).cast("long").alias("cell"))
