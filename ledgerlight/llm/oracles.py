@@ -180,4 +180,94 @@ FROM ruled r JOIN tree t ON t.host = r.host AND t.shape = r.shape JOIN judged j
 """
 
 
-ORACLES: dict[str, str] = {"op3_neighbours": NEIGHBOURS, "op4_licenses": _licenses(), "op6_secrets": _secrets(), "op7_urls": _urls()}
+#: CRC-32 of doc_id as text (a null one: of no text), a byte at a time.
+CRC_TABLE = """(SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)))"""
+CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda ch: ch <> ''),
+  lambda ch: ord(ch)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _merkle() -> str:
+    def leaf(text: str) -> str:
+        field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, start: str) -> str:
+        """Nodes of all levels, and the runs of the levels below the last."""
+        return f"""
+{name} AS (
+  SELECT tree, 0 AS level, i, digest FROM {start}
+  UNION ALL
+  SELECT tree, level + 1, i // 8, sha256(string_agg(digest, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS many FROM {name}) WHERE many > 1 GROUP BY tree, level, i // 8),
+{name}_runs AS (
+  SELECT tree, level, i // 8 AS run, list(digest ORDER BY i) AS ds FROM {name}
+  WHERE (tree, level) IN (SELECT tree, level FROM {name} GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1, 2, 3)"""
+
+    def fold(name: str, start: str, runs: str) -> str:
+        """Digest and siblings of every leaf, one level at a time up to the root of its tree."""
+        return f"""
+{name} AS (
+  SELECT rid, tree, 0 AS level, i, digest, '' AS proof FROM {start}
+  UNION ALL
+  SELECT rid, f.tree, f.level + 1, i // 8,
+         sha256(array_to_string(ds[1:i % 8], '') || digest || array_to_string(ds[i % 8 + 2:], '')),
+         proof || array_to_string(ds[1:i % 8], '') || array_to_string(ds[i % 8 + 2:], '')
+  FROM {name} f JOIN {runs} r ON r.tree = f.tree AND r.level = f.level AND r.run = i // 8),
+{name}_end AS (SELECT * FROM {name} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level DESC) = 1)"""
+
+    low = f"translate(text, {FOLD})"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS leaf,
+         CASE WHEN text IS NOT NULL AND crc % 3 = 0 THEN {leaf(low)} END AS bad
+  FROM (SELECT *, {CRC} AS crc FROM documents, {CRC_TABLE} AS crc_table(t))),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS i FROM d),
+base AS (SELECT tree, i, leaf AS digest FROM leaves),{tree("low", "base")},
+subs AS (SELECT tree AS lang_key, digest FROM low QUALIFY row_number() OVER (PARTITION BY tree ORDER BY level DESC) = 1),
+tops AS (SELECT '' AS tree, row_number() OVER (ORDER BY lang_key) - 1 AS i, digest, lang_key FROM subs),
+top_base AS (SELECT tree, i, digest FROM tops),{tree("top", "top_base")},
+whole AS (SELECT digest AS root FROM top ORDER BY level DESC LIMIT 1),
+start AS (SELECT rid, tree, i, coalesce(bad, leaf) AS digest FROM leaves),{fold("up", "start", "low_runs")},
+middle AS (SELECT rid, '' AS tree, tops.i, u.digest FROM up_end u JOIN tops ON lang_key = u.tree),{fold("over", "middle", "top_runs")}
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(u.proof || o.proof) AS proof_sha256, o.digest AS folded_root, o.digest = root AS verified
+FROM leaves l JOIN up_end u ON u.rid = l.rid JOIN over_end o ON o.rid = l.rid JOIN subs s ON s.lang_key = l.tree, whole
+"""
+
+
+NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e) OR abs(256 * e::DOUBLE) >= 16777216)) = 0),
+pairs AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.rid AS other, b.vec_id AS other_id, a.label = b.label AS same,
+         CASE WHEN len(a.x) = 0 THEN 0 ELSE list_inner_product(a.x, b.x) END::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.rid <> b.rid AND len(a.x) = len(b.x)),
+positives AS (
+  SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       row_number() OVER (PARTITION BY p.rid, p.other ORDER BY n.score DESC, n.other_id)::INT AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.rid = p.rid AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+WARC = """
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS first_id
+  FROM p WINDOW same AS (PARTITION BY payload_digest, payload_bytes ORDER BY page_id DESC NULLS LAST, rid))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN place > 1 AND payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN place > 1 AND payload_bytes >= 1000 THEN first_id END AS refers_to
+FROM ranked
+"""
+
+
+ORACLES: dict[str, str] = {"op3_neighbours": NEIGHBOURS, "op4_licenses": _licenses(), "op6_secrets": _secrets(), "op7_urls": _urls(),
+                           "op11_manifest": _merkle(), "op12_negatives": NEGATIVES, "op13_warc": WARC}

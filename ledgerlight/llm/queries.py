@@ -1,4 +1,4 @@
-"""Queries of the ten operators and the pipeline, over whole tables; SQL where SQL can say the same."""
+"""Queries of the thirteen operators and the pipeline, over whole tables; SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import ann, decontam, licenses, lm, mixing, oracles, pii, quality, secrets, simhash, urls
+from . import ann, decontam, licenses, lm, manifest, mixing, negatives, oracles, pii, quality, secrets, simhash, urls, warc
 from .common import table
 
 
@@ -52,11 +52,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_neighbours, op4_licenses, op5_decontamination, op6_secrets,
-                                   op7_urls, op8_simhash, op9_lm, op10_mixing, pipeline)}
+                                   op7_urls, op8_simhash, op9_lm, op10_mixing, op11_manifest, op12_negatives, op13_warc, pipeline)}
 #: The other operators are models, draws and fingerprints that SQL cannot say; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
