@@ -6,15 +6,21 @@ batch, then runs UPDATEs.  Here the rows after the reload are computed as
     kept  = target rows outside the slice   (anti-filter, literal bounds)
     new   = kept UNION ALL batch            (batch already classified)
 
-for the (source, period) partitions that the slice touches, and only those are
-rewritten by dynamic partition overwrite.  Literal bounds prune the read to
-the same partitions.  The overwrite is atomic per partition, not per table; a
-rerun after a failure converges to the same dated rows.
+for the (source, period) partitions that the slice touches.  Literal bounds
+prune the read to those.  The new partitions are written once, to a staged
+folder inside the table (hidden from readers by its name), and then published
+one by one from a list that is stored before the first of them moves: a load
+that fails before the list leaves the table as it was, one that fails behind it
+is completed by the next load, or by ``recover``.  Publishing is atomic per
+partition, not per table.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,11 +142,84 @@ def _table(spark: SparkSession, table_dir: str, columns: Sequence[str]) -> DataF
     return spark.read.parquet(table_dir).select(*[F.col(c).cast("date").alias(c) if c == PERIOD_COL else F.col(c) for c in columns])
 
 
-def _overwrite(rows: DataFrame, table_dir: str) -> None:
-    """Replace exactly the partitions that ``rows`` fill.  The rebalance hint
+# ---------------------------------------------------------------------------
+# Staged write and publication
+# ---------------------------------------------------------------------------
+STAGED = "_staged"                         # file sources skip names that begin with an underscore
+PUBLISH_LIST = "publish.json"
+
+
+def _partition_dirs(fs, root) -> list[str]:
+    """(source, period) folders below ``root``, relative to it."""
+    out = []
+    if not fs.exists(root):
+        return out
+    for src in fs.listStatus(root):
+        if src.getPath().getName().startswith(f"{SOURCE_COL}="):
+            out += [f"{src.getPath().getName()}/{p.getPath().getName()}" for p in fs.listStatus(src.getPath())
+                    if p.getPath().getName().startswith(f"{PERIOD_COL}=")]
+    return out
+
+
+def _write_staged(spark: SparkSession, rows: DataFrame, table_dir: str) -> str:
+    """Write the new partitions once, beside the ones they will replace.  The rebalance hint
     clusters rows by partition and lets AQE split a hot period."""
-    (rows.hint("rebalance", *PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLS).parquet(table_dir))
+    staged = f"{table_dir.rstrip('/')}/{STAGED}/{uuid.uuid4().hex[:12]}"
+    rows.hint("rebalance", *PARTITION_COLS).write.partitionBy(*PARTITION_COLS).parquet(staged)
+    return staged
+
+
+def _publish(spark: SparkSession, table_dir: str, staged: str, emptied: Sequence[str]) -> None:
+    """Store the list of partitions to replace and to drop, then work it off.
+
+    The list holds one name per partition of the slice, as the driver's listing of the table does."""
+    fs, root = _fs(spark, table_dir)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    replace = _partition_dirs(fs, path(staged))
+    todo = {"replace": sorted(replace), "drop": sorted(set(emptied) - set(replace))}
+    part = path(staged, PUBLISH_LIST + ".part")
+    out = fs.create(part, True)
+    out.write(json.dumps(todo).encode())
+    out.close()
+    if not fs.rename(part, path(staged, PUBLISH_LIST)):
+        raise OSError(f"{staged}: the publish list could not be stored")
+    _work_off(spark, table_dir, staged, todo)
+
+
+def _work_off(spark: SparkSession, table_dir: str, staged: str, todo: dict) -> None:
+    """Move every staged partition that is still there over the stored one; a rerun goes on where a failure stopped."""
+    fs, root = _fs(spark, table_dir)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in todo["replace"]:
+        new, old = path(staged, name), path(root, name)
+        if fs.exists(new):                 # else it was published before the failure
+            fs.delete(old, True)
+            fs.mkdirs(old.getParent())
+            if not fs.rename(new, old):
+                raise OSError(f"{name} could not be published")
+    for name in todo["drop"]:
+        fs.delete(path(root, name), True)
+    fs.delete(path(staged), True)
+
+
+def recover(spark: SparkSession, table_dir: str) -> int:
+    """Complete the publications that a failure stopped, and clear staged writes that never had a list.
+
+    Every load begins with it.  A table takes one load at a time.  Returns the number of publications completed."""
+    fs, root = _fs(spark, table_dir)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    here, done = path(root, STAGED), 0
+    if not fs.exists(here):
+        return 0
+    for st in fs.listStatus(here):
+        listed = path(st.getPath(), PUBLISH_LIST)
+        if fs.exists(listed):
+            todo = json.loads("\n".join(r.value for r in spark.read.text(listed.toString()).collect()))
+            _work_off(spark, table_dir, st.getPath().toString(), todo)
+            done += 1
+        else:
+            fs.delete(st.getPath(), True)
+    return done
 
 
 def append_rows(rows: DataFrame, table_dir: str, unit: str = DAY) -> None:
@@ -151,62 +230,87 @@ def append_rows(rows: DataFrame, table_dir: str, unit: str = DAY) -> None:
 
 def reload_slice(spark: SparkSession, table_dir: str, batch: DataFrame, source: str,
                  disciplines: Sequence[str] | None = None, unit: str = DAY) -> tuple | None:
-    """S14 on the table partitioned by (NOM_ORIGEM_DADOS, period).
-
-    Work is proportional to the slice, not the table: only the partitions
-    of ``source`` inside the batch span (and the undated one, if the batch has
-    undated rows) are read and rewritten.
+    """S14 on the table partitioned by (NOM_ORIGEM_DADOS, period): ``reload_spans`` for the batch's own span.
 
-    1. checkpoint the batch (lineage cut in the shared checkpoint folder);
-    2. read the affected partitions (partition pruning on literal bounds) and
-       keep the rows the DELETE spares (other disciplines, other days of a month,
-       undated rows: an unknown predicate deletes nothing);
-    3. checkpoint kept + batch, so the write never reads files it replaces;
-    4. dynamic partition overwrite of exactly those partitions;
-    5. delete periods of the span that received no row: dynamic overwrite
-       alone would leave them (the DELETE would not).
-
-    A rerun after a failure at any step converges to the same dated rows.
     Returns the span, or None for an empty batch; the span of a batch without
     any date is (None, None) and its rows are only added.
     """
-    batch = with_period(batch, unit).checkpoint(eager=True)
-    r = batch.agg(F.min(DATE_COL).alias("lo"), F.max(DATE_COL).alias("hi"), F.count("*").alias("n"), F.count(DATE_COL).alias("dated")).first()
-    lo, hi = r["lo"], r["hi"]
+    r = batch.agg(F.min(DATE_COL).alias("lo"), F.max(DATE_COL).alias("hi"), F.count("*").alias("n"), F.count(DATE_COL).alias("dated"),
+                  F.count_if(~F.col(SOURCE_COL).eqNullSafe(F.lit(source))).alias("strange")).first()
+    if r["strange"]:
+        raise ValueError(f"{r['strange']} rows of the batch are not of source {source}")
     if not r["n"]:
+        recover(spark, table_dir)
         return None
-    target, out = _table(spark, table_dir, batch.columns), batch
+    spans = [(r["lo"], r["hi"])] if r["lo"] is not None else []
+    reload_spans(spark, table_dir, batch, source, spans, disciplines, unit, undated=r["dated"] < r["n"])
+    return r["lo"], r["hi"]
+
+
+def reload_spans(spark: SparkSession, table_dir: str, batch: DataFrame, source: str, spans: Sequence[tuple],
+                 disciplines: Sequence[str] | None = None, unit: str = DAY, undated: bool = True) -> None:
+    """Replace the slices of ``spans``, which must not overlap, by the rows of ``batch``, in one write.
+
+    Work is proportional to the slices, not the table: only the partitions of
+    ``source`` inside the spans (and the undated one, if the batch has undated
+    rows) are read, and every row is written once.
+
+    1. read the touched partitions (partition pruning on literal bounds) and
+       keep the rows that no DELETE hits (other disciplines, other days of a
+       month, undated rows: an unknown predicate deletes nothing);
+    2. write kept + batch to a staged folder; nothing that is read is replaced;
+    3. publish its partitions, and drop the touched ones that got no row.
+
+    A rerun after a failure at any step converges to the same dated rows.
+    """
+    recover(spark, table_dir)
+    batch = with_period(batch, unit)
+    target, out, stored = _table(spark, table_dir, batch.columns), batch, []
     if target is not None:
-        touched = F.col(PERIOD_COL).between(_period(F.lit(lo), unit), F.lit(hi)) if lo is not None else F.lit(False)
-        if r["dated"] < r["n"]:
-            touched = touched | F.col(PERIOD_COL).isNull()
-        affected = target.filter((F.col(SOURCE_COL) == F.lit(source)) & touched)
-        kept = affected if lo is None else delete_slice(affected, source, lo, hi, disciplines)
-        out = kept.unionByName(batch).checkpoint(eager=True)
-    _overwrite(out, table_dir)
-    present = {str(x[0]) for x in out.select(PERIOD_COL).distinct().collect()}   # bounded by periods in span
-    fs, root = _fs(spark, table_dir)
-    first = f"{lo:%Y-%m}-01" if lo is not None and unit == MONTH else f"{lo}"
-    src_dir = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{SOURCE_COL}={source}")
-    if lo is not None and fs.exists(src_dir):
-        for st in fs.listStatus(src_dir):
-            name, _, day = st.getPath().getName().partition("=")
-            if name == PERIOD_COL and first <= day <= f"{hi}" and day not in present:
-                fs.delete(st.getPath(), True)
-    return lo, hi
-
-
-def reload_initiative(spark: SparkSession, table_dir: str, initiatives: DataFrame) -> None:
-    """J11 on the stored table: the update over all rows, of which only the
-    partitions that hold a changed row are rewritten."""
+        here = F.lit(False)
+        for lo, hi in spans:
+            here = here | F.col(PERIOD_COL).between(_period(F.lit(lo), unit), F.lit(hi))
+        if undated:
+            here = here | F.col(PERIOD_COL).isNull()
+        kept = target.filter((F.col(SOURCE_COL) == F.lit(source)) & here)
+        for lo, hi in spans:
+            kept = delete_slice(kept, source, lo, hi, disciplines)
+        out = kept.unionByName(batch)
+        fs, root = _fs(spark, table_dir)
+        first = [(f"{lo:%Y-%m}-01" if unit == MONTH else f"{lo}", f"{hi}") for lo, hi in spans]
+        for name in _partition_dirs(fs, root):
+            src, _, day = unquote(name).removeprefix(f"{SOURCE_COL}=").partition(f"/{PERIOD_COL}=")
+            if src == source and any(lo <= day <= hi for lo, hi in first):
+                stored.append(name)
+    _publish(spark, table_dir, _write_staged(spark, out, table_dir), stored)
+
+
+def reload_initiative(spark: SparkSession, table_dir: str, initiatives: DataFrame) -> int:
+    """J11 on the stored table; returns the number of partitions rewritten.
+
+    The partitions with a changed row are found from two columns (URL and
+    initiative); only they are then read with all their columns, updated, and
+    written once.  Their list, one (source, period) each, is a literal filter,
+    so the wide read is pruned to them.
+    """
+    recover(spark, table_dir)
     target = _table(spark, table_dir, spark.read.parquet(table_dir).columns)
-    updated = update_initiative(target.withColumn("__old", F.col("NOM_INICIATIVA")), initiatives)
-    changed = updated.filter(~F.col("NOM_INICIATIVA").eqNullSafe(F.col("__old"))).select(
-        F.col(SOURCE_COL).alias("__s"), F.col(PERIOD_COL).alias("__d")).distinct()
-    here = F.col(SOURCE_COL).eqNullSafe(F.col("__s")) & F.col(PERIOD_COL).eqNullSafe(F.col("__d"))
-    rows = updated.join(changed, here, "left_semi").drop("__old").checkpoint(eager=True)
-    if not rows.isEmpty():
-        _overwrite(rows, table_dir)
+    narrow = target.select(*PARTITION_COLS, "NOM_URL", "NOM_INICIATIVA", F.col("NOM_INICIATIVA").alias("__old"))
+    changed = (update_initiative(narrow, initiatives).filter(~F.col("NOM_INICIATIVA").eqNullSafe(F.col("__old")))
+               .select(*PARTITION_COLS).distinct().collect())          # one row a partition
+    if not changed:
+        return 0
+    periods: dict = {}
+    for r in changed:
+        periods.setdefault(r[SOURCE_COL], []).append(r[PERIOD_COL])
+    touched = F.lit(False)
+    for source, days in periods.items():
+        at = F.col(PERIOD_COL).isin([d for d in days if d is not None])
+        at = at | F.col(PERIOD_COL).isNull() if None in days else at
+        touched = touched | (F.col(SOURCE_COL).eqNullSafe(F.lit(source)) & at)
+    rows = update_initiative(target.filter(touched), initiatives)
+    _publish(spark, table_dir, _write_staged(spark, rows, table_dir), [])
+    return len(changed)
 
 
 def read_table(spark: SparkSession, table_dir: str, columns: Sequence[str] | None = None) -> DataFrame | None:

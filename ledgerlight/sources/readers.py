@@ -2,16 +2,54 @@
 
 All readers take an explicit schema (never inference) and return lazy
 DataFrames; files are split across tasks by Spark's file source.
+
+Files with a header are bound by name: the driver reads the header of each file
+(it lists the files anyway), files with the same column order are read
+together, and a file with an unknown, missing or repeated name is refused.
+
+A line that does not fit (too few or too many fields, a cell that does not
+parse, torn JSON) never becomes data. The plain readers fail the job on it; the
+``*_lanes`` readers return it in a second result, ``Landed.refused``, with the
+name of its file and its text.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CORRUPT = "__corrupt"
+
+
+class Landed(NamedTuple):
+    """Rows of landed files, and the lines that are none: (file_name, line)."""
+    rows: DataFrame
+    refused: DataFrame
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _whole(columns: Sequence[str]) -> Column:
+    """Always true, and reads every column: Spark parses only the columns a query needs, and a bad cell must
+    count whatever is selected.  (A line never equals itself with more behind it, nor null a text.)"""
+    every = [F.col(f"`{c}`").cast("string") for c in columns]
+    return ~F.col(CORRUPT).eqNullSafe(F.concat_ws("", F.col(CORRUPT), *every, F.lit(".")))
+
+
+def _lanes(raw: DataFrame, columns: Sequence[str]) -> Landed:
+    """Splits rows read with a corrupt-record column."""
+    raw = raw.filter(_whole(columns))
+    return Landed(raw.filter(F.col(CORRUPT).isNull()).select(*[F.col(f"`{c}`") for c in columns]),
+                  raw.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("line")))
+
+
 # ---------------------------------------------------------------------------
 # S1 nested analytics report
 # ---------------------------------------------------------------------------
@@ -67,15 +105,30 @@ def flatten_report(spark: SparkSession, paths: str | Sequence[str], header: Sequ
 # ---------------------------------------------------------------------------
 # S2 repeated-header CSV extracts
 # ---------------------------------------------------------------------------
+def _multi_csv(spark: SparkSession, paths, schema: T.StructType, sep: str, mode: str) -> DataFrame:
+    # Without column pruning every line's fields are counted, whatever columns a query reads.
+    return (spark.read.schema(schema).option("header", False).option("sep", sep).option("escape", '"').option("mode", mode)
+            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(paths))
+
+
 def read_multi_csv(spark: SparkSession, paths, columns: Sequence[str], key_column: str | None = None,
                    sep: str = ",") -> DataFrame:
     """Concatenated extracts whose header line repeats: read every line as
     data (all strings) and drop the repeated header lines (``key != 'key'``; an
-    empty key is not the header and stays)."""
+    empty key is not the header and stays).  A line with too few or too many
+    fields fails the job."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    key = key_column or columns[0]
+    return _multi_csv(spark, paths, schema, sep, "FAILFAST").filter(~F.col(f"`{key}`").eqNullSafe(F.lit(key)))
+
+
+def multi_csv_lanes(spark: SparkSession, paths, columns: Sequence[str], key_column: str | None = None,
+                    sep: str = ",") -> Landed:
+    """S2 with a lane for lines that have too few or too many fields."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).option("header", False).option("sep", sep).option("escape", '"').csv(paths)
     key = key_column or columns[0]
-    return df.filter(~F.col(f"`{key}`").eqNullSafe(F.lit(key)))
+    landed = _lanes(_multi_csv(spark, paths, _with_corrupt(schema), sep, "PERMISSIVE"), columns)
+    return landed._replace(rows=landed.rows.filter(~F.col(f"`{key}`").eqNullSafe(F.lit(key))))
 
 
 # ---------------------------------------------------------------------------
@@ -115,33 +168,148 @@ def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType,
 
 
 # ---------------------------------------------------------------------------
-# S4 / S5 delimited reports
+# S4 / S5 delimited reports, bound by their header
 # ---------------------------------------------------------------------------
+class BadHeader(ValueError):
+    """A file whose header does not name exactly the expected columns."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> tuple[str, ...] | None:
+    """Names in the first record of a file, or None if it has no line; reads no further than that record."""
+    jvm, jpath, fs = _hadoop(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(jpath)
+    stream = fs.open(jpath)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding))
+    try:
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        if line is None:
+            return None
+        while line.count('"') % 2 and (more := reader.readLine()) is not None:       # a quoted line break
+            line += "\n" + more
+        return tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep)))
+    finally:
+        reader.close()
+
+
+def landed_files(spark: SparkSession, paths) -> list[str]:
+    """Every file below ``paths``, as Spark's file source lists them."""
+    uri = spark.sparkContext._jvm.java.net.URI
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [path(uri(f)).toString() for f in spark.read.schema("value string").text(paths).inputFiles()]
+
+
+def header_problem(header: Sequence[str], names: Sequence[str]) -> str | None:
+    """What is wrong with a file's header, or None."""
+    said = [(word, sorted(found)) for word, found in (
+        ("unknown", set(header) - set(names)), ("missing", set(names) - set(header)), ("repeated", {h for h in header if list(header).count(h) > 1})) if found]
+    return "; ".join(f"{word}: {', '.join(found)}" for word, found in said) or None
+
+
+def header_layouts(spark: SparkSession, files: Sequence[str], names: Sequence[str], sep: str = ",",
+                   encoding: str = "utf-8") -> tuple[dict[tuple[str, ...], list[str]], dict[str, str], list[str]]:
+    """(files by column order, problem by refused file, files without a line).
+
+    One short read per file, several at a time, beside the listing that the driver does anyway."""
+    layouts, refused, blank = {}, {}, []
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f, sep, encoding), files))
+    for file, header in zip(files, headers):
+        if header is None:
+            blank.append(file)
+        elif problem := header_problem(header, names):
+            refused[file] = problem
+        else:
+            layouts.setdefault(header, []).append(file)
+    return layouts, refused, blank
+
+
+def read_layouts(spark: SparkSession, layouts: dict[tuple[str, ...], list[str]], schema: T.StructType, sep: str = ",",
+                 encoding: str = "utf-8", multi_line: bool = True, lanes: bool = False) -> DataFrame:
+    """Files of each column order read with that order, then the columns of ``schema`` by name.
+
+    ``enforceSchema=False`` has every task compare the header it skips as well.
+    With ``lanes`` there is a corrupt-record column, else a bad line fails the job."""
+    reads = []
+    for order, files in layouts.items():
+        of_file = T.StructType([schema[name] for name in order])
+        reads.append(spark.read.schema(_with_corrupt(of_file) if lanes else of_file).option("header", True).option("enforceSchema", False)
+                     .option("sep", sep).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line)
+                     .option("mode", "PERMISSIVE" if lanes else "FAILFAST").option("columnNameOfCorruptRecord", CORRUPT)
+                     .option("columnPruning", False).csv(files)
+                     .select(*[F.col(f"`{n}`") for n in schema.fieldNames()], *([CORRUPT] if lanes else []), "_metadata"))
+    if not reads:
+        empty = _with_corrupt(schema) if lanes else schema
+        return spark.createDataFrame([], empty).withColumn("_metadata", F.struct(F.lit("").alias("file_name"), F.lit("").alias("file_path")))
+    out = reads[0].select("*", F.struct("_metadata.file_name", "_metadata.file_path").alias("__m")).drop("_metadata")
+    for r in reads[1:]:
+        out = out.unionByName(r.select("*", F.struct("_metadata.file_name", "_metadata.file_path").alias("__m")).drop("_metadata"))
+    return out.withColumnRenamed("__m", "_metadata")
+
+
+def _by_name(spark: SparkSession, paths, schema: T.StructType, sep: str, encoding: str, multi_line: bool, lanes: bool) -> DataFrame:
+    layouts, refused, _ = header_layouts(spark, landed_files(spark, paths), schema.fieldNames(), sep, encoding)
+    if refused:
+        raise BadHeader("; ".join(f"{file}: {problem}" for file, problem in sorted(refused.items())))
+    return read_layouts(spark, layouts, schema, sep, encoding, multi_line, lanes)
+
+
 def read_delimited(spark: SparkSession, paths, schema: T.StructType, sep: str = ";",
-                   encoding: str = "utf-8") -> DataFrame | None:
-    """Delimited file with a header.  An empty landing returns None (the
-    source stops the run); the check reads at most one row.  A cell that does not
-    parse fails the job, as the source's cast does."""
-    df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "FAILFAST")
-          .option("encoding", encoding).option("escape", '"').csv(paths))
+                   encoding: str = "utf-8", multi_line: bool = True) -> DataFrame | None:
+    """Delimited files with a header, columns bound by name.  An empty landing
+    returns None (the source stops the run); the check reads at most one row.  A
+    cell that does not parse fails the job, as the source's cast does.
+
+    Quoted line breaks are read, for which a file is one task; files known to
+    hold none split with ``multi_line=False``."""
+    df = _by_name(spark, paths, schema, sep, encoding, multi_line, False).drop("_metadata")
     return None if df.isEmpty() else df
 
 
-def read_report(spark: SparkSession, paths, schema: T.StructType, spend_col: str = "Spend") -> DataFrame:
-    """CSV report keeping rows with positive spend (filter reaches the scan)."""
-    df = spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(paths)
+def delimited_lanes(spark: SparkSession, paths, schema: T.StructType, sep: str = ";", encoding: str = "utf-8",
+                    multi_line: bool = True) -> Landed:
+    """S4 with a lane for lines with too few or too many fields or a cell that does not parse."""
+    return _lanes(_by_name(spark, paths, schema, sep, encoding, multi_line, True), schema.fieldNames())
+
+
+def read_report(spark: SparkSession, paths, schema: T.StructType, spend_col: str = "Spend", multi_line: bool = True) -> DataFrame:
+    """CSV report, bound by name, keeping rows with positive spend (filter reaches the scan)."""
+    df = _by_name(spark, paths, schema, ",", "utf-8", multi_line, False).drop("_metadata")
     return df.filter(F.col(f"`{spend_col}`") > 0)
 
 
+def report_lanes(spark: SparkSession, paths, schema: T.StructType, spend_col: str = "Spend", multi_line: bool = True) -> Landed:
+    """S5 with a lane for lines that do not fit."""
+    landed = _lanes(_by_name(spark, paths, schema, ",", "utf-8", multi_line, True), schema.fieldNames())
+    return landed._replace(rows=landed.rows.filter(F.col(f"`{spend_col}`") > 0))
+
+
 # ---------------------------------------------------------------------------
 # S6 records with optional keys
 # ---------------------------------------------------------------------------
+def _optional(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    return df.select(*[F.coalesce(F.col(f"`{f}`"), F.lit("")).alias(f) for f in fields])
+
+
 def read_records(spark: SparkSession, paths, fields: Sequence[str]) -> DataFrame:
     """JSON records where any key may be missing; a missing key reads as ''.
-    Several accounts are simply several paths."""
+    Several accounts are simply several paths.  A torn record fails the job."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    df = spark.read.schema(schema).json(paths)
-    return df.select(*[F.coalesce(F.col(f), F.lit("")).alias(f) for f in fields])
+    return _optional(spark.read.schema(schema).option("mode", "FAILFAST").json(paths), fields)
+
+
+def record_lanes(spark: SparkSession, paths, fields: Sequence[str]) -> Landed:
+    """S6 with a lane for torn records."""
+    schema = _with_corrupt(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+    landed = _lanes(spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(paths), fields)
+    return landed._replace(rows=_optional(landed.rows, fields))
 
 
 # ---------------------------------------------------------------------------

@@ -148,3 +148,100 @@ def test_initiative_update_of_the_stored_table(spark):
     S.reload_initiative(spark, table, spark.createDataFrame([("u1", "new")], "URL string, INICIATIVA string"))
     got = {(r.NOM_ORIGEM_DADOS, r.NOM_URL): r.NOM_INICIATIVA for r in S.read_table(spark, table).collect()}
     assert got == {("A", "U1"): "NEW", ("A", "U2"): "K", ("B", "U1"): "NEW"}
+
+
+# ---------------------------------------------------------------- staged write and publication
+COLS = "NOM_ORIGEM_DADOS string, DAT_REFERENCIA date, NOM_DISCIPLINA string"
+
+
+def _days(spark, first, days, mark):
+    return spark.createDataFrame([("A", first + dt.timedelta(d), mark) for d in range(days)], COLS)
+
+
+def _content(spark, table):
+    return sorted((str(r.DAT_REFERENCIA), r.NOM_DISCIPLINA) for r in S.read_table(spark, table).collect())
+
+
+def test_a_reload_writes_once_and_checkpoints_nothing(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    from pyspark.sql.readwriter import DataFrameWriter
+    table, day = scratch_path(spark, "test-once"), dt.date(2020, 1, 1)
+    S.reload_slice(spark, table, _days(spark, day, 4, "old"), "A")
+    writes, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (writes.append(path), write(self, path, *a, **k))[1])
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *a, **k: pytest.fail("checkpoint"))
+    S.reload_slice(spark, table, _days(spark, day + dt.timedelta(2), 4, "new"), "A")
+    assert len(writes) == 1 and "/_staged/" in writes[0]
+    assert [m for _, m in _content(spark, table)] == ["old"] * 2 + ["new"] * 4
+
+
+@pytest.mark.parametrize("moved", [0, 1, 3])
+def test_a_publication_that_stops_is_completed_by_the_next_load(spark, monkeypatch, moved):
+    table, day = scratch_path(spark, "test-crash"), dt.date(2020, 1, 1)
+    S.reload_slice(spark, table, _days(spark, day, 5, "old"), "A")
+    whole = S._work_off
+
+    def stops(spark, table_dir, staged, todo):
+        """Publishes some partitions, then fails between the delete and the move of the next one."""
+        fs, root = S._fs(spark, table_dir)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name in todo["replace"][:moved]:
+            fs.delete(path(root, name), True)
+            fs.rename(path(staged, name), path(root, name))
+        fs.delete(path(root, todo["replace"][moved]), True)
+        raise OSError("lost")
+
+    monkeypatch.setattr(S, "_work_off", stops)
+    batch = spark.createDataFrame([("A", day + dt.timedelta(d), "new") for d in (0, 1, 2, 4)], COLS)      # the fourth day lost its rows
+    with pytest.raises(OSError):
+        S.reload_slice(spark, table, batch, "A")
+    monkeypatch.setattr(S, "_work_off", whole)
+    assert S.reload_slice(spark, table, batch.limit(0), "A") is None          # an empty load still completes it
+    assert _content(spark, table) == [(str(day + dt.timedelta(d)), "new") for d in (0, 1, 2, 4)]
+    assert S.recover(spark, table) == 0
+
+
+def test_a_load_that_fails_before_its_list_leaves_the_table(spark, monkeypatch):
+    table, day = scratch_path(spark, "test-unlisted"), dt.date(2020, 1, 1)
+    S.reload_slice(spark, table, _days(spark, day, 3, "old"), "A")
+    publish = S._publish
+    monkeypatch.setattr(S, "_publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        S.reload_slice(spark, table, _days(spark, day, 3, "new"), "A")
+    monkeypatch.setattr(S, "_publish", publish)
+    assert S.recover(spark, table) == 0 and {m for _, m in _content(spark, table)} == {"old"}
+    fs, root = S._fs(spark, f"{table}/{S.STAGED}")
+    assert len(fs.listStatus(root)) == 0
+
+
+def test_several_spans_in_one_write(spark):
+    table, day = scratch_path(spark, "test-spans"), dt.date(2020, 1, 1)
+    S.reload_slice(spark, table, _days(spark, day, 9, "old"), "A")
+    spans = [(day, day + dt.timedelta(1)), (day + dt.timedelta(5), day + dt.timedelta(7))]
+    batch = _days(spark, day + dt.timedelta(5), 2, "new")
+    S.reload_spans(spark, table, batch, "A", spans, undated=False)
+    assert _content(spark, table) == [(str(day + dt.timedelta(d)), m) for d, m in ((2, "old"), (3, "old"), (4, "old"), (5, "new"), (6, "new"), (8, "old"))]
+
+
+def test_rows_of_another_source_stop_the_load(spark):
+    table = scratch_path(spark, "test-strange")
+    with pytest.raises(ValueError, match="source"):
+        S.reload_slice(spark, table, spark.createDataFrame([("B", dt.date(2020, 1, 1), "x")], COLS), "A")
+
+
+def test_initiative_update_reads_and_writes_only_touched_partitions(spark, monkeypatch):
+    table, day = scratch_path(spark, "test-touched"), dt.date(2020, 1, 1)
+    cols = "NOM_ORIGEM_DADOS string, DAT_REFERENCIA date, NOM_URL string, NOM_INICIATIVA string, WIDE string"
+    S.append_rows(spark.createDataFrame([("A", day + dt.timedelta(d), f"U{d}", "K", "w") for d in range(30)], cols), table)
+    plans, staged = [], S._write_staged
+    monkeypatch.setattr(S, "_write_staged", lambda spark, rows, path: (plans.append(rows.inputFiles()), staged(spark, rows, path))[1])
+    lookup = spark.createDataFrame([("u3", "x"), ("u9", "k"), ("u20", "y")], "URL string, INICIATIVA string")
+    before = {f for f in S.read_table(spark, table).inputFiles()}
+    assert S.reload_initiative(spark, table, lookup) == 2                      # u9 has that value already
+    wide = S._table(spark, table, ["WIDE", *S.PARTITION_COLS])
+    assert wide.count() == 30
+    kept = {f for f in S.read_table(spark, table).inputFiles()} & before
+    assert len(kept) == 28                                                     # files of other partitions were not rewritten
+    got = {r.NOM_URL: r.NOM_INICIATIVA for r in S.read_table(spark, table).collect()}
+    assert got["U3"] == "X" and got["U20"] == "Y" and set(got.values()) == {"K", "X", "Y"}
+    assert S.reload_initiative(spark, table, lookup) == 0
