@@ -71,6 +71,10 @@ def _to_time(c: Column, dtype: T.DataType) -> Column:
     return F.to_timestamp_ntz(F.concat(F.lit("1900-01-01 "), s), F.lit("yyyy-MM-dd HH:mm"))
 
 
+#: Name of the file a landed row came from, carried through a load that takes several files at once.
+FILE_TAG = "__file"
+
+
 def _to_count(c: Column, dtype: T.DataType) -> Column:
     """Whole numbers keep all digits; others truncate toward zero."""
     if isinstance(dtype, T.IntegralType):
@@ -92,7 +96,9 @@ def cast_by_prefix(df: DataFrame) -> DataFrame:
     for name in df.columns:
         c, dt = F.col(name), types[name]
         p = name[:3]
-        if p == "QTD":
+        if name == FILE_TAG:
+            e = c
+        elif p == "QTD":
             e = _to_count(c, dt)
         elif p == "VAL":
             e = F.coalesce(c.cast("double"), F.lit(0.0))
@@ -114,5 +120,6 @@ def stamp(df: DataFrame, ts: Column | None = None) -> DataFrame:
 
 
 def canonicalize(exprs: Mapping[str, Column], source: DataFrame) -> DataFrame:
-    """Align + cast + upper in one narrow projection over ``source``."""
-    return cast_by_prefix(source.select(*align(exprs)))
+    """Align + cast + upper in one narrow projection over ``source``; a file tag is carried along."""
+    carried = [F.col(FILE_TAG)] if FILE_TAG in source.columns else []
+    return cast_by_prefix(source.select(*align(exprs), *carried))

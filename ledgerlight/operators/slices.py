@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from typing import Sequence
+from typing import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,12 +134,13 @@ def _has_partitions(fs, root) -> bool:
     return any(st.getPath().getName().startswith(f"{SOURCE_COL}=") for st in fs.listStatus(root))
 
 
-def _table(spark: SparkSession, table_dir: str, columns: Sequence[str]) -> DataFrame | None:
+def _table(spark: SparkSession, table_dir: str, columns: Sequence[str] | None = None) -> DataFrame | None:
     """The stored rows with their period as a date, or None before the first load."""
     fs, root = _fs(spark, table_dir)
     if not _has_partitions(fs, root):
         return None
-    return spark.read.parquet(table_dir).select(*[F.col(c).cast("date").alias(c) if c == PERIOD_COL else F.col(c) for c in columns])
+    stored = spark.read.parquet(table_dir)
+    return stored.select(*[F.col(c).cast("date").alias(c) if c == PERIOD_COL else F.col(c) for c in columns or stored.columns])
 
 
 # ---------------------------------------------------------------------------
@@ -229,7 +230,7 @@ def append_rows(rows: DataFrame, table_dir: str, unit: str = DAY) -> None:
 
 
 def reload_slice(spark: SparkSession, table_dir: str, batch: DataFrame, source: str,
-                 disciplines: Sequence[str] | None = None, unit: str = DAY) -> tuple | None:
+                 disciplines: Sequence[str] | None = None, unit: str = DAY, finish: Callable[[DataFrame], DataFrame] | None = None) -> tuple | None:
     """S14 on the table partitioned by (NOM_ORIGEM_DADOS, period): ``reload_spans`` for the batch's own span.
 
     Returns the span, or None for an empty batch; the span of a batch without
@@ -243,14 +244,17 @@ def reload_slice(spark: SparkSession, table_dir: str, batch: DataFrame, source:
         recover(spark, table_dir)
         return None
     spans = [(r["lo"], r["hi"])] if r["lo"] is not None else []
-    reload_spans(spark, table_dir, batch, source, spans, disciplines, unit, undated=r["dated"] < r["n"])
+    reload_spans(spark, table_dir, batch, source, spans, disciplines, unit, undated=r["dated"] < r["n"], finish=finish)
     return r["lo"], r["hi"]
 
 
 def reload_spans(spark: SparkSession, table_dir: str, batch: DataFrame, source: str, spans: Sequence[tuple],
-                 disciplines: Sequence[str] | None = None, unit: str = DAY, undated: bool = True) -> None:
+                 disciplines: Sequence[str] | None = None, unit: str = DAY, undated: bool = True,
+                 finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Replace the slices of ``spans``, which must not overlap, by the rows of ``batch``, in one write.
 
+    ``finish``: an update of the stored rows that the written partitions, kept rows and batch, get in the same write.
+
     Work is proportional to the slices, not the table: only the partitions of
     ``source`` inside the spans (and the undated one, if the batch has undated
     rows) are read, and every row is written once.
@@ -282,7 +286,7 @@ def reload_spans(spark: SparkSession, table_dir: str, batch: DataFrame, source:
             src, _, day = unquote(name).removeprefix(f"{SOURCE_COL}=").partition(f"/{PERIOD_COL}=")
             if src == source and any(lo <= day <= hi for lo, hi in first):
                 stored.append(name)
-    _publish(spark, table_dir, _write_staged(spark, out, table_dir), stored)
+    _publish(spark, table_dir, _write_staged(spark, finish(out) if finish else out, table_dir), stored)
 
 
 def reload_initiative(spark: SparkSession, table_dir: str, initiatives: DataFrame) -> int:
@@ -294,7 +298,7 @@ def reload_initiative(spark: SparkSession, table_dir: str, initiatives: DataFram
     so the wide read is pruned to them.
     """
     recover(spark, table_dir)
-    target = _table(spark, table_dir, spark.read.parquet(table_dir).columns)
+    target = _table(spark, table_dir)
     narrow = target.select(*PARTITION_COLS, "NOM_URL", "NOM_INICIATIVA", F.col("NOM_INICIATIVA").alias("__old"))
     changed = (update_initiative(narrow, initiatives).filter(~F.col("NOM_INICIATIVA").eqNullSafe(F.col("__old")))
                .select(*PARTITION_COLS).distinct().collect())          # one row a partition

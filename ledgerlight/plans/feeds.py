@@ -284,13 +284,15 @@ def run_load(spark, rows: DataFrame, table_dir: str, source: str, disciplines=No
     With ``initiatives`` the initiative update then runs over the whole table.
     Returns the span of the batch (None for an empty batch or an append)."""
     from ..operators.canonical import stamp
-    from ..operators.slices import append_rows, reload_initiative, reload_slice
+    from ..operators.slices import append_rows, reload_initiative, reload_slice, update_initiative
     stamped = stamp(rows, F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None else None)
     span = None
     if mode == "append":
         append_rows(stamped, table_dir, unit)
     else:
-        span = reload_slice(spark, table_dir, stamped, source, disciplines, unit)
+        # The partitions that are written anyway get the update in the same write; the update below finds them done.
+        finish = (lambda rows: update_initiative(rows, initiatives)) if initiatives is not None else None
+        span = reload_slice(spark, table_dir, stamped, source, disciplines, unit, finish)
     if initiatives is not None:
         reload_initiative(spark, table_dir, initiatives)
     return span

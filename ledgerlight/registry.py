@@ -546,11 +546,11 @@ def q_drop_folder_stream(spark, sf_dir):
     fx.register(spark, sf_dir)
     base = scratch_path(spark, "drop-rtbhouse")
     report = _retargeting_report(spark)
-    sample = report.filter(F.col("Date").startswith("1996"))
+    sample = report.filter(F.col("Date") == "1996-05-05")
     _land.write_drop_files(spark, report, "Date", f"{base}/staging", f"{base}/inbox", "rtbhouse", sep=";",
                            extra={"report_rtbhouse.csv": sample, "20241331_rtbhouse.csv": sample})
     ingest_drop(spark, f"{base}/inbox", f"{base}/archive", f"{base}/checkpoint", f"{base}/table",
                 f"{base}/errors", "rtbhouse", RETARGETING_SCHEMA, _feeds.retargeting_load,
                 _feeds.SRC_PARTNER, disciplines=[_feeds.SITE_RETARGETING], sep=";",
-                valid=F.try_to_date("Date", "yyyy-MM-dd").isNotNull(), unit=_slices.MONTH)
+                valid=F.try_to_date("Date", "yyyy-MM-dd").isNotNull(), unit=_slices.MONTH, together=True)
     return _slices.read_table(spark, f"{base}/table", list(_canon.CANONICAL_COLUMNS))

@@ -80,35 +80,26 @@ def write_records(df: DataFrame, path: str) -> str:
 
 def write_drop_files(spark: SparkSession, df: DataFrame, date_col: str, staging: str, inbox: str,
                      feed: str, sep: str = ";", extra: dict | None = None) -> list[str]:
-    """One dated drop file per calendar year of ``date_col`` (``{yyyy}0101_{feed}.csv``),
-    plus optional extra files given as {file name: DataFrame}."""
-    yr = F.year(F.col(date_col).cast("date")).alias("__yr")
-    staged = df.select("*", yr).repartition("__yr")
-    staged.write.mode("overwrite").partitionBy("__yr").option("header", True).option("sep", sep) \
-        .option("escape", '"').csv(staging)
+    """One dated drop file per calendar month of ``date_col`` (``{yyyymm}01_{feed}.csv``), each its own
+    write task, plus optional extra files given as {file name: DataFrame of a few rows}."""
+    def write(rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").partitionBy("__file").option("header", True).option("sep", sep).option("escape", '"').csv(path)
+
+    month = F.date_format(F.col(date_col).cast("date"), "yyyyMM")
+    write(df.withColumn("__file", F.concat(month, F.lit(f"01_{feed}.csv"))).repartition("__file"), staging)
+    for i, (name, rows) in enumerate((extra or {}).items()):
+        write(rows.withColumn("__file", F.lit(name)).repartition(1), f"{staging}-extra/{i}")
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(staging).getFileSystem(conf)
-    fs.mkdirs(Path(inbox))
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(inbox))
     names = []
-    for st in fs.listStatus(Path(staging)):
-        p = st.getPath()
-        if not p.getName().startswith("__yr="):
-            continue
-        year = p.getName().split("=", 1)[1]
-        for f in fs.listStatus(p):
-            if f.getPath().getName().endswith(".csv"):
-                name = f"{year}0101_{feed}.csv"
-                if name in names or not fs.rename(f.getPath(), Path(f"{inbox}/{name}")):
-                    raise OSError(f"{name} is there already: a year must be one file")
-                names.append(name)
-    for name, extra_df in (extra or {}).items():
-        tmp = f"{staging}/__extra_{len(names)}"
-        extra_df.coalesce(1).write.mode("overwrite").option("header", True).option("sep", sep) \
-            .option("escape", '"').csv(tmp)
-        for f in fs.listStatus(Path(tmp)):
-            if f.getPath().getName().endswith(".csv"):
-                fs.rename(f.getPath(), Path(f"{inbox}/{name}"))
-                names.append(name)
+    for root in [staging, *[f"{staging}-extra/{i}" for i in range(len(extra or {}))]]:
+        for folder in fs.listStatus(path(root)):
+            name = folder.getPath().getName().partition("__file=")[2]
+            for f in fs.listStatus(folder.getPath()) if name else []:
+                if f.getPath().getName().endswith(".csv"):
+                    if name in names or not fs.rename(f.getPath(), path(f"{inbox}/{name}")):
+                        raise OSError(f"{name} is there already: a month must be one file")
+                    names.append(name)
     return names
