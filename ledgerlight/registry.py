@@ -448,20 +448,10 @@ from .sources import readers as _rd  # noqa: E402
 from .sources import sinks as _sinks  # noqa: E402
 from .streaming.drop_folder import ingest_drop  # noqa: E402
 
-ANALYTICS_DIMENSIONS = ["date", "campaign", "sourceMedium", "keyword", "adGroup", "adContent", "deviceCategory"]
-ANALYTICS_METRICS = ["itemRevenue", "avgSessionDuration", "pageviews", "bounces", "transactions", "sessions",
-                     "newUsers", "itemQuantity", "metric1"]
-PAID_SEARCH_SCHEMA = _T.StructType([
-    _T.StructField("Date", _T.DateType()), _T.StructField("Nome_Campanha", _T.StringType()),
-    _T.StructField("Tipo_Anuncio", _T.StringType()), _T.StructField("Grupo_Anuncio", _T.StringType()),
-    _T.StructField("Gastos", _T.DoubleType()), _T.StructField("Dispositivo", _T.StringType()),
-    _T.StructField("Visualizações", _T.IntegerType()), _T.StructField("Cliques", _T.IntegerType()),
-    _T.StructField("URL Final", _T.StringType())])
-RETARGETING_SCHEMA = _T.StructType([
-    _T.StructField("Date", _T.StringType()), _T.StructField("Size", _T.StringType()),
-    _T.StructField("Device", _T.StringType()), _T.StructField("Imps", _T.IntegerType()),
-    _T.StructField("Clicks", _T.IntegerType()), _T.StructField("Cost (BRL)", _T.DoubleType())])
-SOCIAL_FIELDS = ["date", "adname", "impressions", "spend", "device_platform"]
+from .plans import jobs as _jobs  # noqa: E402
+
+ANALYTICS_DIMENSIONS, ANALYTICS_METRICS = _jobs.ANALYTICS_DIMENSIONS, list(_jobs.ANALYTICS_METRICS)
+PAID_SEARCH_SCHEMA, RETARGETING_SCHEMA, SOCIAL_FIELDS = _jobs.PAID_SEARCH_SCHEMA, _jobs.RETARGETING_SCHEMA, _jobs.SOCIAL_FIELDS
 
 
 @query("flatten_report")
@@ -500,6 +490,128 @@ def q_delimited_csv(spark, sf_dir):
     return df if df is not None else spark.createDataFrame([], RETARGETING_SCHEMA)
 
 
+@query("named_columns_csv")
+def q_named_columns_csv(spark, sf_dir):
+    """Two landings with their columns in another order, read as one."""
+    fx.register(spark, sf_dir)
+    report, base = _retargeting_report(spark), scratch_path(spark, "named-csv")
+    early = F.col("Date") < F.lit("1995-01-01")
+    a = _land.write_csv_parts(report.filter(early), f"{base}/a", sep=";")
+    b = _land.write_csv_parts(report.filter(~early).select(*reversed(report.columns)), f"{base}/b", sep=";")
+    return _rd.read_delimited(spark, [a, b], RETARGETING_SCHEMA, sep=";")
+
+
+@query("delimited_rejects")
+def q_delimited_rejects(spark, sf_dir):
+    """Lines with a cell that does not parse, out of a landing with such lines in it."""
+    fx.register(spark, sf_dir)
+    report = _retargeting_report(spark)
+    cost = F.when(F.col("Imps") == 13, "n/a").otherwise(F.col("Cost (BRL)").cast("string"))
+    path = _land.write_csv_parts(report.withColumn("Cost (BRL)", cost), scratch_path(spark, "torn-csv"), sep=";")
+    return _rd.delimited_lanes(spark, path, RETARGETING_SCHEMA, sep=";").refused.select("line")
+
+
+def _torn_extract(spark, path) -> None:
+    """Adds extracts of lines that are too short and too long."""
+    report = _search_ads_report(spark)
+    short = F.concat_ws(",", "Day", "Campaign", "Device")
+    _land.write_lines(report.filter("Impressions = 13"), path, short)
+    _land.write_lines(report.filter("Impressions = 17"), path, F.concat(short, F.lit(",x" * len(report.columns))))
+
+
+@query("repeated_header_rejects")
+def q_repeated_header_rejects(spark, sf_dir):
+    """Lines with too few or too many fields."""
+    fx.register(spark, sf_dir)
+    report = _search_ads_report(spark)
+    path = _land.write_csv_parts(report, scratch_path(spark, "torn-extracts"))
+    _torn_extract(spark, path)
+    return _rd.multi_csv_lanes(spark, path, report.columns, key_column="Day").refused.select("line")
+
+
+def _torn_records(spark, path) -> str:
+    """Social records, and some that end in the middle."""
+    social = _t(spark, "fx_in_social")
+    _land.write_records(social, path)
+    _land.write_lines(social.filter("impressions = 13"), path, F.concat(F.lit('{"date":"'), "date", F.lit('","adname":"'), "adname"))
+    return path
+
+
+@query("optional_keys_rejects")
+def q_optional_keys_rejects(spark, sf_dir):
+    """Torn records."""
+    fx.register(spark, sf_dir)
+    return _rd.record_lanes(spark, _torn_records(spark, scratch_path(spark, "torn-json")), SOCIAL_FIELDS).refused.select("line")
+
+
+def _job_table(spark, feed: str, paths, initiatives=None) -> DataFrame:
+    """The table after a feed's job ran twice on the same landing."""
+    base = scratch_path(spark, f"job-{feed}")
+    for _ in range(2):
+        _jobs.run_job(spark, feed, paths, f"{base}/table", f"{base}/refused", initiatives, RUN_STAMP, _slices.MONTH)
+    return _slices.read_table(spark, f"{base}/table", [*_canon.CANONICAL_COLUMNS, _canon.LOAD_STAMP])
+
+
+@query("analytics_job")
+def q_analytics_job(spark, sf_dir):
+    """M1 from the landed report to the table, run twice."""
+    fx.register(spark, sf_dir)
+    path = _land.write_analytics_reports(_t(spark, "fx_in_analytics"), scratch_path(spark, "job-ga"), ANALYTICS_DIMENSIONS, ANALYTICS_METRICS)
+    return _job_table(spark, "analytics", path)
+
+
+@query("paid_search_job")
+def q_paid_search_job(spark, sf_dir):
+    """M3 from the sheets to the table, run twice: a slice of two disciplines, and the initiative update."""
+    fx.register(spark, sf_dir)
+    path = _land.write_sheets(_t(spark, "fx_in_paid_search"), scratch_path(spark, "job-sheets"), _feeds.PAID_SEARCH_HEADER)
+    return _job_table(spark, "paid_search", path, _initiatives(spark))
+
+
+@query("social_job")
+def q_social_job(spark, sf_dir):
+    """M4 from the records, torn ones among them, to the table, run twice."""
+    fx.register(spark, sf_dir)
+    return _job_table(spark, "social", _torn_records(spark, scratch_path(spark, "job-social")))
+
+
+@query("native_ads_job")
+def q_native_ads_job(spark, sf_dir):
+    """M6 from the report to the table, run twice."""
+    fx.register(spark, sf_dir)
+    return _job_table(spark, "native_ads", _land.write_csv_parts(_native_report(spark), scratch_path(spark, "job-native")))
+
+
+@query("partner_jobs")
+def q_partner_jobs(spark, sf_dir):
+    """S12 with disciplines: four feeds share the partner's slices of one table, and each rerun replaces only its own disciplines."""
+    fx.register(spark, sf_dir)
+    base = scratch_path(spark, "partner-jobs")
+    landed = {"paid_search": _land.write_sheets(_t(spark, "fx_in_paid_search"), f"{base}/sheets", _feeds.PAID_SEARCH_HEADER),
+              "social": _land.write_records(_t(spark, "fx_in_social"), f"{base}/social"),
+              "retargeting": _land.write_csv_parts(_retargeting_report(spark), f"{base}/retargeting", sep=";"),
+              "native_ads": _land.write_csv_parts(_native_report(spark), f"{base}/native")}
+    for feed in [*landed, "paid_search"]:
+        _jobs.run_job(spark, feed, landed[feed], f"{base}/table", f"{base}/refused/{feed}", run_ts=RUN_STAMP, unit=_slices.MONTH)
+    table = _slices.read_table(spark, f"{base}/table")
+    return table.groupBy("NOM_SITE", "NOM_DISCIPLINA", F.year("DAT_REFERENCIA").alias("ano")).agg(
+        F.count("*").alias("linhas"), F.sum("QTD_IMPRESSOES").alias("impressoes"), F.round(F.sum("VAL_INVESTIMENTO"), 2).alias("investimento"))
+
+
+@query("incremental_load")
+def q_incremental_load(spark, sf_dir):
+    """S17 as the bound of a load: of extracts landed by month, only those from the high-water mark on are read and replaced."""
+    fx.register(spark, sf_dir)
+    base = scratch_path(spark, "incremental")
+    target, _ = _target_and_batch(spark)
+    _feeds.run_load(spark, target, f"{base}/table", _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    report = _search_ads_report(spark).withColumn("landed", F.trunc(F.col("Day").cast("date"), "month"))
+    path = _land.write_csv_parts(report, f"{base}/extracts", by="landed")
+    _torn_extract(spark, f"{path}/landed=1999-07-01")
+    _jobs.run_job(spark, "search_ads", path, f"{base}/table", f"{base}/refused", run_ts=RUN_STAMP, unit=_slices.MONTH, since=("landed", "Day"))
+    return _slices.read_table(spark, f"{base}/table", [*_canon.CANONICAL_COLUMNS, _canon.LOAD_STAMP])
+
+
 @query("optional_keys_json")
 def q_optional_keys_json(spark, sf_dir):
     fx.register(spark, sf_dir)

@@ -43,9 +43,12 @@ def write_analytics_reports(df: DataFrame, path: str, dimensions: Sequence[str],
     return path
 
 
-def write_csv_parts(df: DataFrame, path: str, sep: str = ",") -> str:
-    """CSV extracts of bounded size with a header in every part file (the repeated header)."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"') \
+def write_csv_parts(df: DataFrame, path: str, sep: str = ",", by: str | None = None) -> str:
+    """CSV extracts of bounded size with a header in every part file (the repeated header).
+
+    ``by``: a column whose values are folders of the landing instead."""
+    writer = df.write if by is None else df.repartition(by).write.partitionBy(by)
+    writer.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"') \
         .option("maxRecordsPerFile", PART_ROWS).csv(path)
     return path
 
@@ -71,6 +74,12 @@ def write_sheets(df: DataFrame, path: str, header: Sequence[str], head_junk: int
     return path
 
 
+def write_lines(df: DataFrame, path: str, line) -> str:
+    """Lines as they come, well-formed or not, added to what is below ``path``."""
+    df.select(line.alias("value")).write.mode("append").text(path)
+    return path
+
+
 def write_records(df: DataFrame, path: str) -> str:
     """JSON records; null fields are omitted, so keys are optional per record."""
     df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) \

@@ -19,10 +19,13 @@ import csv
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from .sinks import stage
+
 CORRUPT = "__corrupt"
 
 
@@ -123,48 +126,71 @@ def read_multi_csv(spark: SparkSession, paths, columns: Sequence[str], key_colum
 
 
 def multi_csv_lanes(spark: SparkSession, paths, columns: Sequence[str], key_column: str | None = None,
-                    sep: str = ",") -> Landed:
-    """S2 with a lane for lines that have too few or too many fields."""
+                    sep: str = ",", only: Column | None = None) -> Landed:
+    """S2 with a lane for lines that have too few or too many fields.
+
+    ``only``: a filter on the partition columns of the landed folder; folders that it rules out are not read."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     key = key_column or columns[0]
-    landed = _lanes(_multi_csv(spark, paths, _with_corrupt(schema), sep, "PERMISSIVE"), columns)
+    raw = _multi_csv(spark, paths, _with_corrupt(schema), sep, "PERMISSIVE")
+    landed = _lanes(raw if only is None else raw.filter(only), columns)
     return landed._replace(rows=landed.rows.filter(~F.col(f"`{key}`").eqNullSafe(F.lit(key))))
 
 
 # ---------------------------------------------------------------------------
 # S3 positional sheet: header + skipped rows + data + footer
 # ---------------------------------------------------------------------------
-def read_trimmed(spark: SparkSession, paths, head: int, tail: int, schema: T.StructType,
-                 sep: str = ",") -> DataFrame:
-    """S3: per file, drop the first ``head`` lines and the last ``tail`` lines,
-    then parse the rest positionally with ``schema``.
-
-    Line positions are per file, so each sheet is read whole (``wholetext``);
-    sheets are bounded by the spreadsheet row limit and spread over tasks by
-    file.  Trailing blank lines are not counted as footer.
+def numbered_lines(spark: SparkSession, paths) -> DataFrame:
+    """(file_name, value, line_no, line_count) of every line: numbers from 0 in its file, and the file's
+    number of lines, trailing blank ones left out.
+
+    A file may lie in several splits and a split in any task.  The lines are
+    stored once with their place in the scan (two scans could split otherwise);
+    the counts per split, added up along each file, give every split the number
+    of its first line.
     """
-    return trim_sheet_lines(spark.read.text(paths, wholetext=True).select("value"), head, tail, schema, sep)
-
-
-def trim_sheet_lines(raw: DataFrame, head: int, tail: int, schema: T.StructType, sep: str = ",",
-                     corrupt: str | None = None) -> DataFrame:
-    """Rows of ``raw`` are whole files (``value``); keep lines ``head`` .. ``n - tail``
-    of each and parse them with ``schema``.  Shared by the batch reader and the
-    drop-folder stream.  A line that does not parse fails the job, or lands in
-    the ``corrupt`` column if one is named."""
-    lines = F.split(F.regexp_replace(F.col("value"), r"[\r\n]+$", ""), r"\r?\n")
-    # Cut the body once per file, then explode: no per-line reference back to
-    # the whole-file array.
-    body_lines = F.slice(lines, F.lit(head + 1), F.greatest(F.size(lines) - head - tail, F.lit(0)))
-    keep = [c for c in raw.columns if c != "value"]
-    body = raw.select(*keep, F.explode(body_lines).alias("__line"))
+    lines = spark.read.schema("value string").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = stage(spark, lines, scratch_path(spark, "sheet-lines"))
+    filled = F.when(F.col("value") != "", F.col("at"))
+    splits = lines.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.max(filled).alias("last"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first"))
+    splits = stage(spark, splits.withColumn("line_count", F.coalesce(F.max(F.col("last") + F.col("offset") + 1).over(Window.partitionBy("file")), F.lit(0)))
+                   .select("file", "split", "offset", "line_count"), scratch_path(spark, "sheet-splits"))
+    return lines.join(splits, ["file", "split"]).select("file_name", "value", (F.col("at") + F.col("offset")).alias("line_no"), "line_count")
+
+
+def parse_sheet(lines: DataFrame, head: int, tail: int, schema: T.StructType, sep: str = ",", corrupt: str | None = None) -> DataFrame:
+    """``file_name`` and the columns of ``schema`` of the lines between head and footer of each file.
+
+    A line that does not parse fails the job, or lands in the ``corrupt`` column if one is named."""
+    body = lines.filter((F.col("line_no") >= head) & (F.col("line_no") < F.col("line_count") - tail))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = {"sep": sep, "escape": '"', "mode": "FAILFAST"}
     if corrupt:
         ddl += f", `{corrupt}` string"
         options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    parsed = body.select(*keep, F.from_csv(F.col("__line"), ddl, options).alias("r"))
-    return parsed.select(*keep, "r.*")
+    return body.select("file_name", F.from_csv(F.col("value"), ddl, options).alias("r")).select("file_name", "r.*")
+
+
+def read_trimmed(spark: SparkSession, paths, head: int, tail: int, schema: T.StructType,
+                 sep: str = ",") -> DataFrame:
+    """S3: per file, drop the first ``head`` lines and the last ``tail`` lines,
+    then parse the rest positionally with ``schema``.
+
+    Line positions are per file; a sheet of any size is split over tasks
+    (``numbered_lines``).  Trailing blank lines are not counted as footer.
+    """
+    return parse_sheet(numbered_lines(spark, paths), head, tail, schema, sep).drop("file_name")
+
+
+def sheet_lanes(spark: SparkSession, paths, head: int, tail: int, schema: T.StructType, sep: str = ",") -> Landed:
+    """S3 with a lane for lines that do not fit."""
+    parsed = parse_sheet(numbered_lines(spark, paths), head, tail, schema, sep, CORRUPT)
+    return Landed(parsed.filter(F.col(CORRUPT).isNull()).select(*[F.col(f"`{c}`") for c in schema.fieldNames()]),
+                  parsed.filter(F.col(CORRUPT).isNotNull()).select("file_name", F.col(CORRUPT).alias("line")))
 
 
 # ---------------------------------------------------------------------------

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..operators.canonical import FILE_TAG
 from ..operators.slices import DATE_COL, reload_spans
-from ..sources.readers import CORRUPT, drop_glob, file_stem, header_layouts, read_layouts, trim_sheet_lines, valid_drop_file
+from ..sources.readers import CORRUPT, drop_glob, file_stem, header_layouts, numbered_lines, parse_sheet, read_layouts, valid_drop_file
 
 LOG = "file string, outcome string, reason string, row_count long, dt_min date, dt_max date, wave int"
 LOADED, REFUSED, EMPTY = "loaded", "refused", "empty"
@@ -86,8 +86,8 @@ def ingest_drop(spark: SparkSession, inbox: str, archive: str, checkpoint: str,
     def read(files: list[str]) -> tuple[DataFrame, dict[str, str]]:
         """Rows of all files with their file's name and the corrupt-record column, and the files whose header is refused."""
         if fmt == "sheet":
-            raw = spark.read.text(files, wholetext=True).select("value", F.col("_metadata.file_name").alias(FILE_TAG))
-            return trim_sheet_lines(raw, sheet_head, sheet_tail, schema, sep, corrupt=CORRUPT), {}
+            rows = parse_sheet(numbered_lines(spark, files), sheet_head, sheet_tail, schema, sep, CORRUPT)
+            return rows.withColumnRenamed("file_name", FILE_TAG), {}
         layouts, refused, _ = header_layouts(spark, files, schema.fieldNames(), sep)
         rows = read_layouts(spark, layouts, schema, sep, multi_line=multi_line, lanes=True)
         return rows.withColumn(FILE_TAG, F.col("_metadata.file_name")).drop("_metadata"), {_name(f): p for f, p in refused.items()}
