@@ -188,10 +188,12 @@ def category_names(categories: DataFrame) -> DataFrame:
 
 
 def hourly_sales(sales_summary: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
-    pm = products.select("ProductId", "Name", "StoreId", "CategoryId").distinct()
-    item = top1(products, ["StoreId", "ProductId"], ["ItemNumber"], "t_")
-    pm = pm.join(item, ["StoreId", "ProductId"], "left").select(
-        "StoreId", "ProductId", F.col("Name").alias("Product_name"), F.col("t_ItemNumber").alias("Product_Number"))
+    # One aggregate gives a product's TOP 1 number and its distinct (name, category) rows, which are then opened again.
+    of_product = products.groupBy("StoreId", "ProductId").agg(
+        F.min(F.struct("ItemNumber")).alias("first"), F.collect_set(F.struct(F.col("Name").alias("Product_name"), "CategoryId")).alias("names"))
+    pm = of_product.select("StoreId", "ProductId", F.col("first.ItemNumber").alias("Product_Number"), F.inline("names"))
+    # A product without a store or id meets no sale.
+    pm = pm.select("StoreId", "ProductId", "Product_name", "Product_Number")
     cats = category_names(categories)
     j = (sales_summary.join(pm, ["ProductId", "StoreId"], "inner")
          .join(cats, ["CategoryId", "StoreId"], "left"))
@@ -274,12 +276,20 @@ def deposits_redeemed(bookings: DataFrame, transactions: DataFrame) -> DataFrame
 def tax_by_day(transactions: DataFrame) -> DataFrame:
     """A4: per-receipt tax and gratuity repeated on each line are counted once.
 
-    One pass: the distinct amounts of a receipt are summed per receipt, then
-    per day, and each day gives its two rows.
+    One pass: the distinct amounts of a receipt, a handful, are kept as a set
+    per receipt beside the scan and summed there, then per day, and each day
+    gives its two rows.  (Two DISTINCT sums would copy every line first.)
     """
-    day = (transactions.groupBy("StoreId", "ReceiptNumber", "Business_Date")
-           .agg(F.sum_distinct("TaxAmount").alias("tax"), F.sum_distinct("GratuityAmount").alias("grat"))
-           .groupBy("StoreId", "Business_Date").agg((F.sum("tax") * -1).alias("tax"), (F.sum("grat") * -1).alias("grat")))
+    receipts = (transactions.groupBy("StoreId", "ReceiptNumber", "Business_Date")
+                .agg(F.collect_set("TaxAmount").alias("taxes"), F.collect_set("GratuityAmount").alias("grats")))
+    total = {c: transactions.select(F.sum(c)).schema[0].dataType for c in ("TaxAmount", "GratuityAmount")}
+
+    def of(amounts: str, column: str) -> Column:
+        zero = F.lit(0).cast(total[column])         # no amount at all is null, as SUM has it
+        return F.when(F.size(amounts) > 0, F.aggregate(amounts, zero, lambda acc, x: (acc + x).cast(total[column])))
+
+    day = (receipts.groupBy("StoreId", "Business_Date")
+           .agg((F.sum(of("taxes", "TaxAmount")) * -1).alias("tax"), (F.sum(of("grats", "GratuityAmount")) * -1).alias("grat")))
     kinds = F.array(F.struct(F.lit("IL Sales Tax").alias("kind"), F.col("tax").alias("amt")),
                     F.struct(F.lit("Gratuity").alias("kind"), F.col("grat").alias("amt")))
     return _debit(day.select("StoreId", "Business_Date", F.inline(kinds)), F.col("kind"), F.col("amt"))

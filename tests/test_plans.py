@@ -87,3 +87,28 @@ def test_not_in_a_list_with_null_keeps_nothing(spark):
     for values, want in lists.items():
         side = spark.createDataFrame([(v,) for v in values], "x int")
         assert sorted(r.k for r in keep_in(rows, "k", side, how="not in").collect()) == want
+
+
+@pytest.mark.parametrize("key", ["tax_by_day", "end_of_day_balance"])
+def test_tax_copies_no_line(spark, small_dir, key):
+    """A4: the distinct amounts of a receipt are one set aggregate, no Expand in front of the shuffle."""
+    assert "Expand" not in plan(spark, small_dir, key)
+
+
+def test_products_are_aggregated_once(spark, small_dir):
+    """Names and TOP 1 number come from one aggregate of the products."""
+    fx_products = plan(spark, small_dir, "hourly_sales")
+    assert fx_products.count("collect_set") >= 1 and "distinct" not in fx_products.lower()
+
+
+def test_tax_edge_rows(spark):
+    """Distinct amounts of a receipt count once, nulls not at all, a receipt without amounts as null."""
+    from decimal import Decimal
+    from ledgerlight.plans import venue_daily as vd
+    rows = [(1, 7, "2020-01-01", 2.0, 1.0), (1, 7, "2020-01-01", 2.0, None), (1, 7, "2020-01-01", 3.0, 1.0), (1, None, "2020-01-01", 5.0, 0.0),
+            (1, None, "2020-01-01", 5.0, 0.0), (2, 8, "2020-01-01", None, 4.0), (2, 9, "2020-01-02", None, None)]
+    df = spark.createDataFrame([(s, r, d, *[None if x is None else Decimal(str(x)) for x in m]) for s, r, d, *m in rows],
+                               "StoreId int, ReceiptNumber int, Business_Date string, TaxAmount decimal(18,2), GratuityAmount decimal(18,2)")
+    got = {(r.Store_Id, r.Business_date, r.Tender_Type): r.Amount_Debit for r in vd.tax_by_day(df).collect()}
+    assert got == {(1, "2020-01-01", "IL Sales Tax"): -10.0, (1, "2020-01-01", "Gratuity"): -1.0, (2, "2020-01-01", "IL Sales Tax"): None,
+                   (2, "2020-01-01", "Gratuity"): -4.0, (2, "2020-01-02", "IL Sales Tax"): None, (2, "2020-01-02", "Gratuity"): None}
