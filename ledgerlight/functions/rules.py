@@ -78,6 +78,26 @@ def eq(field: str, *values: str) -> Cond:
 Rules = list[tuple[str, Cond]]
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_condition(cond: Cond, names: Mapping[str, str]) -> str:
+    """A condition as SQL over the named expressions."""
+    if cond.op in ("has", "eq"):
+        test = "contains({}, {})" if cond.op == "has" else "{} = {}"
+        return "(" + " OR ".join(test.format(names[cond.field], _text(v)) for v in cond.values) + ")"
+    if cond.op == "not":
+        return f"(NOT {sql_condition(cond.parts[0], names)})"
+    return "(" + f" {cond.op.upper()} ".join(sql_condition(p, names) for p in cond.parts) + ")"
+
+
+def sql_rules(rules: "Rules", names: Mapping[str, str], default: str) -> str:
+    """An ordered rule table as one SQL CASE."""
+    arms = " ".join(f"WHEN {sql_condition(cond, names)} THEN {_text(label)}" for label, cond in rules)
+    return f"CASE {arms} ELSE {_text(default)} END"
+
+
 def compile_rules(rules: Rules, cols: Mapping[str, Column], default) -> Column:
     """One ``CASE WHEN`` chain; ``default`` may be a literal or a Column."""
     expr = None

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from typing import Callable, Sequence
+from typing import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,10 +71,10 @@ def replace_slice(target: DataFrame | None, batch: DataFrame, source: str,
 
 
 def update_slice(target: DataFrame, source: str, lo, hi, disciplines: Sequence[str] | None = None,
-                 device: bool = True, advertiser: bool = True, vehicle: bool = False) -> DataFrame:
-    """The class-function UPDATE restricted to one slice of an existing table."""
+                 device: bool = True, advertiser: bool = True, vehicle: bool = False, names: Mapping[str, str] | None = None) -> DataFrame:
+    """The class-function UPDATE restricted to one slice of an existing table; ``names`` as in ``apply_class_functions``."""
     from ..plans.feeds import apply_class_functions
-    return apply_class_functions(target, device=device, advertiser=advertiser, vehicle=vehicle,
+    return apply_class_functions(target, device=device, advertiser=advertiser, vehicle=vehicle, names=names,
                                  where=F.coalesce(slice_predicate(source, lo, hi, disciplines), F.lit(False)))
 
 

@@ -145,15 +145,20 @@ def search_ads_rows(report: DataFrame) -> DataFrame:
 
 
 def apply_class_functions(df: DataFrame, device: bool = True, advertiser: bool = True,
-                          vehicle: bool = False, where: Column | None = None) -> DataFrame:
-    """The post-load UPDATE through the named class functions."""
+                          vehicle: bool = False, where: Column | None = None, names: Mapping[str, str] | None = None) -> DataFrame:
+    """The post-load UPDATE through the class functions.
+
+    ``names``: SQL functions of the session's catalog to call, by kind (``functions.catalog``)."""
+    def function(kind: str, value: Column) -> Column:
+        return F.call_function(names[kind], value) if names and kind in names else named_function(kind)(value)
+
     sets = {}
     if device:
-        sets["TIP_DEVICE"] = named_function("device")(F.col("TIP_DEVICE"))
+        sets["TIP_DEVICE"] = function("device", F.col("TIP_DEVICE"))
     if advertiser:
-        sets["NOM_ANUNCIANTE"] = named_function("advertiser")(F.col("NOM_ANUNCIANTE"))
+        sets["NOM_ANUNCIANTE"] = function("advertiser", F.col("NOM_ANUNCIANTE"))
     if vehicle:
-        sets["NOM_DISCIPLINA"] = named_function("vehicle")(F.upper(F.col("NOM_DISCIPLINA")))
+        sets["NOM_DISCIPLINA"] = function("vehicle", F.upper(F.col("NOM_DISCIPLINA")))
     cols = []
     for c in df.columns:
         if c in sets:

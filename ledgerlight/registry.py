@@ -196,6 +196,7 @@ def q_week_number(spark, sf_dir):
 
 # ---------------------------------------------------------------- advertising feeds
 from .functions import decode as _dec  # noqa: E402
+from .functions.catalog import register_class_functions  # noqa: E402
 from .functions import rules as _rules  # noqa: E402
 from .operators import canonical as _canon  # noqa: E402
 from .operators import slices as _slices  # noqa: E402
@@ -391,7 +392,7 @@ def q_update_slice(spark, sf_dir):
     fx.register(spark, sf_dir)
     rows = _feeds.search_ads_rows(_search_ads_report(spark))
     return _slices.update_slice(rows, _feeds.SRC_SEARCH_ADS, *UPDATE_SLICE, device=True, advertiser=True,
-                                vehicle=True)
+                                vehicle=True, names=register_class_functions(spark))
 
 
 @query("update_initiative")

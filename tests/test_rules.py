@@ -186,3 +186,21 @@ def test_scaffold_right_join_semantics(spark):
         [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
     empty = groups.limit(0)
     assert sorted(tuple(r) for r in scaffold(stores, "s", empty, "g").collect()) == [(1, None), (2, None)]
+
+
+def test_class_functions_by_name(spark):
+    """The SQL functions say what the rule tables say, and a caller replaces one by its name."""
+    from ledgerlight.functions import catalog
+    from ledgerlight.plans.feeds import apply_class_functions
+    texts = ["DESKTOP", "TABLET", "MOBILE", "x", None, "it's \\ a", "GOL_INTERNACIONAL", "ALP_LATAM_MARCA", *[v for _, c in R.ADVERTISER_RULES_A for v in _values(c)]]
+    df = spark.createDataFrame([(t, t, t) for t in texts], "TIP_DEVICE string, NOM_ANUNCIANTE string, NOM_DISCIPLINA string")
+    names = catalog.register_class_functions(spark)
+    assert apply_class_functions(df, vehicle=True, names=names).collect() == apply_class_functions(df, vehicle=True).collect()
+    by_sql = spark.sql("SELECT class_device('TABLET') d, class_vehicle('v') v").first()
+    assert tuple(by_sql) == ("DESKTOP", "v")
+    names = catalog.register_class_functions(spark, {"vehicle": "concat('V_', value)"}, {"vehicle": "my_vehicle"})
+    assert apply_class_functions(df.limit(1), vehicle=True, names=names).first().NOM_DISCIPLINA == "V_DESKTOP"
+
+
+def _values(cond):
+    return list(cond.values) + [v for p in cond.parts for v in _values(p)]
