@@ -2,15 +2,22 @@
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. The
 license words of the templates are located in every file; their document
-frequency over all files gives an IDF. The rarest word of each template's
-mandatory key phrase is looked up at every place of every file: no template
-whose phrase stands in a file is passed over, however many license words the
-file holds. The relative position (file position minus template position) names
-the place where the template may stand; there, the key phrase must stand word
-by word, and the IDF share of all its words that stand is the score.
+frequency over all files gives an IDF. The index has postings (template,
+position) of the INDEXED highest-IDF words of each template that any file holds. All words of a file
+that have postings, its highest-IDF license words, are looked up, wherever they
+stand and however many they are. The relative position (file position minus
+template position) names the place where a template may stand; postings are
+intersected there: at least AGREEING of them must name the same place (all, of a
+template with fewer). At such a place the mandatory key phrase must stand word
+by word and the words that stand must hold LEAST_SHARE of the template's IDF;
+then the file gets the template's label, so a phrase in other prose gives none.
+The score is the largest share of a place where the phrase stands.
 
 Defined results: a null or wordless text has n_words 0, no label and score 0;
-repeated rows and repeated ids each get a row; a null doc_id is kept.
+very long texts are scanned whole; of words with equal IDF the index takes the
+first by alphabet, then by position; repeated rows and repeated ids each get a
+row and count as files of their own; a null doc_id is kept; an empty table gives
+an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -47,7 +54,9 @@ TEMPLATES = [
 ]
 # Words too common to be license words; no key phrase holds one.
 STOP = set("a and any are as by for free in into is it of or out the this to under use with without work 0 2 3".split())
-RAREST = 8         # words a file looks up in this scan's SQL; the scan itself has no such bound
+INDEXED = 4            # postings of a template, its words of the highest IDF
+AGREEING = 2           # postings that must name the same place
+LEAST_SHARE = 0.5      # of a template's IDF that must stand there (to nine places)
 
 
 def _vocabulary() -> list[str]:
@@ -83,17 +92,17 @@ def base_hits(occ: Column) -> Column:
     return F.filter(F.transform(occ, at), lambda x: x.isNotNull())
 
 
-def _template_words(spark: SparkSession, idf: dict[str, float]) -> DataFrame:
-    """(t, label, pos, w, idf, key, anchor): the index words of every template; key marks those of the mandatory phrase, anchor its rarest."""
+def _template_words(spark: SparkSession, idf: dict[str, float], found: set[str]) -> DataFrame:
+    """(t, label, pos, w, idf, key, indexed, need): the license words of every template; key marks those of the mandatory phrase,
+    indexed the postings, need the number of them that must agree."""
     vocabulary, rows = set(_vocabulary()), []
     for t, (label, text, phrase) in enumerate(TEMPLATES):
         words, key = text.split(), phrase.split()
         at = next(i for i in range(len(words)) if words[i:i + len(key)] == key)
-        anchor = max(range(at, at + len(key)), key=lambda pos: idf[words[pos]])
-        for pos, w in enumerate(words):
-            if w in vocabulary:
-                rows.append((t, label, pos, w, idf[w], at <= pos < at + len(key), pos == anchor))
-    return spark.createDataFrame(rows, "t int, label string, pos int, w string, idf double, key boolean, anchor boolean")
+        own = [(pos, w) for pos, w in enumerate(words) if w in vocabulary]
+        rare = {pos for pos, _ in sorted((x for x in own if x[1] in found), key=lambda x: (-idf[x[1]], x[1], x[0]))[:INDEXED]}
+        rows += [(t, label, pos, w, idf[w], at <= pos < at + len(key), pos in rare, min(AGREEING, len(rare))) for pos, w in own]
+    return spark.createDataFrame(rows, "t int, label string, pos int, w string, idf double, key boolean, indexed boolean, need int")
 
 
 def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -108,17 +117,19 @@ def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     counts = each.select("rid", "w").distinct().groupBy("w").agg(F.count("*").alias("n"))
     df = {r["w"]: r["n"] for r in counts.collect()}             # one row a template word
     idf = {w: log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-3 for w in vocabulary}
-    index = _template_words(spark, idf)
+    index = _template_words(spark, idf, set(df))
 
-    anchors = index.filter("anchor").select("t", "pos", "w")
-    places = (each.join(F.broadcast(anchors), "w")                                      # the index has a fixed size
-              .select("rid", "t", (F.col("i") - F.col("pos")).alias("place")).distinct())
+    postings = index.filter("indexed").select("t", "pos", "w", "need")
+    places = (each.join(F.broadcast(postings), "w")                                     # the index has a fixed size
+              .groupBy("rid", "t", (F.col("i") - F.col("pos")).alias("place"), "need").agg(F.count("*").alias("agree"))
+              .filter("agree >= need").select("rid", "t", "place"))
     share = (places.join(F.broadcast(index), "t").withColumn("i", F.col("place") + F.col("pos"))
              .join(each.withColumn("hit", F.lit(1)), ["rid", "i", "w"], "left")
              .groupBy("rid", "t", "place", "label")
              .agg(F.min(F.when(F.col("key"), F.coalesce("hit", F.lit(0)))).alias("whole"),
                   (F.sum(F.when(F.col("hit") == 1, F.col("idf")).otherwise(0.0)) / F.sum("idf")).alias("share"))
-             .filter("whole = 1").groupBy("rid").agg(F.collect_set("label").alias("more"), F.max("share").alias("share")))
+             .filter("whole = 1").groupBy("rid")
+             .agg(F.collect_set(F.when(F.col("share") >= LEAST_SHARE - 1e-9, F.col("label"))).alias("more"), F.max("share").alias("share")))
     none = F.array().cast("array<string>")
     return (found.withColumn("base", base_hits(F.col("occ"))).join(share, "rid", "left")
             .select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),

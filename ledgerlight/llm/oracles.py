@@ -58,20 +58,20 @@ idx AS (
 occ AS (
   SELECT rid, i, w FROM flat WHERE w IN (SELECT w FROM idx)),
 weight AS (
-  SELECT w, ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT rid) + 1)) + 1e-3 AS idf
+  SELECT w, ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT rid) + 1)) + 1e-3 AS idf, count(rid) AS seen
   FROM (SELECT DISTINCT w FROM idx) LEFT JOIN occ USING (w) GROUP BY w),
 rare AS (
-  SELECT rid, w FROM (SELECT DISTINCT rid, w FROM occ) JOIN weight USING (w)
-  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY idf DESC, w) <= {licenses.RAREST}),
+  SELECT t, pos, w, least({licenses.AGREEING}, count(*) OVER (PARTITION BY t)) AS need
+  FROM idx JOIN weight USING (w) WHERE seen > 0 QUALIFY row_number() OVER (PARTITION BY t ORDER BY idf DESC, w, pos) <= {licenses.INDEXED}),
 places AS (
-  SELECT DISTINCT rid, t, i - pos AS place FROM occ JOIN rare USING (rid, w) JOIN idx USING (w)),
+  SELECT rid, t, i - pos AS place FROM occ JOIN rare USING (w) GROUP BY rid, t, place, need HAVING count(*) >= need),
 judged AS (
   SELECT p.rid, p.t, p.place, any_value(x.label) AS label, bool_and(o.i IS NOT NULL OR NOT x.key) AS whole,
          coalesce(sum(idf) FILTER (WHERE o.i IS NOT NULL), 0) / sum(idf) AS share
   FROM places p JOIN idx x USING (t) JOIN weight USING (w)
   LEFT JOIN occ o ON o.rid = p.rid AND o.w = x.w AND o.i = p.place + x.pos GROUP BY 1, 2, 3),
 more AS (SELECT rid, label, share FROM judged WHERE whole),
-named AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM base UNION ALL SELECT rid, label FROM more) GROUP BY 1)
+named AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM base UNION ALL SELECT rid, label FROM more WHERE share >= {licenses.LEAST_SHARE} - 1e-9) GROUP BY 1)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
        coalesce(b.labels, '') AS base_labels, coalesce(named.labels, '') AS labels, least(1.0, coalesce(share, 0.0))::DOUBLE AS score
 FROM d

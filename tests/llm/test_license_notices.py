@@ -16,3 +16,14 @@ def test_a_file_with_all_notices_has_all_labels(spark):
     assert {out[2 + i].labels for i in range(len(plain))} == {""}
     for i, (label, *_) in enumerate(licenses.TEMPLATES, 2 + len(plain)):
         assert label in out[i].labels.split(",")
+
+
+def test_a_key_phrase_alone_is_no_notice(spark):
+    """Prose that holds only the phrase, and a notice cut so short that little of it stands, get no label."""
+    rows = ["We ship binary forms daily.", "Copy, modify that line!", "All rights hereby granted to the winner.",
+            "Redistribution and use in source and binary forms, with or without", "no licence word at all", *[t for _, t, _ in licenses.TEMPLATES]]
+    out = {r.doc_id: r for r in licenses.scan(spark, spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert [out[i].labels for i in range(5)] == ["", "", "", "bsd", ""]
+    assert all(out[i].score < 0.5 for i in range(3))
+    for i, (label, *_) in enumerate(licenses.TEMPLATES, 5):
+        assert label in out[i].labels.split(",")

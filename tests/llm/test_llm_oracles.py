@@ -18,7 +18,9 @@ def awkward_texts(rng, n=400):
               "hunter2example", "MIT", "mit ", "License", "license ", "general ", "public ", "released under the ", "apache ", "lesser ", "gnu ", "é", "-", "\n",
               "copy modify ", "Redistribution and use in source and binary forms, with or without modification, are permitted "]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(50))) for _ in range(n)]
-    return [None, "", " ", "é" * 40, "mit license " * 3000, "token=" + "x9" * 4 + " " + "f" * 70_000, *texts, *texts[:20]]
+    from ledgerlight.llm.licenses import TEMPLATES
+    notices = [". ".join(t for _, t, _ in TEMPLATES), *[t for _, t, _ in TEMPLATES], "We ship binary forms daily", "copy modify that line", "all rights hereby granted"]
+    return [None, "", " ", "é" * 40, *notices, "mit license " * 3000, "token=" + "x9" * 4 + " " + "f" * 70_000, *texts, *texts[:20]]
 
 
 def awkward_urls(rng, n=1500):
