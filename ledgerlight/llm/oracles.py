@@ -127,27 +127,9 @@ FROM d LEFT JOIN summed USING (rid)
 
 def _urls() -> str:
     rules = _values([(v, h, p) for v, h, p in urls.RULES])
-    levels = ""
-    for k in range(urls.DEPTH):
-        levels += f""",
-child{k} AS (
-  SELECT host, template, rest[1] AS seg, sum(n) AS n, sum(labelled) AS l, sum(bad) AS b FROM level{k} WHERE len(rest) > 0 GROUP BY 1, 2, 3),
-node{k} AS (
-  SELECT *, sum(n) OVER w AS pn, sum(l) OVER w AS pl, sum(b) OVER w AS pb, count(*) OVER w AS kids FROM child{k} WINDOW w AS (PARTITION BY host, template)),
-token{k} AS (
-  SELECT host, template, seg,
-         CASE WHEN seg = '*' OR (kids > {urls.WIDE} AND n < {urls.RARE}::DOUBLE * pn) THEN '*'
-              WHEN l >= {urls.PRIOR} AND pl - l >= {urls.PRIOR}
-                   AND abs(b::DOUBLE / greatest(l, 1) - (pb - b)::DOUBLE / greatest(pl - l, 1))
-                       <= {urls.SIMILAR_Z}::DOUBLE * sqrt(pb::DOUBLE / greatest(pl, 1) * (1 - pb::DOUBLE / greatest(pl, 1))
-                                                  * (1::DOUBLE / greatest(l, 1) + 1::DOUBLE / greatest(pl - l, 1))) THEN '*'
-              ELSE seg END AS token
-  FROM node{k}),
-level{k + 1} AS (
-  SELECT c.host, shape, c.n, labelled, bad, CASE WHEN token IS NULL THEN c.template ELSE c.template || '/' || token END AS template, rest[2:] AS rest
-  FROM level{k} c LEFT JOIN token{k} t ON t.host = c.host AND t.template = c.template AND t.seg = rest[1])"""
+    z2 = urls.SIMILAR_Z ** 2
     return rf"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
   SELECT row_number() OVER () AS rid, page_id, CASE WHEN url LIKE '%://%' THEN url[strpos(url, '://') + 3:] ELSE '' END AS u FROM pages),
 parts AS (SELECT rid, page_id, u, regexp_extract(u, '^[^/?#]*') AS h FROM cut),
 p AS (
@@ -161,20 +143,55 @@ ruled AS (
          array_to_string(list_transform(string_split(regexp_replace(path, '/+$', ''), '/'),
                                         lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*' ELSE s END), '/') AS shape
   FROM p LEFT JOIN fits USING (rid)),
-level0 AS (
-  SELECT host, shape, count(*) AS n, count(rverdict) AS labelled, count(*) FILTER (WHERE rverdict = 'block') AS bad,
-         '' AS template, string_split(shape, '/')[2:{urls.DEPTH + 2}] AS rest
-  FROM ruled GROUP BY host, shape){levels},
+-- One branching a round; rows of nodes that are not grown end there.
+grow AS (
+  SELECT host, shape, count(*)::DOUBLE AS n, count(rverdict)::DOUBLE AS labelled, (count(*) FILTER (WHERE rverdict = 'block'))::DOUBLE AS bad,
+         '' AS template, string_split(shape, '/')[2:] AS rest, 0 AS turn, false AS done
+  FROM ruled GROUP BY host, shape
+  UNION ALL
+  SELECT host, shape, n, labelled, bad,
+         CASE WHEN NOT grown THEN template
+              ELSE template || CASE WHEN skip > 0 THEN '/' || array_to_string(rest[1:skip], '/') ELSE '' END
+                   || CASE WHEN seg IS NULL THEN ''
+                           WHEN seg = '*' OR (kids > {urls.WIDE} AND kn < {urls.RARE}::DOUBLE * pn)
+                                OR (kl >= {urls.PRIOR} AND pl - kl >= {urls.PRIOR}
+                                    AND abs(kb / greatest(kl, 1) - (pb - kb) / greatest(pl - kl, 1))
+                                        <= {urls.SIMILAR_Z}::DOUBLE * sqrt(pb / greatest(pl, 1) * (1 - pb / greatest(pl, 1))
+                                                                  * (1 / greatest(kl, 1) + 1 / greatest(pl - kl, 1)))) THEN '/*'
+                           ELSE '/' || seg END END,
+         CASE WHEN grown THEN rest[skip + 2:] ELSE rest END, turn + 1, NOT grown
+  FROM (
+    SELECT *, CASE WHEN seg IS NOT NULL THEN (dense_rank() OVER (PARTITION BY host, template ORDER BY seg)
+                                              + dense_rank() OVER (PARTITION BY host, template ORDER BY seg DESC) - 1 - (count(*) FILTER (WHERE seg IS NULL) OVER (PARTITION BY host, template) > 0)::INT) END AS kids,
+           sum(n) OVER child AS kn, sum(labelled) OVER child AS kl, sum(bad) OVER child AS kb
+    FROM (
+      SELECT *, CASE WHEN grown THEN rest[skip + 1] END AS seg
+      FROM (
+        SELECT *, lo <> hi AND NOT ((pl = 0 AND turn >= {urls.NAMED}) OR (pl = pn AND (pb = 0 OR pb = pl))) AS grown,
+               coalesce(list_position(list_transform(list_zip(lo[1:least(len(lo), len(hi))], hi[1:least(len(lo), len(hi))]), lambda x: x[1] = x[2]), false) - 1,
+                        least(len(lo), len(hi))) AS skip
+        FROM (
+          SELECT host, shape, n, labelled, bad, template, rest, turn, sum(n) OVER node AS pn, sum(labelled) OVER node AS pl, sum(bad) OVER node AS pb,
+                 min(rest) OVER node AS lo, max(rest) OVER node AS hi
+          FROM grow WHERE NOT done WINDOW node AS (PARTITION BY host, template))))
+    WINDOW child AS (PARTITION BY host, template, seg))),
 tree AS (
-  SELECT host, shape, n, labelled, bad, template || CASE WHEN len(rest) > 0 THEN '/**' ELSE '' END AS template FROM level{urls.DEPTH}),
+  SELECT host, shape, n, labelled, bad,
+         template || CASE WHEN skip > 0 THEN '/' || array_to_string(lo[1:skip], '/') ELSE '' END || CASE WHEN lo <> hi THEN '/**' ELSE '' END AS template
+  FROM (
+    SELECT *, coalesce(list_position(list_transform(list_zip(lo[1:least(len(lo), len(hi))], hi[1:least(len(lo), len(hi))]), lambda x: x[1] = x[2]), false) - 1,
+                       least(len(lo), len(hi))) AS skip
+    FROM (SELECT *, min(rest) OVER node AS lo, max(rest) OVER node AS hi FROM grow WHERE done WINDOW node AS (PARTITION BY host, template)))),
 hosts AS (
   SELECT host, (sum(bad) + {urls.PRIOR}::DOUBLE * (SELECT coalesce(sum(bad), 0)::DOUBLE / greatest(sum(labelled), 1) FROM tree)) / (sum(labelled) + {urls.PRIOR}::DOUBLE) AS host_purity
   FROM tree GROUP BY host),
 judged AS (
-  SELECT host, template, sum(n) AS n, sum(labelled) AS l, (sum(bad) + {urls.PRIOR}::DOUBLE * any_value(host_purity)) / (sum(labelled) + {urls.PRIOR}::DOUBLE) AS purity
+  SELECT host, template, sum(n) AS n, sum(labelled) AS l, sum(bad) AS b, (sum(bad) + {urls.PRIOR}::DOUBLE * any_value(host_purity)) / (sum(labelled) + {urls.PRIOR}::DOUBLE) AS purity
   FROM tree JOIN hosts USING (host) GROUP BY 1, 2)
 SELECT page_id, r.host, path, rule,
-       CASE WHEN rverdict IS NOT NULL THEN rverdict WHEN r.host <> '' AND purity >= {urls.REJECT} AND 2 * l >= j.n THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN rverdict IS NOT NULL THEN rverdict WHEN r.host <> '' AND purity >= {urls.REJECT} AND l > 0 AND
+            (b / greatest(l, 1) + {z2}::DOUBLE / (2 * greatest(l, 1)) - {urls.SIMILAR_Z}::DOUBLE * sqrt(b / greatest(l, 1) * (1 - b / greatest(l, 1)) / greatest(l, 1)
+             + {z2}::DOUBLE / (4 * greatest(l, 1) * greatest(l, 1)))) / (1 + {z2}::DOUBLE / greatest(l, 1)) > {urls.LOWER} THEN 'block' ELSE 'allow' END AS verdict,
        t.template, purity
 FROM ruled r JOIN tree t ON t.host = r.host AND t.shape = r.shape JOIN judged j ON j.host = t.host AND j.template = t.template
 """

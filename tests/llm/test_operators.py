@@ -408,3 +408,17 @@ def test_weights_and_level_where_no_source_is_capped(spark):
     got = {r.source: r.target for r in mixing.targets(df).collect()}
     want = water_level(dict(rows))
     assert all(math.isclose(got[s], want[s]) for s in want)
+
+
+@pytest.mark.parametrize("prefix", ["", "/a/b/c/d/e", "/a" * 60])
+def test_good_and_bad_part_at_any_depth(spark, prefix):
+    """Labelled bad and good branches, and one without labels, below a prefix of any length; a fifth of the pages is not labelled."""
+    kinds = ["bad", "good", "other"]
+    rows = [(i, f"http://h.com{prefix}/{kinds[i % 3]}/{'x' * (i % 4)}{i}") for i in range(600)] + [(1000 + i, f"http://h.com{prefix}/few/w{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    labels = [(i, i % 3 == 0) for i in range(600) if i % 3 < 2 and i % 5] + [(1000, True), (1001, True)]
+    out = {r.page_id: r for r in urls.judge(spark, df, spark.createDataFrame(labels, "page_id long, bad boolean")).collect()}
+    assert {out[i].verdict for i in range(0, 600, 3)} == {"block"}
+    assert {out[i].verdict for i in range(600) if i % 3} == {"allow"}
+    assert out[1002].verdict == "allow"             # two labelled pages are too few to judge by
+    assert out[0].template == f"{prefix}/bad/*" and out[2].template == f"{prefix}/other/*"
