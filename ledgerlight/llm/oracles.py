@@ -91,12 +91,12 @@ def _secrets() -> str:
     begin, rest = secrets.FORMATS.split("|(?<![A-Za-z0-9_-])")
     kinds = [(0, "assign", assign, 2, 8), (1, "access", "AKIA[A-Z0-9]+", 0, 16), (2, "hex", "[0-9a-f]+", 0, 32), (3, "format", f"{begin}|{apart}{rest}", 0, 1)]
     found = "\n  UNION ALL ".join(
-        f"SELECT rid, owner, {no} AS no, '{name}' AS kind, {group} AS grp, {least} AS least, "
+        f"SELECT rid, owner, repo, {no} AS no, '{name}' AS kind, {group} AS grp, {least} AS least, "
         f"string_split(regexp_replace(text, '{pattern}', chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS parts, '{pattern}' AS pattern FROM d"
         for no, name, pattern, group, least in kinds)
     return f"""
 WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id, source AS owner, replace(coalesce(text, ''), chr(1), chr(2)) AS text FROM documents),
+  SELECT row_number() OVER () AS rid, doc_id, source AS owner, coalesce(text, '') AS repo, replace(coalesce(text, ''), chr(1), chr(2)) AS text FROM documents),
 fenced AS (
   {found}),
 seg AS (
@@ -104,12 +104,13 @@ seg AS (
 placed AS (
   SELECT *, coalesce(sum(length(s)) OVER (PARTITION BY rid, no ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM seg),
 hits AS (
-  SELECT rid, owner, no, kind, least, a::BIGINT + length(s) - length(m) AS a, a::BIGINT + length(s) AS b,
+  SELECT rid, owner, repo, no, kind, least, a::BIGINT + length(s) - length(m) AS a, a::BIGINT + length(s) AS b,
          CASE WHEN no = 0 THEN regexp_extract(m, '{assign}', 2) ELSE m END AS value
   FROM (SELECT *, CASE WHEN no = 3 AND s[1:1] NOT BETWEEN 'A' AND 'z' AND s[1:1] <> '-' THEN s[2:] ELSE s END AS m FROM placed WHERE k % 2 = 0)),
 kept AS (SELECT * FROM hits WHERE length(value) >= least),
 copied AS (
-  SELECT value FROM (SELECT DISTINCT value, owner FROM kept) GROUP BY value HAVING count(*) >= {secrets.COPIED_OWNERS}),
+  SELECT value FROM (SELECT value, owner, count(DISTINCT repo) AS repositories FROM kept GROUP BY 1, 2)
+  GROUP BY value HAVING count(*) >= {secrets.COPIED_OWNERS} OR max(repositories) >= {secrets.COPIED_REPOSITORIES}),
 marked AS (
   SELECT *, value IN (SELECT value FROM copied) AS is_copied, len(list_distinct(string_split(value, ''))) >= {secrets.LEAST_SYMBOLS} AS is_random,
          kind || ':' || a || ':' || b AS span FROM kept),

@@ -1,18 +1,23 @@
 """Secret scan with corpus-wide ownership frequency (operator 6), in DataFrame functions only.
 
 Patterns find candidates. The hash of each candidate's value is counted over
-the corpus by distinct repositories (documents) and owners (sources): a value
-that many owners hold is a widely copied example, one that few hold and that
-looks random is live-looking. Spans of the contract's own patterns are always
-reported; those of the further token formats only if live-looking.
+the corpus by distinct owners (sources) and, within an owner, by distinct
+repositories (different texts; exact copies are one). A value that COPIED_OWNERS
+owners hold, or that COPIED_REPOSITORIES repositories of one owner hold, is a
+widely copied example: no credential is pasted into so many different texts.
+One that fewer hold and that looks random is live-looking. Spans of the
+contract's own patterns are always reported; those of the further token formats
+only if live-looking.
 
 Match positions come from the engine's own regular expressions: matches are
 fenced with \\x01 (a \\x01 of the text counts as \\x02, which no pattern
 knows), the text is split at the fences, and lengths before a match add up.
 
 Defined results: a null or empty text has no span and the hash of an empty
-string; repeated rows each get a row and count as repositories of their own;
-a null source is an owner.
+string; very long texts are scanned whole; of matches that start together the
+kind listed first comes first; repeated rows each get a row and count as one
+repository; a null source is an owner; an empty table gives an empty result;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +39,7 @@ FORMATS = (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----|(?<![A-Za-z0-9_-])(?:gh[pou
            r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})")
 KINDS = [k for k, *_ in BASE] + ["format"]
 COPIED_OWNERS = 3       # a value held by so many owners is a copied example
+COPIED_REPOSITORIES = 20    # and one that so many different texts of an owner hold
 LEAST_SYMBOLS = 8       # distinct characters of a live-looking value
 SALTS = 16
 FENCE = "\x01"
@@ -80,11 +86,12 @@ def candidates(text: Column) -> Column:
     return F.array_sort(F.concat(*kinds))
 
 
-def copied_values(found: DataFrame, owners: int = COPIED_OWNERS) -> DataFrame:
-    """(h): values that at least so many distinct owners hold, from (rid, owner, spans)."""
-    held = found.select("rid", "owner", F.explode(F.array_distinct(F.col("spans.h"))).alias("h"))
+def copied_values(found: DataFrame, owners: int = COPIED_OWNERS, repositories: int = COPIED_REPOSITORIES) -> DataFrame:
+    """(h): values that at least so many distinct owners, or repositories of one owner, hold, from (rid, owner, repo, spans)."""
+    held = found.select("owner", "repo", F.explode(F.array_distinct(F.col("spans.h"))).alias("h")).distinct()
     by_owner = held.groupBy("h", "owner").agg(F.count("*").alias("repositories"))       # partial sums keep a hot value small
-    return by_owner.groupBy("h").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories")).filter(F.col("owners") >= owners)
+    held_by = by_owner.groupBy("h").agg(F.count("*").alias("owners"), F.max("repositories").alias("repositories"))
+    return held_by.filter((F.col("owners") >= owners) | (F.col("repositories") >= repositories))
 
 
 def with_copied(found: DataFrame, owners: int = COPIED_OWNERS) -> DataFrame:
@@ -106,7 +113,7 @@ def _written(spans: Column) -> Column:
 def scan(spark: SparkSession, docs: DataFrame, owner_col: str = "source", owners: int = COPIED_OWNERS) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) for every row of ``docs``."""
     found = stored(spark, docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col(f"`{owner_col}`").cast("string").alias("owner"),
-                                      candidates(text_of()).alias("spans")), "secret-spans")
+                                      F.xxhash64(text_of()).alias("repo"), candidates(text_of()).alias("spans")), "secret-spans")
     rows = with_copied(found, owners)
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
@@ -132,7 +139,7 @@ def redact_live(spark: SparkSession, docs: DataFrame, owner_col: str = "source",
     cols = docs.columns
     row = F.struct(*[F.col(f"`{c}`") for c in cols])
     found = stored(spark, docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("d"), F.col(f"`{owner_col}`").cast("string").alias("owner"),
-                                      candidates(text_of()).alias("spans")), "secret-docs")
+                                      F.xxhash64(text_of()).alias("repo"), candidates(text_of()).alias("spans")), "secret-docs")
     some = with_copied(found.filter(F.size("spans") > 0), owners).withColumn("live", F.filter("spans", _live))
     text = F.when(F.size("live") > 0, _without(F.col("d.text"), F.col("live"), mask)).otherwise(F.col("d.text"))
     new = {"text": F.col("new"), **({"n_chars": F.when(F.size("live") > 0, F.length("new")).otherwise(F.col("d.n_chars")).cast(docs.schema["n_chars"].dataType)}

@@ -422,3 +422,13 @@ def test_good_and_bad_part_at_any_depth(spark, prefix):
     assert {out[i].verdict for i in range(600) if i % 3} == {"allow"}
     assert out[1002].verdict == "allow"             # two labelled pages are too few to judge by
     assert out[0].template == f"{prefix}/bad/*" and out[2].template == f"{prefix}/other/*"
+
+
+def test_a_value_of_many_texts_of_one_owner_is_an_example(spark):
+    """Repositories decide within an owner: 25 different texts make an example, 25 copies of one text and 19 texts do not."""
+    key = "sk_live_" + "9zY8xW7vQq3"
+    rows = [(i, f"text {i} {key}AAAA1", "one") for i in range(25)] + [(100 + i, f"the same {key}BBBB2", "one") for i in range(25)]
+    rows += [(200 + i, f"text {i} {key}CCCC3", "two") for i in range(19)]
+    got = {r.doc_id: r for r in secrets.scan(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {(got[i].n_live, got[i].n_copied, got[i].spans) for i in range(25)} == {(0, 1, "")}
+    assert all((got[i].n_live, got[i].n_copied) == (1, 0) and got[i].spans.startswith("format:") for i in got if i >= 100)
