@@ -4,15 +4,20 @@ Every candidate span gets the votes of four labelers: the strict pattern, a
 gazetteer of public prefixes and endings, cue words before it, and its shape.
 Expectation-maximisation over the counts of vote patterns estimates how
 reliable each labeler is, without labels. The posteriors train the final span
-classifier, a logistic regression over votes and kind. Spans of the contract's
-patterns are always kept; looser candidates only if the classifier says so.
+classifier, a logistic regression per kind over features of the span (length,
+digits, separators) and of its context (the characters around it, how near a cue
+word for or against stands) beside the votes. Spans of the contract's patterns
+are always kept; looser candidates only if the classifier says so.
 
-The corpus enters the estimate as counts of vote patterns, of which there is a
-fixed number, so any number of documents is summed by Spark.
+The corpus enters both as counts of patterns (kind, votes, features), each with
+few values, of which there is a fixed number, so any number of documents is
+summed by Spark.
 
 Defined results: a null or empty text has no span and the hash of an empty
-string; repeated rows each get a row; no candidates at all leave the base
-spans, which then are none.
+string; very long texts are searched whole; spans that start together are
+written by kind; repeated rows each get a row and count in the estimate; no
+candidates at all leave the base spans, which then are none; an empty table
+gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -47,8 +52,10 @@ CUES = {"email": re.compile(r"mail|contact|write|@", re.I), "ip": re.compile(r"\
 AGAINST = re.compile(r"version|isbn|order|invoice|serial|build|v\.?\s*$", re.I)
 BEFORE = 32            # characters before a span that may hold a cue
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("start", T.IntegerType()),
-                                 T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType()), T.StructField("votes", T.StringType())]))
-SPAN_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("votes", pa.string())]))
+                                 T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType()), T.StructField("votes", T.StringType()),
+                                 T.StructField("features", T.StringType())]))
+SPAN_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("votes", pa.string()),
+                                ("features", pa.string())]))
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -109,7 +116,8 @@ def spans_of(text: str) -> list[dict]:
         starts = np.array([a for a, _ in taken])
         far = np.maximum.accumulate(np.array([b for _, b in taken]))
         loose = [x for x in loose if not ((i := int(np.searchsorted(starts, x[2]))) and far[i - 1] > x[1])]
-    return [{"kind": k, "start": a, "end": b, "base": ok, "votes": votes(k, text[a:b], text[max(0, a - BEFORE):a], ok)}
+    return [{"kind": k, "start": a, "end": b, "base": ok, "votes": votes(k, text[a:b], text[max(0, a - BEFORE):a], ok),
+             "features": features(k, text[a:b], text[max(0, a - BEFORE):a], text[b:b + 1])}
             for k, a, b, ok in sorted(found + loose)]
 
 
@@ -133,6 +141,27 @@ def votes(kind: int, span: str, before: str, strict: bool) -> str:
     return ("+" if strict else "-") + gazetteer + cue + shape
 
 
+NEAR = 12              # characters to a near cue
+
+
+def _edge(c: str) -> str:
+    """Class of a character beside a span: none or blank, letter, digit, closing mark, other."""
+    return "s" if not c or c.isspace() else "l" if c.isalpha() else "d" if c.isdigit() else "p" if c in ",.;:!?)]}>\"'" else "o"
+
+
+def features(kind: int, span: str, before: str, after: str) -> str:
+    """One character a feature: length, share of digits, kinds of separators, the characters around, the nearest cue."""
+    digits = sum(c.isdigit() for c in span)
+    marks = len({c for c in span if not c.isalnum()})
+    cue, place = "0", -1
+    for sign, pattern in (("+", CUES[KINDS[kind]]), ("-", AGAINST)):
+        at = max((m.end() for m in pattern.finditer(before)), default=-1)
+        if at > place:
+            place, cue = at, ("n" if len(before) - at <= NEAR else "f") if sign == "+" else "a"
+    length = "0123"[min(3, len(span) // 8)]
+    return length + "0123"[min(3, 4 * digits // max(1, len(span)))] + "0123"[min(3, marks)] + _edge(before[-1:]) + _edge(after) + cue
+
+
 def spans_column() -> Column:
     @F.arrow_udf(SPAN)
     def spans(texts: pa.Array) -> pa.Array:
@@ -152,21 +181,28 @@ def reliabilities(patterns: list[tuple[int, str, int]], rounds: int = 50) -> dic
             prior = (n @ p + 1) / (n.sum() + 2)
             log_odds = np.full(len(x), np.log(prior / (1 - prior)))
             for j in range(x.shape[1]):
-                yes = np.bincount(x[:, j], weights=n * p, minlength=3) + np.array([0.5, 0.5, 1.0])
-                no = np.bincount(x[:, j], weights=n * (1 - p), minlength=3) + np.array([1.0, 0.5, 0.5])
-                log_odds += np.log(yes / yes.sum())[x[:, j]] - np.log(no / no.sum())[x[:, j]]
+                said = np.array([1.0, 0.0, 1.0])                       # no opinion is no evidence
+                yes = np.bincount(x[:, j], weights=n * p, minlength=3) * said + np.array([0.5, 0.0, 1.0])
+                no = np.bincount(x[:, j], weights=n * (1 - p), minlength=3) * said + np.array([1.0, 0.0, 0.5])
+                odds = np.log((yes / yes.sum())[[0, 2]]) - np.log((no / no.sum())[[0, 2]])
+                log_odds += np.array([odds[0], 0.0, odds[1]])[x[:, j]]
             p = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
         out |= {(kind, v): float(q) for (v, _), q in zip(rows, p)}
     return out
 
 
-def classifier(patterns: list[tuple[int, str, int]], soft: dict, rounds: int = 400) -> dict[tuple[int, str], float]:
-    """Logistic regression over kind and votes, trained on the posteriors; its probability for every pattern seen."""
+def span_classifier(patterns: list[tuple[int, str, str, int]], soft: dict, rounds: int = 400) -> dict[tuple[int, str, str], float]:
+    """Logistic regression over votes and, by kind, the features, trained on the posteriors; its probability for every pattern seen."""
     if not patterns:
         return {}
-    x = np.array([np.concatenate([np.eye(len(KINDS))[k], *[np.eye(3)["-0+".index(c)] for c in v]]) for k, v, _ in patterns])
-    n = np.sqrt(np.array([c for _, _, c in patterns], float))          # large patterns count more, without drowning the rest
-    y = np.array([soft[(k, v)] for k, v, _ in patterns])
+    names: dict[tuple, int] = {}
+    hot = [[names.setdefault(x, len(names)) for x in [("kind", k), *(("vote", j, c) for j, c in enumerate(v)), *((k, j, c) for j, c in enumerate(f))]]
+           for k, v, f, _ in patterns]
+    x = np.zeros((len(patterns), len(names)))
+    for i, at in enumerate(hot):
+        x[i, at] = 1
+    n = np.sqrt(np.array([c for *_, c in patterns], float))            # large patterns count more, without drowning the rest
+    y = np.array([soft[(k, v)] for k, v, *_ in patterns])
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -175,19 +211,31 @@ def classifier(patterns: list[tuple[int, str, int]], soft: dict, rounds: int = 4
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return {(k, v): float(q) for (k, v, _), q in zip(patterns, 1 / (1 + np.exp(-(x @ w))))}
+    return {(k, v, f): float(q) for (k, v, f, _), q in zip(patterns, 1 / (1 + np.exp(-(x @ w))))}
+
+
+def classifier(patterns: list[tuple[int, str, int]], soft: dict) -> dict[tuple[int, str], float]:
+    """The span classifier for spans of which only the votes are known."""
+    judged = span_classifier([(k, v, "", n) for k, v, n in patterns], soft)
+    return {(k, v): p for (k, v, _), p in judged.items()}
 
 
-def find(spark: SparkSession, docs: DataFrame, sure: float = 0.9) -> DataFrame:
+def find(spark: SparkSession, docs: DataFrame, sure: float = 0.75) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of ``docs``."""
     small_batches(spark)
     found = stored(spark, docs.select("doc_id", spans_column().alias("spans")), "pii-spans")
-    seen = found.select(F.inline("spans")).groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()   # at most 4 x 3^4 rows
-    patterns = sorted((r["kind"], r["votes"], r["n"]) for r in seen)
-    trusted = [f"{k}{v}" for (k, v), p in classifier(patterns, reliabilities(patterns)).items() if p >= sure]
+    # At most 4 kinds x 3^4 votes x the values of the features, whatever the number of documents; some hundreds in practice.
+    seen = found.select(F.inline("spans")).groupBy("kind", "votes", "features").agg(F.count("*").alias("n"), F.bool_or(~F.col("base")).alias("loose")).collect()
+    patterns = sorted((r["kind"], r["votes"], r["features"], r["n"]) for r in seen)
+    by_votes: dict[tuple, int] = {}
+    for k, v, _, n in patterns:
+        by_votes[(k, v)] = by_votes.get((k, v), 0) + n
+    loose = {(r["kind"], r["votes"], r["features"]) for r in seen if r["loose"]}
+    judged = span_classifier(patterns, reliabilities([(k, v, n) for (k, v), n in sorted(by_votes.items())]))
+    trusted = [f"{k}{v}{f}" for (k, v, f), p in judged.items() if p >= sure and (k, v, f) in loose]
     names = F.array(*[F.lit(k) for k in KINDS])
     written = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
     count = lambda i: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == i))).cast("long")
-    good = F.filter("spans", lambda s: s["base"] | F.concat(s["kind"].cast("string"), s["votes"]).isin(trusted))
+    good = F.filter("spans", lambda s: s["base"] | F.concat(s["kind"].cast("string"), s["votes"], s["features"]).isin(trusted))
     return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
                         F.sha2(written(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), written(good).alias("spans"))

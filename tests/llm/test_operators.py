@@ -432,3 +432,28 @@ def test_a_value_of_many_texts_of_one_owner_is_an_example(spark):
     got = {r.doc_id: r for r in secrets.scan(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert {(got[i].n_live, got[i].n_copied, got[i].spans) for i in range(25)} == {(0, 1, "")}
     assert all((got[i].n_live, got[i].n_copied) == (1, 0) and got[i].spans.startswith("format:") for i in got if i >= 100)
+
+
+def test_the_span_classifier_adds_true_loose_spans_and_refuses_false_ones(spark):
+    """Loose phone numbers and cards with an order number's digits, in a corpus of strict ones: cue words and what stands around decide."""
+    rng = random.Random(8)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = []
+    for i in range(400):
+        strict = f"Please call our phone +1 ({digits(3)}) {digits(3)}-{digits(4)} today, or mail a{i}@example.com."
+        rows.append((i, strict))
+    for i in range(150):
+        rows.append((1000 + i, f"Please call our phone ({digits(3)}) {digits(3)}-{digits(4)} today."))
+        rows.append((2000 + i, f"Your order serial build {digits(3)}.{digits(3)}.{digits(4)}x is late"))
+    got = {r.doc_id: r.spans for r in pii.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].count("phone:") == 1 and got[i].count("email:") == 1 for i in range(400))
+    assert {got[1000 + i] for i in range(150)} == {"phone:22:36"}
+    assert {got[2000 + i] for i in range(150)} == {""}
+
+
+def test_span_features():
+    assert pii.features(3, "(743) 555-3824", "call our phone ", " ") == "123ssn"
+    text = "call our phone (743) 555-3824, order 743.555.3824"
+    spans = pii.spans_of(text)
+    assert [(s["start"], s["features"]) for s in spans] == [(15, pii.features(3, "(743) 555-3824", text[:15], ",")), (37, pii.features(3, "743.555.3824", text[5:37], ""))]
+    assert spans[0]["features"][-1] == "n" and spans[1]["features"][-1] == "a" and spans[0]["features"] != spans[1]["features"]
