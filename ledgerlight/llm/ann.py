@@ -19,7 +19,9 @@ and a vector that a third of the rows share costs no more than another.
 Defined results: vectors that are null, empty, zero, of another length than
 most, or hold null or non-finite components take no part; a row repeated with
 the same id and vector counts once; a null id takes no part; with fewer
-candidates than k all are returned.
+candidates than k all are returned; ties go to the smaller id; an empty table
+gives an empty result; extra columns are not read. (Vectors hold no texts; long
+ones are read whole.)
 """
 
 from __future__ import annotations

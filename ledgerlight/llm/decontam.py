@@ -22,7 +22,9 @@ however large the benchmark is.
 
 Defined results: null or wordless documents and items match nothing; repeated
 items are reported under each item_id; repeated documents each get their rows;
-a null item_id is reported as null.
+a null item_id is reported as null. Very long texts and items are searched
+whole; of matches with equal distance the one that ends first is reported; empty
+tables give an empty result, or every document; extra columns are carried or not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ frequent word thus travels once per batch, never once per occurrence. N-grams
 are identified by 64-bit hashes.
 
 Defined results: a null text counts as empty (one end token); a null doc_id is
-a training row; with no training row every count is 0 and N = V = 0.
+a training row; with no training row every count is 0 and N = V = 0. Very long
+texts are scored whole; repeated rows each get a row and each count; a model has
+no ties to break; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ on the rounding with the smallest word error; a few swaps of a taken for an
 untaken document of that last cell then bring its words to their goal.
 
 Defined results: a null text has size 0; a null source is a source, sorted
-last; repeated rows are drawn separately; an empty table or one without words
+last; very long texts are counted whole; repeated rows are drawn separately, equal ones
+apart by number; extra columns are carried or not read; an empty table or one without words
 takes nothing. Draws depend on the rows and the seed alone, so reruns agree; only
 where an id (or null) repeats for over a quarter of a cell, on the order of rows too.
 """

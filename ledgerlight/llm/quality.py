@@ -9,6 +9,9 @@ isotonic fit over a fixed grid of score bins.
 Defined results: a null text counts as empty and is scored; labels that are
 null are no labels; several labels of one id are averaged; a null id never
 trains; without any label every score is 0.5. All labelled rows are used.
+Very long texts are read whole, by their statistics; repeated rows each get a
+row and train as often as they occur; equal statistics get equal scores; an
+empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations

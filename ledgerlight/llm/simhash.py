@@ -11,7 +11,9 @@ links (same components, at most one edge a member), not its pairs.
 Defined results: null or blank text has fingerprint 0 and is linked like any
 other; fewer words than a shingle make one shingle of all words; repeated rows
 each get a row; a null doc_id takes part but is never a component id unless
-all ids of the component are null.
+all ids of the component are null. Very long texts are hashed whole; a bit set
+in exactly half the hashes is 0; of rows that share the smallest id one stays;
+an empty table gives an empty result; extra columns are carried or not read.
 """
 
 from __future__ import annotations
