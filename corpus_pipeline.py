@@ -1,4 +1,9 @@
-"""Corpus pipeline: quality, near-duplicates, decontamination, secrets, mixing; in this order, each on what the one before kept."""
+"""Corpus pipeline: quality, near-duplicates, decontamination, secrets, mixing; in this order, each on what the one before kept.
+
+Defined results, of every stage: a null text is an empty one; very long texts are read whole; repeated rows are rows of
+their own, of which the second stage keeps one; a null doc_id is kept like any other; an empty table gives an empty
+result of the same columns; extra columns are carried along, whatever their names.  Each operator's module states the rest.
+"""
 
 from __future__ import annotations
 
