@@ -35,13 +35,17 @@ def made(spark, tmp_path_factory):
     """Tables with nulls, empty and long texts, repeated rows and extra columns."""
     rng, out = random.Random(5), str(tmp_path_factory.mktemp("made"))
     text = awkward_texts(rng)
-    docs = [(None if i == 7 else i // 2, t, rng.choice(["s1", "s2", "s3", "s4", None]), f"w{i}") for i, t in enumerate(text)]
-    spark.createDataFrame(docs, "doc_id long, text string, source string, words string").write.parquet(f"{out}/documents.parquet")
-    spark.createDataFrame([(i, u, "x") for i, u in enumerate(awkward_urls(rng))], "page_id long, url string, shape string").write.parquet(f"{out}/pages.parquet")
+    docs = [(None if i == 7 else i // 2, t, rng.choice(["s1", "s2", "s3", "s4", None]), f"w{i}",
+             rng.choice(["en", "en", "en", "de", "", None]), None if i % 9 == 0 else i) for i, t in enumerate(text)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, words string, lang string, n_chars long").write.parquet(f"{out}/documents.parquet")
+    html = [None, "", "\r\n\r\n" * 600, "é" * 500, "é" * 499, "a" * 1000, "b" * 70_000, "WARC/1.1\r\n"]
+    pages = [(None if i % 97 == 5 else i // 2 if i % 50 < 4 else i, u, "x", rng.choice(html) if i % 3 else f"page {i}") for i, u in enumerate(awkward_urls(rng))]
+    spark.createDataFrame(pages, "page_id long, url string, shape string, html string").write.parquet(f"{out}/pages.parquet")
     vec = lambda: [float(rng.randrange(-9, 10)) for _ in range(4)]
     vecs = [(i, vec()) for i in range(300)] + [(400 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(60)]
     vecs += [(500, None), (520, []), (540, [0.0] * 4), (560, [1.0, None, 2.0, 3.0]), (580, [float("nan")] * 4), (600, [float("inf")] * 4), (620, [1.0]), (None, vec()), vecs[20]]
-    spark.createDataFrame([(*v, 1) for v in vecs], "vec_id long, embedding array<float>, ids int").write.parquet(f"{out}/embeddings.parquet")
+    vecs += [(700, [0.5, 0.5, 0.5, 0.5]), vecs[50], vecs[50], (2100, []), (2101, []), (2150, [70000.0, 0.0, 0.0, 0.0]), (1, [])]
+    spark.createDataFrame([(*v, 1, None if i % 23 == 7 else rng.randrange(3)) for i, v in enumerate(vecs)], "vec_id long, embedding array<float>, ids int, label int").write.parquet(f"{out}/embeddings.parquet")
     return out
 
 
