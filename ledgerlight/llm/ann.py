@@ -204,14 +204,16 @@ def nearest(spark: SparkSession, vectors: DataFrame, every: int = 20, k: int = 2
                                 "floor": np.array([low[o[1]] for o in out], float), "least": np.array([least[o[1]] for o in out], np.int32),
                                 "vec": pd.Series([own[o[1]] for o in out], dtype=object)})
 
-    asks = stored(spark, questions.select("cid", "vec").distinct().mapInPandas(probe, "list int, qid long, floor double, least int, vec array<double>"), "ann-asks")
+    # Queries are few bytes and much walking: an explicit number of tasks, which small shuffles are not merged below.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    asks = stored(spark, questions.select("cid", "vec").distinct().repartition(tasks, "cid").mapInPandas(probe, "list int, qid long, floor double, least int, vec array<double>"), "ann-asks")
     parts = {r["list"]: -(-r["n"] // ASKS) for r in asks.groupBy("list").agg(F.count("*").alias("n")).collect()}              # one row a list
     of_list = lambda n: F.get(F.array(*[F.lit(n.get(c, 1)) for c in range(len(lists.centroids))]), F.col("list"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), of_list(n).cast("int") - 1))
+    each = lambda n: F.explode(F.sequence(F.lit(0), of_list(n).cast("int") - 1))
     share = lambda key, n: F.pmod(F.xxhash64(key), of_list(n)).cast("int")
     # a task holds one block of a list and one part of its queries, however long the list and however many ask
-    cut = posted.select("*", share("cid", blocks).alias("block"), every(parts).alias("part"))
-    probes = asks.select("*", share("qid", parts).alias("part"), every(blocks).alias("block"))
+    cut = posted.select("*", share("cid", blocks).alias("block"), each(parts).alias("part"))
+    probes = asks.select("*", share("qid", parts).alias("part"), each(blocks).alias("block"))
 
     def scan(members: pd.DataFrame, askers: pd.DataFrame) -> pd.DataFrame:
         members = members.sort_values("cid")
