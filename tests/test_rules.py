@@ -204,3 +204,40 @@ def test_class_functions_by_name(spark):
 
 def _values(cond):
     return list(cond.values) + [v for p in cond.parts for v in _values(p)]
+
+
+def test_every_channel_arm_by_a_literal_row(spark):
+    """Rows written out by hand for each arm and each of its alternatives, with what an earlier arm takes away."""
+    rows = [
+        ("alp_x", "google / cpc", "", "GOOGLE_LP"), ("alp_branding_gdn", "google / cpc", "", "GOOGLE_GDN"),
+        ("alp_display-gallery", "google / cpc", "", "GOOGLE_ADS_GALLERY"), ("alp_display", "google / cpc", "smart-ads", "SMARTADS_GOOGLE"),
+        ("alp_smart-ads", "google-adwords / display", "", "SMARTADS_GOOGLE"), ("alp_x", "google-ads-smart-ads / display", "smart-ads", "SMARTADS_GOOGLE"),
+        ("alp_x", "google-ads-gdn / display", "gdn", "GOOGLE_GDN"), ("alp_gdn", "google-gdn / display", "", "GOOGLE_GDN"),
+        ("alp_x", "google-gdn / display", "", "OUTROS"), ("alp_discovery-ads_display", "google / cpc", "", "GOOGLE_DISCOVERY_ADS"),
+        ("alp_x", "google-ads-discovery-ads / display", "discovery-ads", "GOOGLE_DISCOVERY_ADS"), ("alp_x", "criteo / display", "", "CRITEO"),
+        ("alp_x", "facebook / social", "", "FACEBOOK"), ("alp_x", "kayak / display", "cpa", "KAYAK_META_SEARCH"),
+        ("alp_x", "kayak / comparador", "metasearch", "KAYAK_META_SEARCH"), ("alp_x", "kayak / comparador", "banner", "KAYAK_DISPLAY"),
+        ("alp_x", "oath / display", "", "OATH_BRIGTHROLL"), ("alp_x", "oath-brightroll / programatico", "", "OATH_BRIGTHROLL"),
+        ("alp_x", "oath-gemini / native", "", "VERIZON_GEMINI"), ("alp_x", "verizon-gemini / native", "", "VERIZON_GEMINI"),
+        ("alp_x", "verizon-dsp / programatico", "", "VERIZON_DSP"), ("alp_x", "verizon / display", "", "VERIZON_DSP"), ("alp_x", "verizon-dsp / display", "", "VERIZON_DSP"),
+        ("alp_x", "skyscanner / comparador", "core", "SKYSCANNER_META_SEARCH"), ("alp_x", "skyscanner / comparador", "x", "SKYSCANNER_DISPLAY"),
+        ("alp_x", "skyscanner / display", "x", "SKYSCANNER_DISPLAY"), ("alp_x", "skyscanner / display", "metasearch", "OUTROS"),
+        ("alp_x", "taboola / native", "", "TABOOLA"), ("alp_x", "taboola / display", "", "TABOOLA"),
+        ("alp_x", "viajala / comparador", "x", "VIAJALA_DISPLAY"), ("alp_x", "viajala / comparador", "core", "VIAJALA_META_SEARCH"), ("alp_x", "viajala / core", "core", "VIAJALA_META_SEARCH"),
+        ("alp_x", "voopter / comparador", "meta", "VOOPTER_META_SEARCH"), ("alp_x", "voopter / core", "cpa", "VOOPTER_META_SEARCH"), ("alp_x", "voopter / core", "x", "OUTROS"),
+        ("alp_x", "voopter / comparador", "x", "VOOPTER_DISPLAY"), ("alp_x", "voopter / publi-editorial", "x", "VOOPTER_DISPLAY"), ("alp_x", "voopter / display", "x", "VOOPTER_DISPLAY"),
+        ("alp_x", "uol / display", "", "UOL"), ("alp_x", "abril / display", "", "ABRIL"), ("alp_x", "webedia / display", "", "WEBEDIA"), ("alp_x", "terra / display", "", "TERRA"),
+        ("alp_x", "rtbhouse / display", "", "RTBHOUSE"), ("alp_x", "rtbhouse / programatico", "", "RTBHOUSE"), ("alp_x", "seedtag / display", "", "SEEDTAG"),
+        ("alp_x", "outbrain / native", "", "OUTBRAIN"), ("alp_x", "outbrain / social", "", "OUTBRAIN"), ("alp_x", "xtmedia / display", "", "XTMEDIA"), ("alp_x", "xtmedia / video", "", "XTMEDIA"),
+        ("alp_x", "google / programatico", "", "GOOGLE_DV360"), ("alp_x", "google-dv360 / programatico", "", "GOOGLE_DV360"),
+        ("alp_x", "google-dv360 / native", "", "GOOGLE_DV360"), ("alp_x", "google-dv360 / display", "", "GOOGLE_DV360"),
+        ("alp_x", "google-ads-gsp / display", "gsp", "GOOGLE_GSP"), ("alp_gsp_display", "google / cpc", "", "GOOGLE_GSP"),
+        ("alp_x", "outlook / display", "", "OUTLOOK_VERIZON"), ("alp_x", "oath-outlook / programatico", "", "VERIZON_GEMINI"),
+        ("alp_x", "lancenet / display", "", "LANCENET"), ("alp_x", "folha / display", "", "FOLHA"),
+        ("alp_x", "spotify / audio", "", "SPOTIFY"), ("alp_x", "spotify / programatico", "", "SPOTIFY"), ("alp_x", "spotify / display", "", "SPOTIFY"),
+        ("alp_x", "google-dv360 / video", "", "YOUTUBE_DV360"), ("alp_x", "google-dv360-youtube / programatico", "", "YOUTUBE_DV360"),
+        ("alp_x", "jovem-nerd / content", "", "JOVEM_NERD"), ("alp_x", "brazil-journal / display", "", "BRAZIL_JOURNAL"), ("alp_x", "kiaora-digital / display", "", "KIAORA"),
+    ]
+    got = one(spark, rows, "c string, m string, t string, want string", R.channel_class("c", "m", "t"))
+    assert [(r, g) for r, g in zip(rows, got) if g != r[3]] == []
+    assert {r[3] for r in rows} | {"GOOGLE_LP_BRANDING", "BING_LP", "TURSIMO_CITY_META_SEARCH"} == {label for label, _ in R.CHANNEL_RULES} | {"OUTROS"}
