@@ -96,9 +96,13 @@ def run_job(spark: SparkSession, feed: str, paths: str | Sequence[str], table_di
     mark = mark_of(spark, table_dir, job.source) if since else None
     landed = job.read(spark, paths, only=F.col(since[0]) >= F.trunc(mark, "month") if since else None)
     new = landed.rows.filter(F.col(f"`{since[1]}`").cast("date") >= mark) if since else landed.rows
-    rows, named = job.load(new)
-    landed.refused.write.mode("overwrite").json(f"{refused_dir}/lines")
-    if named is not None:
-        named.write.mode("overwrite").option("ignoreNullFields", False).json(f"{refused_dir}/names")
-    return feeds.run_load(spark, rows, table_dir, job.source, job.disciplines, run_ts=run_ts, unit=unit,
-                          initiatives=initiatives if job.initiatives else None)
+    new = new.persist()                     # parsed once for span, write and names; lost blocks are parsed again
+    try:
+        rows, named = job.load(new)
+        landed.refused.write.mode("overwrite").json(f"{refused_dir}/lines")
+        if named is not None:
+            named.write.mode("overwrite").option("ignoreNullFields", False).json(f"{refused_dir}/names")
+        return feeds.run_load(spark, rows, table_dir, job.source, job.disciplines, run_ts=run_ts, unit=unit,
+                              initiatives=initiatives if job.initiatives else None)
+    finally:
+        new.unpersist()
