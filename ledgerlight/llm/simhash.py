@@ -8,6 +8,12 @@ before a link is made. Copies share one fingerprint and are linked once per
 fingerprint, never pair by pair; a bucket returns a spanning forest of its
 links (same components, at most one edge a member), not its pairs.
 
+A bucket of very many distinct fingerprints is dealt over many tasks: the bits
+outside its blocks are cut into ``max_bits + 1`` pieces, one of which a close
+pair shares, and the fingerprints meet again by piece. A sample of the
+fingerprints tells which buckets are that large; it decides where the work
+runs, never which links are found.
+
 Defined results: null or blank text has fingerprint 0 and is linked like any
 other; fewer words than a shingle make one shingle of all words; repeated rows
 each get a row; a null doc_id takes part but is never a component id unless
@@ -32,6 +38,8 @@ from .common import LOWER_BYTES, small_batches, stored, text_of
 from .graph import components
 
 CHUNK = 1 << 16
+HOT = 1 << 17       # distinct fingerprints of a bucket from which on it is dealt over more tasks
+SHARE = 64          # one in so many fingerprints is looked at to find such buckets
 
 
 def fingerprint(text: str, k: int = 3) -> int:
@@ -65,6 +73,12 @@ def _masks(blocks: int, same: int) -> list[int]:
     return [int(np.array([sum(c)], np.uint64).view(np.int64)[0]) for c in combinations(block, same)]
 
 
+def _pieces(mask: int, n: int) -> list[int]:
+    """The bits outside ``mask`` cut into n masks (as signed longs)."""
+    rest = np.array([b for b in range(64) if not mask >> b & 1])
+    return [int(np.array([sum(1 << int(b) for b in part)], np.uint64).view(np.int64)[0]) for part in np.array_split(rest, n)]
+
+
 def _forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Breadth-first search over the links among fps: at most len(fps) - 1 edges, same components."""
     out, left = [], fps
@@ -139,11 +153,25 @@ def _bucket_links(max_bits: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int = 3, blocks: int = 6) -> DataFrame:
+def hot_buckets(keyed: DataFrame, hot: int = HOT, share: int = SHARE) -> DataFrame:
+    """(c, key) of the buckets of (c, key, fp) rows with about ``hot`` fingerprints or more, by one fingerprint in ``share``."""
+    some = keyed.filter(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0)
+    return some.groupBy("c", "key").agg(F.count("*").alias("n")).filter(F.col("n") * share >= hot).select("c", "key")
+
+
+def links(fps: DataFrame, max_bits: int = 3, blocks: int = 6, hot: int = HOT, share: int = SHARE) -> DataFrame:
     """(a, b) links between the distinct fingerprints of ``fps`` (one long column fp); connects what the distance connects."""
-    keyed = fps.select(F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks(blocks, blocks - max_bits)]))
-                       .alias("c", "key"), "fp")
-    return (keyed.select("c", "key", "fp").repartition("c", "key").sortWithinPartitions("c", "key")
+    masks = _masks(blocks, blocks - max_bits)
+    keyed = fps.select(F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("c", "key"), "fp")
+    large = stored(fps.sparkSession, hot_buckets(keyed, hot, share), "hot-buckets")      # a stored table has a size, by which Spark picks the join
+    pieces = F.array(*[F.array(*map(F.lit, _pieces(m, max_bits + 1))) for m in masks])
+    by_piece = F.transform(F.get(pieces, F.col("c")), lambda m, i: F.struct(i.alias("piece"), F.col("fp").bitwiseAND(m).alias("sub")))
+    whole = F.array(F.struct(F.lit(-1).alias("piece"), F.lit(0).cast("long").alias("sub")))
+    dealt = (keyed.join(large.withColumn("large", F.lit(True)), ["c", "key"], "left")
+             .select("c", "key", "fp", F.explode(F.when(F.col("large"), by_piece).otherwise(whole)).alias("p")))
+    # the sub-bucket is one more part of the key: a hash of all four keeps the rows narrow, as a clash only makes a bucket larger
+    bucket = F.when(F.col("p.piece") < 0, F.col("key")).otherwise(F.xxhash64("key", "p.piece", "p.sub"))
+    return (dealt.select("c", bucket.alias("key"), "fp").repartition("c", "key").sortWithinPartitions("c", "key")
             .mapInArrow(_bucket_links(max_bits), "a long, b long"))
 
 
