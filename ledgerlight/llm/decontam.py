@@ -4,9 +4,11 @@ Texts are words `[0-9A-Za-z and all non-ASCII]+`, A-Z lower-cased. The CGK
 random walk copies a word sequence symbol by symbol and steps on or stays by a
 random bit of the symbol, so two sequences at small edit distance become
 sequences at small Hamming distance. Locality-sensitive hashing samples
-positions of the walk, repeatedly. A found pair is verified exactly: the edit
-distance, in words, between the whole item and the best matching piece of the
-document must be at most ``1 - similarity`` of the item's words.
+positions of the walk, repeatedly. An item gets as many walks as it takes to
+find ``recall`` of simulated copies of its length that hold all the edits the
+similarity allows. A found pair is verified exactly: the edit distance, in
+words, between the whole item and the best matching piece of the document must
+be at most ``1 - similarity`` of the item's words.
 
 Windows hold w = L - s + 1 words (L a power of two) and start every s = L / 4
 words of a document; on the item's side a window starts at every word. Whatever
@@ -18,7 +20,8 @@ only has more windows that may find it, and its recall does not fall.
 
 The benchmark is the query set. It is scanned in blocks of bounded size, each
 block against all documents, so the signature table in a task stays bounded
-however large the benchmark is.
+however large the benchmark is. A block's tables are shared by all its items of
+one window shape, so a document's windows are embedded once a block.
 
 Defined results: null or wordless documents and items match nothing; repeated
 items are reported under each item_id; repeated documents each get their rows;
@@ -29,6 +32,8 @@ tables give an empty result, or every document; extra columns are carried or not
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +42,13 @@ from pyspark.sql import types as T
 
 from .common import small_batches, text_of, utf8_buffer
 
-WALKS = 3          # independent CGK walks
-SAMPLES = 7        # position samples of each walk
+SAMPLES = 4        # position samples of each walk
 BITS = 4           # positions in a sample
-BLOCK_WORDS = 40_000
+RECALL = 0.995     # share of the simulated copies that the walks have to find
+MOST_WALKS = 12    # CGK walks an item may get at most
+TRIALS = 500       # simulated copies of a length, 1024 at most
+EASY = 64          # items of more words are found more often than those of so many
+BLOCK_WORDS = 200_000
 LONGEST = 16       # words that the windows of the longest items are made for
 CHUNK = 1 << 15    # windows embedded at a time
 SEED = 11
@@ -90,19 +98,19 @@ def window_shape(words: int) -> tuple[int, int]:
     return size - step + 1, step
 
 
-def _signatures(h: np.ndarray, start: np.ndarray, w: int) -> np.ndarray:
+def _signatures(h: np.ndarray, start: np.ndarray, w: int, walks: range) -> np.ndarray:
     """Signatures (repetition x window): CGK walks of 2w steps over each window, sampled at BITS places each."""
-    rng = np.random.default_rng((SEED, w))
     steps = 2 * w
-    out = np.zeros((WALKS * SAMPLES, len(start)), np.uint64)
+    out = np.zeros((len(walks) * SAMPLES, len(start)), np.uint64)
     h = np.append(h, np.uint32(0))
-    for walk in range(WALKS):
+    for place, walk in enumerate(walks):
+        rng = np.random.default_rng((SEED, w, walk))
         factor = rng.integers(0, 1 << 31, steps, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         places: dict[int, list] = {}
         for s in range(SAMPLES):
             for part in np.array_split(np.arange(steps), min(BITS, steps)):
                 j = int(rng.choice(part))
-                places.setdefault(j, []).append((walk * SAMPLES + s, rng.integers(1, 1 << 63, dtype=np.uint64) * np.uint64(2) + np.uint64(1)))
+                places.setdefault(j, []).append((place * SAMPLES + s, rng.integers(1, 1 << 63, dtype=np.uint64) * np.uint64(2) + np.uint64(1)))
         last = max(places)
         for lo in range(0, len(start), CHUNK):
             at = start[lo:lo + CHUNK].copy()
@@ -117,15 +125,57 @@ def _signatures(h: np.ndarray, start: np.ndarray, w: int) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
+def _edited(x: np.ndarray, edits: int, mixed: bool, rng: np.random.Generator) -> np.ndarray:
+    """A copy with so many edits: substitutions at different places or, mixed, also words dropped and put in."""
+    if not mixed:
+        y = x.copy()
+        y[rng.choice(len(x), edits, replace=False)] = rng.integers(1, 1 << 32, edits, dtype=np.uint32)
+        return y
+    y, new = x.tolist(), rng.integers(1, 1 << 32, edits).tolist()
+    for word, kind in zip(new, rng.integers(0, 3, edits)):
+        k = int(rng.integers(0, len(y)))
+        y[k:k + 1] = ([], [word], [y[k], word])[kind]
+    return np.array(y, np.uint32)
+
+
+@lru_cache(maxsize=None)
+def walks_for(words: int, similarity: float, recall: float) -> int:
+    """Walks that find the share ``recall`` of simulated copies of an item that many words long, with all allowed edits."""
+    words = min(words, EASY)
+    w, step = window_shape(words)
+    edits = int((1 - similarity) * words + 1e-9)
+    rng = np.random.default_rng((SEED, words))
+    parts, item_start, doc_start, item_of, doc_of, at = [], [], [], [], [], 0
+    for n in range(TRIALS):
+        x = rng.integers(1, 1 << 32, words, dtype=np.uint32)
+        y = np.concatenate([rng.integers(1, 1 << 32, n % step + 1, dtype=np.uint32), _edited(x, edits, n % 2 == 1, rng),
+                            rng.integers(1, 1 << 32, w, dtype=np.uint32)])
+        a, b = at + np.arange(words - w + 1), at + words + np.arange(0, len(y) - w + 1, step)
+        for column, v in ((parts, x), (parts, y), (item_start, a), (doc_start, b), (item_of, np.full(len(a), n)), (doc_of, np.full(len(b), n))):
+            column.append(v)
+        at += words + len(y)
+    h, start = np.concatenate(parts), np.concatenate([*item_start, *doc_start])
+    item_of, doc_of = np.concatenate(item_of).astype(np.uint64), np.concatenate(doc_of).astype(np.uint64)
+    found = np.zeros(TRIALS, bool)
+    for walk in range(MOST_WALKS):
+        for row in _signatures(h, start, w, range(walk, walk + 1)):
+            # the trial's number in the low bits: windows meet within their trial only
+            mine, theirs = (part & ~np.uint64(1023) | of for part, of in ((row[:len(item_of)], item_of), (row[len(item_of):], doc_of)))
+            found[doc_of[np.isin(theirs, mine)].astype(np.int64)] = True
+        if found.mean() >= recall:
+            return walk + 1
+    return MOST_WALKS
+
+
 def _grain(words: int) -> int:
     """Places of an item that many words long are told apart to so many words; a repetitive item has few places a signature."""
     return max(1, words // 16)
 
 
 class Index:
-    """Signatures of one block of items."""
+    """Signatures of one block of items: per window shape a table a repetition, with the items that take part in it."""
 
-    def __init__(self, items: list[tuple], similarity: float):
+    def __init__(self, items: list[tuple], similarity: float, recall: float = RECALL):
         h, cut = word_hashes(pa.array([t or "" for _, t in items], pa.string()))
         self.ids = [i for i, _ in items]
         self.words = [h[a:b] for a, b in zip(cut, cut[1:])]
@@ -138,17 +188,19 @@ class Index:
                 shapes.setdefault(window_shape(len(x)), []).append(n)
         for (w, step), members in shapes.items():
             start = np.concatenate([cut[n] + np.arange(len(self.words[n]) - w + 1) for n in members])
-            item = np.concatenate([np.full(len(self.words[n]) - w + 1, n) for n in members])
+            item = np.concatenate([np.full(len(self.words[n]) - w + 1, n, np.int32) for n in members])
             grain = np.array([_grain(len(x)) for x in self.words])[item]
-            offset = (start - cut[item]) // grain * grain
-            sig, tables = _signatures(h, start, w), []
-            for row in sig:
-                order = np.lexsort((offset, item, row))
+            offset = ((start - cut[item]) // grain * grain).astype(np.int32)
+            need = np.array([walks_for(len(x), similarity, recall) if len(x) else 0 for x in self.words])[item]
+            sig, tables = _signatures(h, start, w, range(need.max())), []
+            for r, row in enumerate(sig):
+                order = np.flatnonzero(need > r // SAMPLES)
+                order = order[np.lexsort((offset[order], item[order], row[order]))]
                 same = (np.diff(row[order]) == 0) & (np.diff(item[order]) == 0) & (np.diff(offset[order]) == 0)
                 order = order[np.append(True, ~same)]
-                seen = np.zeros(1 << 20, bool)
-                seen[(row & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-                tables.append((row[order], item[order], offset[order], seen))
+                seen = np.zeros(1 << max(16, len(order).bit_length() + 4), bool)
+                seen[(row[order] & np.uint64(len(seen) - 1)).astype(np.int64)] = True
+                tables.append((row[order], item[order], offset[order], np.packbits(seen, bitorder="little")))
             self.by_window[(w, step)] = tables
 
     def candidates(self, h: np.ndarray, cut: np.ndarray) -> set[tuple[int, int, int]]:
@@ -163,8 +215,9 @@ class Index:
             start = cut[doc] + step * (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n))
             for lo in range(0, len(doc), CHUNK):
                 part = start[lo:lo + CHUNK]
-                for sig, (keys, item, offset, seen) in zip(_signatures(h, part, w), tables):
-                    maybe = np.flatnonzero(seen[(sig & np.uint64((1 << 20) - 1)).astype(np.int64)])
+                for sig, (keys, item, offset, seen) in zip(_signatures(h, part, w, range(len(tables) // SAMPLES)), tables):
+                    low = (sig & np.uint64(8 * len(seen) - 1)).astype(np.int64)
+                    maybe = np.flatnonzero(seen[low >> 3] >> (low & 7).astype(np.uint8) & 1)
                     if not len(maybe):
                         continue
                     a, b = np.searchsorted(keys, sig[maybe], "left"), np.searchsorted(keys, sig[maybe], "right")
@@ -233,22 +286,22 @@ def hits_column(index: Index) -> Column:
     return hits(text_of())
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
     """(doc_id, item_id, item_words, distance, start_word, n_words): every document and item that match, at the best place."""
     small_batches(spark)
     out = None
     for block in item_blocks(benchmark):
-        part = (docs.select("doc_id", hits_column(Index(block, similarity)).alias("hits"))
+        part = (docs.select("doc_id", hits_column(Index(block, similarity, recall)).alias("hits"))
                 .select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
+def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = RECALL) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; all columns stay as they are."""
     small_batches(spark)
     for block in item_blocks(benchmark):
         cols = [F.col(f"`{c}`") for c in docs.columns]
-        docs = (docs.select(F.struct(*cols).alias("d"), hits_column(Index(block, similarity)).alias("hits"))
+        docs = (docs.select(F.struct(*cols).alias("d"), hits_column(Index(block, similarity, recall)).alias("hits"))
                 .filter(F.size("hits") == 0).select("d.*"))
     return docs
