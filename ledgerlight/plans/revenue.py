@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from decimal import Decimal
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -252,7 +252,8 @@ def national_average(combined: DataFrame, report_stores, week_lo, week_hi) -> Da
     return g.select("GroupName", "GameName", F.when(named, F.col("avg")).alias("CY_National_Average_Collection"))
 
 
-def location_equipment(combined: DataFrame, report_stores, b: dict) -> DataFrame:
+def location_equipment(combined: DataFrame, report_stores, b: dict, stage_games: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """R9.  ``stage_games`` stores the figures per game, which three parts of the report read; without it each computes them again."""
     y, ere, psat = b["cy_yesterday"], b["cy_ereyesterday"], b["cy_prior_saturday"]
     wk, mon, yr, py = b["cy_start_of_week"], b["cy_start_of_month"], b["cy_start_of_year"], b["py_day_of_week"]
     d = F.col("Business_Date")
@@ -291,6 +292,7 @@ def location_equipment(combined: DataFrame, report_stores, b: dict) -> DataFrame
         s(is_sat & non_fnb).alias("t_sat"),
         s(in_wk & non_fnb).alias("t_wk"),
     )
+    games = stage_games(games) if stage_games else games
     # Correlated equality never matches a null group or game name.
     named = F.col("GroupName").isNotNull() & F.col("GameName").isNotNull()
     wk = F.col("CY_Weekly_Collection")

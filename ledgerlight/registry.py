@@ -162,11 +162,15 @@ def q_national_average(spark, sf_dir):
     return rv.national_average(_combined(spark, b), _report_stores(spark), b["cy_start_of_week"], b["cy_yesterday"])
 
 
+def _keep_games(spark):
+    return lambda games: _sinks.stage(spark, games, scratch_path(spark, "equipment-games"))
+
+
 @query("location_equipment")
 def q_location_equipment(spark, sf_dir):
     fx.register(spark, sf_dir)
     b = _bounds(spark)
-    return rv.location_equipment(_combined(spark, b), _report_stores(spark), b)
+    return rv.location_equipment(_combined(spark, b), _report_stores(spark), b, _keep_games(spark))
 
 
 @query("staged_equipment")
@@ -176,7 +180,7 @@ def q_staged_equipment(spark, sf_dir):
     b = _bounds(spark)
     staged = _sinks.stage(spark, _combined(spark, b), scratch_path(spark, "combined-activity"))
     games = staged.groupBy("Store_ID").agg(F.count_distinct("GameName").alias("games"))
-    return rv.location_equipment(staged, _report_stores(spark), b).join(games, "Store_ID")
+    return rv.location_equipment(staged, _report_stores(spark), b, _keep_games(spark)).join(games, "Store_ID")
 
 
 # ---------------------------------------------------------------- dates
