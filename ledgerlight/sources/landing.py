@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_ROWS = 1000  # rows per report document (the API pages its responses)
-PART_ROWS = 20_000  # rows per CSV extract
-SHEET_ROWS = 50_000  # rows per exported sheet
+PART_ROWS = 200_000  # rows per CSV extract
+SHEET_ROWS = 200_000  # rows per exported sheet
+PACKED = "gzip"   # of extracts, sheets and reports: their files are bounded, so that none has to split
 
 
 def _page_key(df: DataFrame) -> DataFrame:
@@ -27,19 +28,20 @@ def _page_key(df: DataFrame) -> DataFrame:
 
 def write_analytics_reports(df: DataFrame, path: str, dimensions: Sequence[str], metrics: Sequence[str],
                             prefix: str = "ga:") -> str:
-    """Nested report documents, one JSON line per page of at most PAGE_ROWS rows."""
+    """Nested report documents, one JSON line per page of at most PAGE_ROWS rows.
+
+    Rows are grouped into pages as their JSON text, a fraction of the nested row."""
     rows = _page_key(df).select(
         "__page",
-        F.struct(F.array(*[F.col(d).cast("string") for d in dimensions]).alias("dimensions"),
-                 F.array(F.struct(F.array(*[F.col(m).cast("string") for m in metrics]).alias("values")))
-                 .alias("metrics")).alias("row"))
+        F.to_json(F.struct(F.array(*[F.col(d).cast("string") for d in dimensions]).alias("dimensions"),
+                           F.array(F.struct(F.array(*[F.col(m).cast("string") for m in metrics]).alias("values")))
+                           .alias("metrics"))).alias("row"))
     header = F.struct(F.array(*[F.lit(prefix + d) for d in dimensions]).alias("dimensions"),
                       F.struct(F.array(*[F.struct(F.lit(prefix + m).alias("name")) for m in metrics])
                                .alias("metricHeaderEntries")).alias("metricHeader"))
-    docs = (rows.groupBy("__page").agg(F.collect_list("row").alias("rows"))
-            .select(F.array(F.struct(header.alias("columnHeader"),
-                                     F.struct(F.col("rows").alias("rows")).alias("data"))).alias("reports")))
-    docs.write.mode("overwrite").json(path)
+    docs = rows.groupBy("__page").agg(F.collect_list("row").alias("rows")).select(F.concat(
+        F.lit('{"reports":[{"columnHeader":'), F.to_json(header), F.lit(',"data":{"rows":['), F.array_join("rows", ","), F.lit("]}}]}")).alias("value"))
+    docs.write.mode("overwrite").option("maxRecordsPerFile", PART_ROWS // PAGE_ROWS).option("compression", PACKED).text(path)
     return path
 
 
@@ -49,7 +51,7 @@ def write_csv_parts(df: DataFrame, path: str, sep: str = ",", by: str | None = N
     ``by``: a column whose values are folders of the landing instead."""
     writer = df.write if by is None else df.repartition(by).write.partitionBy(by)
     writer.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"') \
-        .option("maxRecordsPerFile", PART_ROWS).csv(path)
+        .option("maxRecordsPerFile", PART_ROWS).option("compression", PACKED).csv(path)
     return path
 
 
@@ -61,16 +63,16 @@ def write_sheets(df: DataFrame, path: str, header: Sequence[str], head_junk: int
     is a value ``sheet`` of the partition column below ``path``.
     """
     lines = df.select(F.to_csv(F.struct(*[F.col(c) for c in df.columns]), {"escape": '"'}).alias("value"))
-    sheets = F.greatest(F.lit(1), F.ceil(lines.agg(F.count("*").alias("n")).scalar() / rows))
+    sheets = F.greatest(F.lit(1), F.ceil(df.agg(F.count("*").alias("n")).scalar() / rows))
     lines = lines.withColumn("sheet", F.pmod(F.xxhash64("value"), sheets).cast("int"))
     frame = [(0, i, v) for i, v in enumerate([",".join(header)] + [f"Report line {i + 1}" for i in range(head_junk)])]
     frame += [(2, i, v) for i, v in enumerate(["Total", "Generated by export", "Confidential"][:footer])]
     around = df.sparkSession.createDataFrame(frame, "part int, pos int, value string")
-    every = lines.select("sheet").distinct().crossJoin(around)       # a fixed dozen of lines per sheet
+    every = around.withColumn("sheet", F.explode(F.sequence(F.lit(0), (sheets - 1).cast("int"))))       # a fixed dozen of lines per sheet
     out = lines.select("sheet", F.lit(1).alias("part"), F.lit(0).alias("pos"), "value").unionByName(
         every.select("sheet", "part", "pos", "value"))
     (out.repartition("sheet").sortWithinPartitions("sheet", "part", "pos").select("sheet", "value")
-     .write.mode("overwrite").partitionBy("sheet").text(path))
+     .write.mode("overwrite").partitionBy("sheet").option("compression", PACKED).text(path))
     return path
 
 
@@ -83,7 +85,7 @@ def write_lines(df: DataFrame, path: str, line) -> str:
 def write_records(df: DataFrame, path: str) -> str:
     """JSON records; null fields are omitted, so keys are optional per record."""
     df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) \
-        .write.mode("overwrite").option("ignoreNullFields", True).json(path)
+        .write.mode("overwrite").option("ignoreNullFields", True).option("maxRecordsPerFile", PART_ROWS).option("compression", PACKED).json(path)
     return path
 
 
