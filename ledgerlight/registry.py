@@ -376,9 +376,13 @@ SPLIT_BATCH_FROM = _dt.date(1999, 1, 1)      # the reloaded batch starts here (o
 UPDATE_SLICE = (_dt.date(1998, 1, 1), _dt.date(1998, 12, 31))
 
 
-def _target_and_batch(spark):
-    sa = _feeds.apply_class_functions(_feeds.search_ads_rows(_search_ads_report(spark)), vehicle=True)
-    rt = _feeds.retargeting_load(_retargeting_report(spark))
+def _target_and_batch(spark, clustered=False):
+    """``clustered``: for loads by month, with the rows of a month together."""
+    def report(df, day):
+        return _slices.clustered_by_period(df, day, _slices.MONTH) if clustered else df
+
+    sa = _feeds.apply_class_functions(_feeds.search_ads_rows(report(_search_ads_report(spark), "Day")), vehicle=True)
+    rt = _feeds.retargeting_load(report(_retargeting_report(spark), "Date"))
     target = sa.filter(F.col("DAT_REFERENCIA") < F.lit(SPLIT_TARGET_BEFORE)).unionByName(rt)
     batch = sa.filter(F.col("DAT_REFERENCIA") >= F.lit(SPLIT_BATCH_FROM))
     return target, batch
@@ -424,10 +428,10 @@ RUN_STAMP = _dt.datetime(2024, 1, 31, 6, 0, 0)
 def q_append_load(spark, sf_dir):
     """A first load, then a plain append of an overlapping batch; nothing is deleted."""
     fx.register(spark, sf_dir)
-    target, batch = _target_and_batch(spark)
+    target, batch = _target_and_batch(spark, clustered=True)
     table = scratch_path(spark, "append-load")
-    _feeds.run_load(spark, target, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
-    _feeds.run_load(spark, batch, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    for rows in (target, batch):
+        _feeds.run_load(spark, rows, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH, clustered=True)
     return _slices.read_table(spark, table, [*_canon.CANONICAL_COLUMNS, _canon.LOAD_STAMP])
 
 
@@ -435,12 +439,12 @@ def q_append_load(spark, sf_dir):
 def q_load_job(spark, sf_dir):
     """A first load, an overlapping slice reload run twice, then the initiative update over the table."""
     fx.register(spark, sf_dir)
-    target, batch = _target_and_batch(spark)
+    target, batch = _target_and_batch(spark, clustered=True)
     table = scratch_path(spark, "load-job")
-    _feeds.run_load(spark, target, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    _feeds.run_load(spark, target, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH, clustered=True)
     for _ in range(2):
         _feeds.run_load(spark, batch, table, _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP,
-                        initiatives=_initiatives(spark), unit=_slices.MONTH)
+                        initiatives=_initiatives(spark), unit=_slices.MONTH, clustered=True)
     return _slices.read_table(spark, table, [*_canon.CANONICAL_COLUMNS, _canon.LOAD_STAMP])
 
 
@@ -608,8 +612,8 @@ def q_incremental_load(spark, sf_dir):
     """S17 as the bound of a load: of extracts landed by month, only those from the high-water mark on are read and replaced."""
     fx.register(spark, sf_dir)
     base = scratch_path(spark, "incremental")
-    target, _ = _target_and_batch(spark)
-    _feeds.run_load(spark, target, f"{base}/table", _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH)
+    target, _ = _target_and_batch(spark, clustered=True)
+    _feeds.run_load(spark, target, f"{base}/table", _feeds.SRC_SEARCH_ADS, run_ts=RUN_STAMP, mode="append", unit=_slices.MONTH, clustered=True)
     report = _search_ads_report(spark).withColumn("landed", F.trunc(F.col("Day").cast("date"), "month"))
     path = _land.write_csv_parts(report, f"{base}/extracts", by="landed")
     _torn_extract(spark, f"{path}/landed=1999-07-01")
