@@ -139,7 +139,7 @@ def ingest_drop(spark: SparkSession, inbox: str, archive: str, checkpoint: str,
             of_wave = [of.filter(F.col(FILE_TAG).isin(here)) for of, group in zip(ready, groups) if set(group) & set(here)]
             batch = reduce(DataFrame.unionByName, of_wave).drop(FILE_TAG)
             # A file read by one task is a run of neighbouring days as it lies there; only files that split are brought together.
-            reload_spans(spark, table_dir, batch, source, slices, disciplines, unit, undated, clustered=multi_line and fmt == "csv")
+            reload_spans(spark, table_dir, batch, source, slices, disciplines, unit, undated, None, multi_line and fmt == "csv")
             log |= {f: (LOADED, None, spans[f]["n"], spans[f]["lo"], spans[f]["hi"], wave) for f in here}
         return log
 
